@@ -8,7 +8,6 @@ so a job that fails half-way leaves the table as it was. One loader at a time ma
 import uuid
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -42,12 +41,10 @@ def commit_log(spark: SparkSession, root: str) -> DataFrame:
 
 def table_state(spark: SparkSession, root: str) -> TableState | None:
     """The table's state, or None where there is no table."""
-    try:
-        commits = commit_log(spark, root).orderBy("version", "seq").collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/commits")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
+    commits = commit_log(spark, root).orderBy("version", "seq").collect()
     if not commits:
         return None
     version = commits[-1].version

@@ -1,0 +1,80 @@
+"""Candidates, messages, outcomes."""
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from roster.operators.outreach import mark_checked, outbox, outreach_candidates, outreach_summary
+from roster.plans.queries import MESSAGE
+from roster.schema import SEND_LOG
+from roster.sources.outcomes import read_outcomes, record_outcomes
+
+
+@pytest.fixture
+def table(licences):
+    return licences(
+        (4, "D", "  "), (1, "A", "a@x"), (2, "B", ""), (3, "C", None), (5, "E", "b@x", True), (6, None, "f@x"), (7, "{name} 5%", "a@x")
+    )
+
+
+def log(spark, *rows):
+    return spark.createDataFrame([(i, ok, None if ok else "refused") for i, ok in rows], SEND_LOG)
+
+
+def ids(df):
+    return [r.id for r in df.orderBy("id").collect()]
+
+
+@pytest.mark.parametrize("shallow", [10_000, 0])
+def test_candidates(table, shallow):
+    assert ids(outreach_candidates(table, 5, shallow=shallow)) == [1, 4, 6, 7]
+    assert ids(outreach_candidates(table, 2, shallow=shallow)) == [1, 4]
+    assert outreach_candidates(table, 5, shallow=shallow).columns == ["id", "full_name", "business_email"]
+
+
+def test_limits(table):
+    assert outreach_candidates(table, 0).collect() == []
+    with pytest.raises(AnalysisException):
+        outreach_candidates(table, -1).collect()
+
+
+def test_failures_are_candidates_again(spark, table):
+    sent = log(spark, (1, False), (4, True), (4, True), (6, True))
+    assert ids(outreach_candidates(table, 5, sent)) == [1, 7]
+
+
+@pytest.mark.parametrize("shallow", [10_000, 0])
+def test_outbox(table, shallow):
+    rows = outbox(table, **MESSAGE, limit=4, delay=2.5, shallow=shallow).orderBy("id").collect()
+    assert [(r.id, r.to_addr, r.offset_seconds) for r in rows] == [
+        (1, "a@x", 0.0), (4, "  ", 2.5), (6, "f@x", 5.0), (7, "a@x", 7.5)
+    ]
+    assert rows[0].body == "Dear A,\n100% of our agents {know} you.\n"
+    assert rows[2].body.startswith("Dear colleague,")
+    assert rows[3].body.startswith("Dear {name} 5%,")
+    assert {(r.from_addr, r.subject) for r in rows} == {(MESSAGE["sender"], MESSAGE["subject"])}
+
+
+def test_mark_checked(spark, table):
+    marked = mark_checked(table, log(spark, (1, True), (1, True), (4, False), (99, True)))
+    assert marked.columns == table.columns
+    assert [r.id for r in marked.where("checked").orderBy("id").collect()] == [1, 5]
+    assert marked.count() == table.count()
+
+
+def test_summary(spark):
+    assert tuple(outreach_summary(log(spark, (1, True), (2, False), (3, True))).first()) == (3, 2, 1)
+    assert tuple(outreach_summary(log(spark).limit(0)).first()) == (0, 0, 0)
+
+
+def test_a_campaign_in_several_runs(spark, table, tmp_path):
+    """Every run plans the rest; nobody with a success is planned again."""
+    path, planned = str(tmp_path / "log"), []
+    record_outcomes(log(spark), path)
+    for _ in range(4):
+        run = outreach_candidates(table, 2, read_outcomes(spark, path))
+        tried = ids(run)
+        planned.append(tried)
+        # The first attempt for 4 fails.
+        record_outcomes(log(spark, *[(i, i != 4 or len(planned) > 1) for i in tried]), path)
+    assert planned == [[1, 4], [4, 6], [7], []]
+    assert ids(mark_checked(table, read_outcomes(spark, path)).where("checked")) == [1, 4, 5, 6, 7]
