@@ -1,0 +1,119 @@
+"""The stored table: loads, replays, repair, snapshots."""
+
+import random
+
+import pytest
+
+from roster.plans.load import load, merged, repair, stage
+from roster.sources.table import (
+    commit_log,
+    create_table,
+    empty_licences,
+    read_table,
+    replace_table,
+    restore,
+    snapshot,
+    table_state,
+)
+
+
+def row(i, name, email, **more):
+    return {"license_number": str(i), "last_name": name, "email": email, "state": "FL", "city": "Miami", "license_desc": "Life", **more}
+
+
+def content(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def people(df):
+    return [(r.id, r.license_number, r.full_name, r.business_email) for r in df.orderBy("id").collect()]
+
+
+FIRST = [row(1, "A", ""), row(2, "B", "b@x"), row(3, "A", None), row(4, "Z", "z@x", state="GA")]
+SECOND = [row(5, "B", "b@x", phone="new"), row(6, "B", "B@x"), row(7, "A", ""), row(8, "C", "c@x")]
+
+
+def test_loads(spark, registry, targets, tmp_path):
+    root = str(tmp_path / "t")
+    assert load(spark, root, registry(*FIRST), targets, "one") == {
+        "rows_read": 4, "rows_matched": 3, "rows_staged": 2, "rows_before": 0, "rows_after": 2, "rows_added": 2
+    }
+    report = load(spark, root, registry(*SECOND), targets, "two")
+    assert (report["rows_before"], report["rows_added"], report["rows_after"]) == (2, 2, 4)
+    want = [(1, "1", "A", None), (2, "2", "B", "b@x"), (3, "6", "B", "B@x"), (4, "8", "C", "c@x")]
+    assert people(read_table(spark, root)) == want
+    # The same key is not loaded again and reports as before; the same rows add nothing.
+    assert load(spark, root, registry(*SECOND), targets, "two") == report
+    assert load(spark, root, registry(*SECOND), targets, "three")["rows_added"] == 0
+    assert people(read_table(spark, root)) == want
+    assert [r.load_key for r in commit_log(spark, root).orderBy("seq").collect()] == ["create", "one", "two", "three"]
+
+
+def test_a_failed_load_changes_nothing(spark, registry, targets, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    load(spark, root, registry(*FIRST), targets, "one")
+    before = people(read_table(spark, root))
+    with monkeypatch.context() as broken:
+        broken.setattr("roster.sources.table._commit", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load(spark, root, registry(*SECOND), targets, "two")
+    assert people(read_table(spark, root)) == before
+    assert load(spark, root, registry(*SECOND), targets, "two")["rows_added"] == 2
+
+
+def test_existing_rows_never_change(spark, registry, targets, licences, tmp_path):
+    root = str(tmp_path / "t")
+    replace_table(spark, root, licences((7, "B", "b@x", True), (9, "A", "")), "fill")
+    before = content(read_table(spark, root))
+    load(spark, root, registry(*SECOND), targets, "two")
+    after = content(read_table(spark, root))
+    assert set(before) < set(after)
+    assert sorted(r[0] for r in after) == [7, 9, 10, 11]
+
+
+def test_stored_load_equals_the_plain_merge(spark, registry, targets, tmp_path):
+    pick = random.Random(3)
+    rows = [row(i, pick.choice("ABCDEFGH"), pick.choice(["", None, "x@x", "y@x", "X@x"])) for i in range(300)]
+    root, old, new = str(tmp_path / "t"), registry(*rows[:150]), registry(*rows[150:])
+    load(spark, root, old, targets, "one")
+    target = read_table(spark, root)
+    want = content(merged(target, new, targets))
+    load(spark, root, new, targets, "two")
+    assert content(read_table(spark, root)) == want
+    assert content(target) == content(read_table(spark, root).where(f"id <= {target.count()}"))
+    assert stage(old, targets).count() == target.count()
+
+
+def test_repair_and_used_up_ids(spark, registry, targets, licences, tmp_path):
+    root = str(tmp_path / "t")
+    replace_table(spark, root, licences((1, "A", "a@x"), (2, "A", ""), (3, "A", None), (4, "A", "a@x", True)), "fill")
+    assert repair(spark, root, "repair") == 1
+    assert [r.id for r in read_table(spark, root).orderBy("id").collect()] == [1, 2, 3]
+    version = table_state(spark, root).version
+    assert repair(spark, root, "repair again") == 0
+    assert table_state(spark, root).version == version
+    # Id 4 is gone, but the send log may know it: the next row gets 5.
+    load(spark, root, registry(row(1, "N", "n@x")), targets, "new")
+    assert max(r.id for r in read_table(spark, root).collect()) == 5
+
+
+def test_snapshot_and_restore(spark, licences, tmp_path):
+    root, saved = str(tmp_path / "t"), str(tmp_path / "saved")
+    replace_table(spark, root, licences((1, "A", "a@x"), (2, "B", "")), "fill")
+    want = content(read_table(spark, root))
+    snapshot(read_table(spark, root), saved, "1")
+    replace_table(spark, root, licences((3, "C", None)), "change")
+    assert restore(spark, saved, "1", root) == 2
+    assert content(read_table(spark, root)) == want
+    with pytest.raises(Exception, match="already exists"):
+        snapshot(read_table(spark, root), saved, "1")
+
+
+def test_create_only_if_absent(spark, licences, tmp_path):
+    root = str(tmp_path / "t")
+    create_table(spark, root)
+    assert read_table(spark, root).collect() == []
+    assert read_table(spark, root).columns == empty_licences(spark).columns
+    replace_table(spark, root, licences((1, "A", None)), "fill")
+    create_table(spark, root)
+    assert read_table(spark, root).count() == 1
