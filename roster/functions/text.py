@@ -93,8 +93,11 @@ def tel_link(c: Column) -> Column:
     """
     phone = F.coalesce(c, F.lit(""))
     ascii_only = F.length(phone) == F.octet_length(phone)
+    # Other scripts: drop what cannot be a digit first, so that the exact class sees little text.
+    # Code points unknown to the JVM may be digits.
+    maybe_digits = F.regexp_replace(phone, r"[^\p{N}\p{Cn}]+", "")
     digits = F.when(ascii_only, F.regexp_replace(phone, "[^0-9]+", "")).otherwise(
-        F.regexp_replace(phone, f"[^{_digit_class()}]+", "")
+        F.regexp_replace(maybe_digits, f"[^{_digit_class()}]+", "")
     )
     return (
         F.when(digits == "", F.lit(""))

@@ -81,6 +81,14 @@ def test_upper_cell(spark, word, want):
     assert evaluate(spark, [(word,)], text.upper_cell(F.col("c0"))) == [(want,)]
 
 
+def test_every_digit_is_kept_and_nothing_else(spark):
+    points = [chr(p) for p in range(0x20, 0x110000) if not 0xD800 <= p < 0xE000]
+    chunks = [("".join(points[i : i + 5000]),) for i in range(0, len(points), 5000)]
+    got = evaluate(spark, chunks, text.tel_link(F.col("c0")))
+    assert [g[0] for g in got] == [plain_tel(value) for (value,) in chunks]
+    assert sum(map(str.isdigit, points)) == 808
+
+
 def test_white_space_is_pythons():
     assert set(text.WHITESPACE) == {chr(p) for p in range(0x110000) if chr(p).isspace()}
 
