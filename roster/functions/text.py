@@ -67,11 +67,13 @@ def join_parts(*parts: Column) -> Column:
 
 
 def full_name(first: Column, middle: Column, last: Column) -> Column:
-    return join_parts(*[clean_name_part(clean_cell(c)) for c in (first, middle, last)])
+    """The name from three clean cells."""
+    return join_parts(*[clean_name_part(c) for c in (first, middle, last)])
 
 
-def mailing_address(*parts: Column) -> Column:
-    return join_parts(*[clean_cell(c) for c in parts])
+def mailing_address(*cells: Column) -> Column:
+    """The address from clean cells; case and inner blanks stay as they are."""
+    return join_parts(*cells)
 
 
 @lru_cache(maxsize=1)

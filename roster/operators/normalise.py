@@ -2,12 +2,12 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roster.functions.predicates import has_class, is_in_state
 from roster.functions.text import clean_cell, full_name, mailing_address, upper_cell
-from roster.schema import BATCH_COLUMNS, ORDINAL, TEXT_COLUMNS
+from roster.schema import ORDINAL, REGISTRY_HEADERS
 
 
 def target_cities(*counties: DataFrame) -> DataFrame:
@@ -31,29 +31,34 @@ def filter_target(
     return in_scope.join(wanted, upper_cell(in_scope["city"]) == wanted["_city"], "left_semi")
 
 
-def licence_columns() -> dict[str, Column]:
-    """The nine output columns in terms of the raw ones; the text is '' where it is missing."""
-    return {
-        "license_number": clean_cell(F.col("license_number")),
-        "full_name": full_name(F.col("first_name"), F.col("middle_name"), F.col("last_name")),
-        "npn_number": clean_cell(F.col("npn_number")),
-        "license_type": upper_cell(F.col("license_desc")),
-        "business_email": clean_cell(F.col("email")),
-        "business_phone": clean_cell(F.col("phone")),
-        "mailing_address": mailing_address(
-            F.col("addr1"), F.col("addr2"), F.col("city"), F.col("state"), F.col("zip")
-        ),
-        "personal_email": F.lit(""),
-        "checked": F.lit(False),
-    }
+def clean_registry(raw: DataFrame) -> DataFrame:
+    """Raw rows with every cell cleaned.
+
+    Each cell goes through a lambda. Thirteen copies of the expression in one generated method
+    would be too long for the JVM to compile, and then run several times slower.
+    """
+    cells = REGISTRY_HEADERS.values()
+    cleaned = {c: F.get(F.transform(F.array(c), clean_cell), F.lit(0)) for c in cells}
+    return raw.withColumns(cleaned)
 
 
 def to_licences(raw: DataFrame) -> DataFrame:
-    """Project raw rows to licence rows; an empty text is stored as NULL."""
-    columns = licence_columns()
-    for name in TEXT_COLUMNS:
-        columns[name] = F.nullif(columns[name], F.lit(""))
-    return raw.select(*[columns[name].alias(name) for name in BATCH_COLUMNS], ORDINAL)
+    """Clean raw rows and project them to licence rows; an empty text is stored as NULL."""
+    texts = {
+        "license_number": F.col("license_number"),
+        "full_name": full_name(F.col("first_name"), F.col("middle_name"), F.col("last_name")),
+        "npn_number": F.col("npn_number"),
+        "license_type": F.upper("license_desc"),
+        "business_email": F.col("email"),
+        "business_phone": F.col("phone"),
+        "mailing_address": mailing_address(*[F.col(c) for c in ("addr1", "addr2", "city", "state", "zip")]),
+    }
+    return clean_registry(raw).select(
+        *[F.nullif(text, F.lit("")).alias(name) for name, text in texts.items()],
+        F.lit(None).cast("string").alias("personal_email"),
+        F.lit(False).alias("checked"),
+        ORDINAL,
+    )
 
 
 def normalise_registry(

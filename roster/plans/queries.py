@@ -15,12 +15,18 @@ from roster.functions.text import (
 from roster.operators import views
 from roster.operators.dedupe import duplicate_ids, keep_first, repair_duplicates
 from roster.operators.merge import insert_new, number_rows
-from roster.operators.normalise import filter_target, normalise_registry, scan_metrics, target_cities
+from roster.operators.normalise import (
+    clean_registry,
+    filter_target,
+    normalise_registry,
+    scan_metrics,
+    target_cities,
+)
 from roster.operators.outreach import mark_checked, outbox, outreach_candidates, outreach_summary
 from roster.plans import driver_tables as tables
 from roster.plans.load import load, load_report, merged, repair, stage
 from roster.schema import ORDINAL
-from roster.session import scratch_path
+from roster.session import freeze, scratch_path
 from roster.sources.outcomes import read_outcomes, record_outcomes
 from roster.sources.registry import read_registry, write_registry
 from roster.sources.staging import export_csv, read_export, read_staging, write_staging
@@ -51,8 +57,7 @@ def registry_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def clean_cells(spark: SparkSession, sf: str) -> DataFrame:
     raw = tables.raw_registry(spark, sf)
-    cells = ["license_number", "npn_number", "license_desc", "email", "phone", "addr1", "addr2", "city", "state", "zip"]
-    return raw.select(ORDINAL, *[clean_cell(F.col(c)).alias(c) for c in cells])
+    return clean_registry(raw).drop("odate", "first_name", "middle_name", "last_name")
 
 
 def clean_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,14 +72,15 @@ def clean_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def full_names(spark: SparkSession, sf: str) -> DataFrame:
+    rows = clean_registry(tables.raw_registry(spark, sf))
     name = full_name(F.col("first_name"), F.col("middle_name"), F.col("last_name"))
-    return tables.raw_registry(spark, sf).select(ORDINAL, name.alias("full_name"))
+    return rows.select(ORDINAL, name.alias("full_name"))
 
 
 def mailing_addresses(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [F.col(c) for c in ("addr1", "addr2", "city", "state", "zip")]
-    address = mailing_address(*parts).alias("mailing_address")
-    return tables.raw_registry(spark, sf).select(ORDINAL, address)
+    rows = clean_registry(tables.raw_registry(spark, sf))
+    address = mailing_address(*[F.col(c) for c in ("addr1", "addr2", "city", "state", "zip")])
+    return rows.select(ORDINAL, address.alias("mailing_address"))
 
 
 def city_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,12 +118,13 @@ def insert_new_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def load_result(spark: SparkSession, sf: str) -> DataFrame:
     raw = tables.new_rows(tables.raw_registry(spark, sf))
-    return merged(tables.old_table(spark, sf), raw, tables.targets(spark, sf))
+    old = freeze(tables.old_table(spark, sf), "old")
+    return merged(old, raw, tables.targets(spark, sf))
 
 
 def load_report_row(spark: SparkSession, sf: str) -> DataFrame:
-    old = tables.old_table(spark, sf)
     raw = tables.new_rows(tables.raw_registry(spark, sf))
+    old = freeze(tables.old_table(spark, sf), "old")
     return load_report(old, merged(old, raw, tables.targets(spark, sf)))
 
 

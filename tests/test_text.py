@@ -61,13 +61,13 @@ def test_clean_cell(spark):
 
 
 def test_full_name(spark):
-    name = text.full_name(F.col("c0"), F.col("c1"), F.col("c2"))
+    name = text.full_name(*[text.clean_cell(F.col(c)) for c in ("c0", "c1", "c2")])
     assert [g[0] for g in evaluate(spark, [v for v, _ in NAMES], name)] == [want for _, want in NAMES]
 
 
 def test_mailing_address_skips_empty_parts_and_keeps_inner_blanks(spark):
     rows = [("1  Main St", "", "Miami", ' ="FL" ', '="33101"'), (None, "", " ", '=""', None)]
-    address = text.mailing_address(*[F.col(f"c{i}") for i in range(5)])
+    address = text.mailing_address(*[text.clean_cell(F.col(f"c{i}")) for i in range(5)])
     assert [g[0] for g in evaluate(spark, rows, address)] == ["1  Main St Miami FL 33101", ""]
 
 
