@@ -37,12 +37,27 @@ _PRINTABLE = "".join(map(chr, range(0x21, 0x7F)))
 def clean_cell(c: Column) -> Column:
     """Strip a cell and unwrap the spreadsheet form ``="..."``; NULL becomes ''.
 
-    What was inside the quotes is kept as it is, blanks included. Nearly every cell is settled by
-    fast native functions: after a plain trim it is wrapped, or it begins and ends with a printable
-    ASCII character. Only the others, with exotic white space or letters at an end, are stripped of
-    every kind of white space first. All steps take time linear in the length of the cell.
+    What was inside the quotes is kept as it is, blanks included.
+    """
+    return _strip_and_unwrap(_trimmed(c))
+
+
+def clean_cell_compact(c: Column) -> Column:
+    """``clean_cell`` by a lambda: less generated code, for use on many cells of a row."""
+    return F.get(F.transform(F.array(_trimmed(c)), _strip_and_unwrap), F.lit(0))
+
+
+def _trimmed(c: Column) -> Column:
+    return F.trim(F.coalesce(c, F.lit("")))
+
+
+def _strip_and_unwrap(cell: Column) -> Column:
+    """The rest of the cleaning, after a plain trim.
+
+    Nearly every cell is settled by fast native functions: it is wrapped, or it begins and ends with
+    a printable ASCII character. Only the others, with exotic white space or letters at an end, are
+    stripped of every kind of white space first. All steps are linear in the length of the cell.
     """
-    cell = F.trim(F.coalesce(c, F.lit("")))
     ends = [F.left(cell, F.lit(1)), F.right(cell, F.lit(1))]
     inside = F.substr(cell, F.lit(3), F.greatest(F.length(cell) - 3, F.lit(0)))
     return (

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from roster.operators.dedupe import duplicate_ids, keep_first
-from roster.operators.merge import append, assign_ids, insert_new
+from roster.operators.merge import FEW_ROWS, append, assign_ids, insert_new
 from roster.operators.normalise import filter_target, to_licences
 from roster.schema import IDENTITY, LICENCE, ORDINAL
 from roster.session import freeze
@@ -95,5 +95,9 @@ def repair(spark: SparkSession, root: str, load_key: str) -> int:
     surplus = freeze(duplicate_ids(licences), "surplus")
     dropped = surplus.count()
     if dropped:
-        replace_table(spark, root, licences.join(surplus, "id", "left_anti"), load_key)
+        kept = licences.join(surplus, "id", "left_anti")
+        if dropped > FEW_ROWS:
+            # So many ids may be joined by a shuffle, which scatters the ids: lay them out again.
+            kept = kept.repartitionByRange("id").sortWithinPartitions("id")
+        replace_table(spark, root, kept, load_key)
     return dropped

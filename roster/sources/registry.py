@@ -36,9 +36,12 @@ def _header(spark: SparkSession, file: str, multi_line: bool) -> tuple[str, ...]
     return tuple(columns)
 
 
-def _scan(spark: SparkSession, files: list[str], header: tuple[str, ...], multi_line: bool) -> DataFrame:
+def _scan(
+    spark: SparkSession, files: list[str], header: tuple[str, ...], multi_line: bool, check: bool
+) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    scan = spark.read.options(**_DIALECT, multiLine=multi_line).schema(schema).csv(files)
+    reader = spark.read.options(**_DIALECT, multiLine=multi_line, enforceSchema=not check)
+    scan = reader.schema(schema).csv(files)
     wanted = [
         (F.col(f"`{name}`") if name in header else F.lit("")).alias(column)
         for name, column in REGISTRY_HEADERS.items()
@@ -52,26 +55,31 @@ def _scan(spark: SparkSession, files: list[str], header: tuple[str, ...], multi_
 
 
 def read_registry(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True
+    spark: SparkSession, path: str | list[str], multi_line: bool = True, one_header: bool = False
 ) -> DataFrame:
     """The 13 needed columns of one file, of a list of files or of a folder, plus the ordinal.
 
     Columns are taken by header name; a missing one reads as ''. Files with the same header share
-    one scan, so the plan grows with the number of different headers and not with the files.
+    one scan, so the plan grows with the number of different headers and not with the files. Finding
+    the headers takes a short job per file. For a drop of very many files written by one job,
+    ``one_header=True`` looks at one file only, and the scan fails if another one differs.
 
     A quoted line break makes a file unsplittable: deliver large drops as many part files, or pass
     ``multi_line=False`` where cells hold no line breaks, and one file is read by many tasks.
     """
     files = list_files(spark, path) if isinstance(path, str) else sorted(path)
+    sampled = files[:1] if one_header else files
     with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda file: _header(spark, file, multi_line), files))
+        headers = list(pool.map(lambda file: _header(spark, file, multi_line), sampled))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header in zip(files, headers):
+    for file, header in zip(sampled, headers):
         if header:  # a file of no bytes has no header and no rows
             groups.setdefault(header, []).append(file)
     if not groups:
         raise ValueError(f"no registry file with a header in {path}")
-    scans = [_scan(spark, group, header, multi_line) for header, group in groups.items()]
+    if one_header:
+        groups = {header: files for header in groups}
+    scans = [_scan(spark, group, header, multi_line, one_header) for header, group in groups.items()]
     return reduce(DataFrame.unionByName, scans)
 
 

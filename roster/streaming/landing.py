@@ -44,15 +44,13 @@ def drops(files: DataFrame, landing: str) -> DataFrame:
     )
 
 
-def loader(
-    landing: str, table: str, targets: Targets, multi_line: bool = True
-) -> Callable[[DataFrame, int], None]:
+def loader(landing: str, table: str, targets: Targets, **how: bool) -> Callable[[DataFrame, int], None]:
     """The function that loads one micro-batch of file names into the table."""
 
     def load_batch(files: DataFrame, batch_id: int) -> None:
         spark = files.sparkSession
         for drop in drops(files, landing).collect():
-            load(spark, table, read_registry(spark, drop.paths, multi_line), targets, drop.load_key)
+            load(spark, table, read_registry(spark, drop.paths, **how), targets, drop.load_key)
 
     return load_batch
 
@@ -63,13 +61,14 @@ def load_stream(
     table: str,
     checkpoint: str,
     targets: Targets,
-    multi_line: bool = True,
+    **how: bool,
 ) -> StreamingQuery:
     """Load every drop not seen before, then stop; missed runs are caught up by the next one.
 
     Deliver each drop under a name of its own, and move it into the landing folder when complete.
     The stream carries names and times only. Content is read by the load of each drop, so a later
-    drop meets the earlier ones in the table, exactly as in separate runs.
+    drop meets the earlier ones in the table, exactly as in separate runs. ``how`` is passed on to
+    ``read_registry``.
     """
     names = (
         spark.readStream.format("binaryFile")
@@ -79,7 +78,7 @@ def load_stream(
         .select("path", "modificationTime")
     )
     return (
-        names.writeStream.foreachBatch(loader(landing, table, targets, multi_line))
+        names.writeStream.foreachBatch(loader(landing, table, targets, **how))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -72,6 +72,19 @@ def test_two_address_columns_are_no_repetition(spark, tmp_path):
     assert values(rows, "addr1", "addr2") == [("a", "b")]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_one_header_is_checked_by_the_scan(spark, tmp_path, multi_line):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    write(drop / "a.csv", "License Number,Extra,First Name\n1,e,Ana\n")
+    write(drop / "b.csv", "License Number,Extra,First Name\n2,e,Bob\n")
+    rows = read_registry(spark, str(drop), multi_line, one_header=True)
+    assert values(rows, "license_number", "first_name") == [("1", "Ana"), ("2", "Bob")]
+    write(drop / "c.csv", "First Name,Extra,License Number\nCid,e,3\n")
+    with pytest.raises(Exception, match="(?s)header does not conform"):
+        read_registry(spark, str(drop), multi_line, one_header=True).collect()
+
+
 def test_nothing_to_read(spark, tmp_path):
     with pytest.raises(ValueError, match="no registry file"):
         read_registry(spark, write(tmp_path / "r.csv", ""))
