@@ -3,12 +3,13 @@
 from collections.abc import Iterable
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from roster.operators.dedupe import duplicate_ids, keep_first
 from roster.operators.merge import FEW_ROWS, append, assign_ids, insert_new
-from roster.operators.normalise import filter_target, to_licences
+from roster.operators.normalise import filter_target, scan_metrics, to_licences
 from roster.schema import IDENTITY, LICENCE, ORDINAL
 from roster.session import freeze
 from roster.sources.table import append_batch, create_table, read_table, replace_table
@@ -63,11 +64,12 @@ def load(spark: SparkSession, root: str, raw: DataFrame, targets: Targets, load_
     watched = raw.observe(read, F.count(F.lit(1)).alias("rows"))
     kept = filter_target(watched, *targets).observe(matched, F.count(F.lit(1)).alias("rows"))
     staged = freeze(keep_first(to_licences(kept), IDENTITY, [ORDINAL]), "staged")
-    counts = {
-        "rows_read": read.get["rows"],
-        "rows_matched": matched.get["rows"],
-        "rows_staged": staged.count(),
-    }
+    try:
+        rows_read, rows_matched = read.get["rows"], matched.get["rows"]
+    except Py4JJavaError:
+        # Spark skips a scan that cannot contribute, as with an empty city list; nothing was counted.
+        rows_read, rows_matched = scan_metrics(raw, *targets).first()
+    counts = {"rows_read": rows_read, "rows_matched": rows_matched, "rows_staged": staged.count()}
     fresh = insert_new(read_table(spark, root, state), staged) if state.rows else staged
     numbered = assign_ids(fresh, state.last_id, [ORDINAL], at_most=counts["rows_staged"])
     added = append_batch(spark, root, state, load_key, numbered, **counts)

@@ -14,7 +14,7 @@ _DIALECT = {"header": True, "escape": '"', "encoding": "UTF-8"}
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
-    """The files below a path, in path order; the files themselves are not opened."""
+    """The files below a path, in path order, but for those of no bytes; none is opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return sorted(row.path for row in files.select("path").collect())
 
@@ -68,19 +68,23 @@ def read_registry(
     ``multi_line=False`` where cells hold no line breaks, and one file is read by many tasks.
     """
     files = list_files(spark, path) if isinstance(path, str) else sorted(path)
-    sampled = files[:1] if one_header else files
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda file: _header(spark, file, multi_line), sampled))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header in zip(sampled, headers):
-        if header:  # a file of no bytes has no header and no rows
-            groups.setdefault(header, []).append(file)
-    if not groups:
-        raise ValueError(f"no registry file with a header in {path}")
     if one_header:
-        groups = {header: files for header in groups}
+        header = next(filter(None, (_header(spark, file, multi_line) for file in files)), ())
+        groups[header] = files
+    else:
+        with ThreadPoolExecutor(16) as pool:
+            headers = list(pool.map(lambda file: _header(spark, file, multi_line), files))
+        for file, header in zip(files, headers):
+            groups.setdefault(header, []).append(file)
+    groups.pop((), None)  # files of no bytes have neither header nor rows
     scans = [_scan(spark, group, header, multi_line, one_header) for header, group in groups.items()]
-    return reduce(DataFrame.unionByName, scans)
+    return reduce(DataFrame.unionByName, scans) if scans else _no_rows(spark)
+
+
+def _no_rows(spark: SparkSession) -> DataFrame:
+    texts = ", ".join(f"{column} string" for column in REGISTRY_HEADERS.values())
+    return spark.createDataFrame([], f"{texts}, {ORDINAL} struct<file: string, block: long, row: long>")
 
 
 def write_registry(raw: DataFrame, path: str) -> None:

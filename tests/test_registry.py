@@ -85,9 +85,18 @@ def test_one_header_is_checked_by_the_scan(spark, tmp_path, multi_line):
         read_registry(spark, str(drop), multi_line, one_header=True).collect()
 
 
-def test_nothing_to_read(spark, tmp_path):
-    with pytest.raises(ValueError, match="no registry file"):
-        read_registry(spark, write(tmp_path / "r.csv", ""))
+@pytest.mark.parametrize("one_header", [False, True])
+def test_empty_files_hold_no_rows(spark, tmp_path, one_header):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    files = [write(drop / "a.csv", "")]
+    for path in (str(drop), files):
+        nothing = read_registry(spark, path, one_header=one_header)
+        assert nothing.collect() == [] and nothing.columns == [*REGISTRY_HEADERS.values(), "ordinal"]
+    files.append(write(drop / "b.csv", "License Number\n7\n"))
+    rows = read_registry(spark, files, one_header=one_header)
+    assert values(rows, "license_number") == [("7",)]
+    assert rows.schema["ordinal"].dataType.names == nothing.schema["ordinal"].dataType.names
 
 
 def test_file_order_over_many_splits(spark, tmp_path):

@@ -23,6 +23,11 @@ def test_roundtrip(spark, batch, tmp_path):
     assert {r.checked for r in got} == {False}
 
 
+def test_an_empty_batch(spark, batch, tmp_path):
+    assert write_staging(batch((1, "A", "")).where("false"), str(tmp_path / "s")) == 0
+    assert read_staging(spark, str(tmp_path / "s")).collect() == []
+
+
 def test_file_layout(batch, tmp_path):
     write_staging(batch((1, "A", ""), (2, 'B "b"', "x,y")).coalesce(1), str(tmp_path / "s"))
     assert parts(tmp_path / "s").decode().splitlines() == [

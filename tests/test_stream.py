@@ -29,6 +29,7 @@ def test_files_load_in_order_of_arrival_and_once(spark, targets, tmp_path):
     assert run(spark, tmp_path, targets) == want
     assert run(spark, tmp_path, targets) == want
     drop(landing / "m.csv", 3_000_000, ("C", "", 5), ("D", "", 6))
+    (landing / "empty.csv").write_text("")
     assert run(spark, tmp_path, targets) == [*want, (4, "6", "D")]
     assert commit_log(spark, str(tmp_path / "table")).count() == 4
 

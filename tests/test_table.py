@@ -5,6 +5,7 @@ import random
 import pytest
 
 from roster.plans.load import load, merged, repair, stage
+from roster.sources.registry import read_cities
 from roster.sources.table import (
     commit_log,
     create_table,
@@ -49,6 +50,21 @@ def test_loads(spark, registry, targets, tmp_path):
     assert [r.load_key for r in commit_log(spark, root).orderBy("seq").collect()] == ["create", "one", "two", "three"]
 
 
+def test_empty_inputs(spark, registry, targets, tmp_path):
+    root = str(tmp_path / "t")
+    nowhere = targets._replace(cities=spark.createDataFrame([], "city string"))
+    report = load(spark, root, registry(*FIRST), nowhere, "no cities")
+    assert (report["rows_read"], report["rows_matched"], report["rows_added"]) == (4, 0, 0)
+    (tmp_path / "cities.csv").write_text("county,city\n")
+    nowhere = targets._replace(cities=read_cities(spark, str(tmp_path / "cities.csv")))
+    report = load(spark, root, registry(*FIRST), nowhere, "no cities in the file")
+    assert (report["rows_read"], report["rows_matched"], report["rows_added"]) == (4, 0, 0)
+    report = load(spark, root, registry(*FIRST).where("false"), targets, "no rows")
+    assert (report["rows_read"], report["rows_matched"], report["rows_added"]) == (0, 0, 0)
+    assert read_table(spark, root).collect() == []
+    assert load(spark, root, registry(*FIRST), targets, "all")["rows_added"] == 2
+
+
 def test_a_failed_load_changes_nothing(spark, registry, targets, tmp_path, monkeypatch):
     root = str(tmp_path / "t")
     load(spark, root, registry(*FIRST), targets, "one")
