@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from roster.plans.oracles import ORACLES
+from roster.plans.queries import QUERIES
 from tests.compare import assert_same, duck
 
 SF = "/root/testdata/sf0.001"
@@ -14,12 +16,13 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, connection, name):
-    rows = assert_same(entry.queries()[name](spark, SF), connection, entry.oracle_sql()[name])
+    rows = assert_same(QUERIES[name](spark, SF), connection, ORACLES[name])
     assert rows > 0
 
 
