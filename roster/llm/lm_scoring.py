@@ -1,0 +1,135 @@
+"""Language-model scoring by cross-entropy difference.
+
+Two n-gram models, of a target and of the background, share one vocabulary, order and smoothing. A
+document's score is its mean loss per token under the target model minus that under the background
+model, in bits: the lower, the more it is like the target.
+
+Tokens are bytes in 32 classes: letters without case, white space, digits, sentence ends, other signs,
+and the first and further bytes of characters beyond ASCII. The models have order 4, so a model is a
+table of 32^4 counts: this size, not the corpus, bounds what is broadcast. The counts themselves are
+gathered from every byte of every document.
+
+Probabilities are interpolated (Witten-Bell): a context's weight against the next shorter one is its
+count against its number of different continuations.
+
+Defined results: NULL and empty texts have 0 tokens and NULL losses and score; a document named several
+times as target counts once; rows with equal ids all count; without a target its model is uniform.
+"""
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from roster.llm.batches import slices, text_bytes
+
+CLASSES, ORDER = 32, 4
+GRAMS = CLASSES**ORDER
+_BLANK, _DIGIT, _END, _SIGN, _FIRST, _FURTHER = 26, 27, 28, 29, 30, 31
+
+
+def _classes() -> np.ndarray:
+    table = np.full(256, _SIGN, np.int32)
+    for code in range(256):
+        char = chr(code)
+        if code >= 0xC0:
+            table[code] = _FIRST
+        elif code >= 0x80:
+            table[code] = _FURTHER
+        elif char.isalpha():
+            table[code] = ord(char.lower()) - ord("a")
+        elif char.isspace():
+            table[code] = _BLANK
+        elif char.isdigit():
+            table[code] = _DIGIT
+        elif char in ".!?":
+            table[code] = _END
+    return table
+
+
+CLASS_OF = _classes()
+
+
+def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each byte the number of its 4-gram of classes; a document begins after blanks."""
+    lead = ORDER - 1
+    lengths = offsets[1:] - offsets[:-1]
+    place = np.arange(len(data)) + lead * (1 + np.repeat(np.arange(len(lengths)), lengths))
+    tokens = np.full(len(data) + lead * len(lengths), _BLANK, np.int32)
+    tokens[place] = CLASS_OF[data]
+    code = np.zeros(len(data), np.int32)
+    for back in range(lead, -1, -1):
+        code = code * CLASSES + tokens[place - back]
+    return code
+
+
+def count_grams(docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """(gram, target, background) counts over all documents; ``targets`` holds the ``doc_id`` of target documents."""
+    marked = targets.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("target", F.lit(True))
+    rows = docs.select("doc_id", "text").join(marked, "doc_id", "left").select("text", F.col("target").isNotNull().alias("target"))
+    counts = rows.mapInArrow(_counted, "gram int, target long, background long")
+    return counts.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def _counted(batches):
+    target, every = np.zeros(GRAMS, np.int64), np.zeros(GRAMS, np.int64)
+    for part in slices(batches, "text"):
+        data, offsets = text_bytes(part.column("text"))
+        code = grams(data, offsets)
+        every += np.bincount(code, minlength=GRAMS)
+        inside = np.repeat(part.column("target").to_numpy(zero_copy_only=False), offsets[1:] - offsets[:-1])
+        target += np.bincount(code[inside], minlength=GRAMS)
+    found = np.flatnonzero(every)
+    for start in range(0, len(found), 50_000):
+        part = found[start : start + 50_000]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part.astype(np.int32)), pa.array(target[part]), pa.array(every[part])], ["gram", "target", "background"]
+        )
+
+
+def losses(counts: np.ndarray) -> np.ndarray:
+    """Bits per token for every 4-gram, from its counts."""
+    chances = np.full(1, 1 / CLASSES)
+    for order in range(1, ORDER + 1):
+        seen = counts.reshape(-1, CLASSES**order).sum(axis=0).reshape(-1, CLASSES).astype(np.float64)
+        kinds = (seen > 0).sum(axis=1, keepdims=True) + (order == 1)
+        shorter = np.resize(chances, seen.size).reshape(seen.shape)
+        total = seen.sum(axis=1, keepdims=True) + kinds
+        chances = np.where(total > 0, (seen + kinds * shorter) / np.maximum(total, 1), shorter).reshape(-1)
+    return -np.log2(chances)
+
+
+def fit_models(docs: DataFrame, targets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Loss tables of target and background. At most 32^4 counts reach the driver."""
+    tables = np.zeros((2, GRAMS), np.int64)
+    for row in count_grams(docs, targets).toLocalIterator():
+        tables[:, row.gram] = row.target, row.background
+    return losses(tables[0]), losses(tables[1])
+
+
+def score_documents(docs: DataFrame, models: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``loss_target``, ``loss_background`` and ``score`` of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(m.astype(np.float32) for m in models))
+
+    def scored(batches):
+        target, background = shared.value
+        for part in slices(batches, "text"):
+            data, offsets = text_bytes(part.column("text"))
+            code = grams(data, offsets)
+            n = offsets[1:] - offsets[:-1]
+            some = np.flatnonzero(n)
+            means = []
+            for table in (target, background):
+                mean = np.zeros(len(n))
+                if len(some):
+                    mean[some] = np.add.reduceat(table[code].astype(np.float64), offsets[:-1][some]) / n[some]
+                means.append(mean)
+            absent = n == 0
+            columns = [pa.array(v, mask=absent) for v in (*means, means[0] - means[1])]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").cast(pa.int64()), pa.array(n), *columns],
+                ["doc_id", "n_tokens", "loss_target", "loss_background", "score"],
+            )
+
+    schema = "doc_id long, n_tokens long, loss_target double, loss_background double, score double"
+    return docs.select("doc_id", "text").mapInArrow(scored, schema)

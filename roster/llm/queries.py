@@ -1,10 +1,21 @@
 """The registered queries of the training-data operators. Each takes (spark, sf_dir)."""
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roster.llm.fingerprints import likeness, with_fingerprints, with_next
 from roster.llm.language_id import fit_languages, identify
+from roster.llm.lm_scoring import fit_models, score_documents
+from roster.llm.packing import pack_documents
 from roster.llm.quality import fit_quality, score_quality
+from roster.llm.sharding import shard_documents
+from roster.llm.token_output import read_sequences, write_tokens
+from roster.session import scratch_path
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END = 2
+SHARDS = 24
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,15 +33,72 @@ def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify(docs, model).withColumn("held_out", _remainder(4) == 2)
 
 
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = pack_documents(_table(spark, sf, "documents"), TOKENIZER, END)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op5_token_output(spark: SparkSession, sf: str) -> DataFrame:
+    """The files written, read back: one row per sequence with its documents."""
+    path = scratch_path(spark, "tokens")
+    write_tokens(_table(spark, sf, "documents"), path, TOKENIZER, END)
+    sequences = read_sequences(spark, path)
+    return sequences.select("sequence_id", "doc_ids", "doc_starts", "cu_seqlens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    rows = shard_documents(_table(spark, sf, "documents"), SHARDS)
+    crc = F.crc32(F.coalesce("text", F.lit("")))
+    return rows.select(
+        "doc_id",
+        "size",
+        crc.alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     model = fit_quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"), "quality", _remainder(5) != 0)
     scores = score_quality(_table(spark, sf, "documents"), model)
     return scores.withColumns({"held_out": _remainder(5) == 0, "predicted": (F.col("score") >= 0.3).cast("int")})
 
 
+def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    rows = with_next(_table(spark, sf, "documents")).withColumn("n_chars", F.char_length("text").cast("long"))
+    half = F.expr("cast(n_chars div 2 as int)")
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
+    prints = with_fingerprints(
+        rows.withColumn("edited", edited), fingerprint="text", edited_fingerprint="edited", next_fingerprint="next_text"
+    )
+    return prints.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """The target is what is labelled as good and not toxic, the background is every document."""
+    docs = _table(spark, sf, "documents")
+    targets = _table(spark, sf, "labels").where((F.col("quality") == 1) & (F.col("toxic") == 0))
+    return score_documents(docs, fit_models(docs, targets))
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
+    "op3_packing": op3_packing,
+    "op5_token_output": op5_token_output,
+    "op7_sharding": op7_sharding,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {}
