@@ -5,11 +5,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roster.llm.fingerprints import likeness, with_fingerprints, with_next
+from roster.llm.jaccard_join import similar_documents
 from roster.llm.language_id import fit_languages, identify
 from roster.llm.lm_scoring import fit_models, score_documents
 from roster.llm.packing import pack_documents
 from roster.llm.quality import fit_quality, score_quality
 from roster.llm.sharding import shard_documents
+from roster.llm.ship import send_package
 from roster.llm.token_output import read_sequences, write_tokens
 from roster.session import scratch_path
 
@@ -19,6 +21,7 @@ SHARDS = 24
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    send_package(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -38,6 +41,10 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return similar_documents(_table(spark, sf, "documents"), words=4, percent=85).drop("mark", "first")
+
+
 def op5_token_output(spark: SparkSession, sf: str) -> DataFrame:
     """The files written, read back: one row per sequence with its documents."""
     path = scratch_path(spark, "tokens")
@@ -94,6 +101,7 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_packing": op3_packing,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_token_output": op5_token_output,
     "op7_sharding": op7_sharding,
     "op8_quality_classifier": op8_quality_classifier,
