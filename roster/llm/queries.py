@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roster.llm.decontamination import find_leaks
 from roster.llm.fingerprints import likeness, with_fingerprints, with_next
 from roster.llm.jaccard_join import similar_documents
 from roster.llm.language_id import fit_languages, identify
@@ -53,6 +54,11 @@ def op5_token_output(spark: SparkSession, sf: str) -> DataFrame:
     return sequences.select("sequence_id", "doc_ids", "doc_starts", "cu_seqlens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold a benchmark item, and the item; other documents have no row."""
+    return find_leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     rows = shard_documents(_table(spark, sf, "documents"), SHARDS)
     crc = F.crc32(F.coalesce("text", F.lit("")))
@@ -103,6 +109,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_token_output": op5_token_output,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_fingerprints": op9_fingerprints,
