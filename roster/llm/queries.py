@@ -13,12 +13,14 @@ from roster.llm.packing import pack_documents
 from roster.llm.quality import fit_quality, score_quality
 from roster.llm.sharding import shard_documents
 from roster.llm.ship import send_package
+from roster.llm.suffix_dedup import repeats_report
 from roster.llm.token_output import read_sequences, write_tokens
 from roster.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END = 2
 SHARDS = 24
+QUALITY_THRESHOLD = 0.3
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -31,6 +33,10 @@ def _remainder(divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor, F.lit(-1))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats_report(_table(spark, sf, "documents")).drop("spans")
+
+
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     model = fit_languages(docs, _remainder(4) != 2)
@@ -76,7 +82,7 @@ def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
 def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     model = fit_quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"), "quality", _remainder(5) != 0)
     scores = score_quality(_table(spark, sf, "documents"), model)
-    return scores.withColumns({"held_out": _remainder(5) == 0, "predicted": (F.col("score") >= 0.3).cast("int")})
+    return scores.withColumns({"held_out": _remainder(5) == 0, "predicted": (F.col("score") >= QUALITY_THRESHOLD).cast("int")})
 
 
 def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,6 +111,7 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,

@@ -5,32 +5,50 @@ A-Z in lower case. A text with fewer words than a shingle takes is one shingle o
 without words has none.
 """
 
+from functools import lru_cache
+
 import numpy as np
 
 from roster.llm.batches import mixed
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_BASE = 0x9E3779B97F4A7C15
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+@lru_cache(maxsize=8)
+def _powers_up_to(base: int, n: int) -> np.ndarray:
     powers = np.full(n, base, np.uint64)
-    if n:
-        powers[0] = 1
+    powers[0] = 1
     return np.multiply.accumulate(powers)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    return _powers_up_to(base, 1 << max(16, n.bit_length()))[:n]
+
+
+class SpanHasher:
+    """64-bit hashes of values[start:end], equal for equal contents anywhere. ``base`` is any odd number."""
+
+    def __init__(self, values: np.ndarray, base: int = _BASE):
+        n = len(values)
+        self._sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _powers(base, n), out=self._sums[1:])
+        self._back = _powers(pow(base, -1, 1 << 64), n + 1)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mixed((self._sums[ends] - self._sums[starts]) * self._back[starts])
+
+    def windows(self, width: int) -> np.ndarray:
+        """The hash of the window that begins at each value."""
+        n = max(0, len(self._sums) - width)
+        return mixed((self._sums[width : width + n] - self._sums[:n]) * self._back[:n])
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for each pair, equal for equal contents anywhere."""
-    n = len(values)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
-    back = _powers(_INVERSE, n + 1)
-    return mixed((sums[ends] - sums[starts]) * back[starts])
+    return SpanHasher(values)(starts, ends)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
