@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from roster.llm.batches import slices
+from roster.llm.batches import slices, text_bytes
 from roster.llm.tokens import tokenizer
 
 WINDOW = 4096
@@ -139,9 +139,9 @@ def packed_groups(batches, path: str, end: int, window: int):
     """For each group of documents a task reads: ids of the documents, their tokens, and the sequences."""
     encode = tokenizer(path).encode
     ids, tokens, held = [], [], 0
-    for part in slices(batches, "text", 1 << 20):
+    for part in slices(batches, "text"):
         ids += part.column("doc_id").to_pylist()
-        for found in encode(part.column("text").to_pylist(), end):
+        for found in encode(*text_bytes(part.column("text")), end):
             tokens.append(found)
             held += len(found)
         if held >= GROUP_TOKENS:

@@ -51,8 +51,8 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return SpanHasher(values)(starts, ends)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of texts laid one after the other, and the offsets of the texts among them."""
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of texts laid one after the other begin and end, and the offsets of the texts among them."""
     inside = ~_GAP[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets[:-1]] = True
@@ -62,7 +62,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     last[offsets[1:]] = True
     finishes = inside & (last[1:] | np.concatenate([~inside[1:], [True]])[: len(data)])
     ends = np.flatnonzero(finishes) + 1
-    return span_hashes(_LOWER[data], starts, ends), np.searchsorted(starts, offsets)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def lower_case(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and the offsets of the texts among them."""
+    starts, ends, places = word_spans(data, offsets)
+    return span_hashes(lower_case(data), starts, ends), places
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
