@@ -1,9 +1,11 @@
 """Read registry drops: headered CSV files whose columns are found by name."""
 
-from concurrent.futures import ThreadPoolExecutor
+import re
 from functools import reduce
+from typing import NamedTuple
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,11 +14,31 @@ from roster.schema import ORDINAL, REGISTRY_HEADERS
 # Quotes are doubled inside a quoted cell; a backslash is an ordinary character.
 _DIALECT = {"header": True, "escape": '"', "encoding": "UTF-8"}
 
+# A row's place: folder, first number in the file's name, name, block of the file, row of the block.
+_PLACE = "struct<folder: string, number: decimal(38,0), file: string, block: long, row: long>"
+
+
+def literal_path(path: str) -> str:
+    """A path whose pattern characters stand for themselves."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
-    """The files below a path, in path order, but for those of no bytes; none is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return sorted(row.path for row in files.select("path").collect())
+    """The files below a path, but for those of no bytes; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(literal_path(path))
+    return [row.path for row in files.select("path").collect()]
+
+
+def _place(file: Column, block: Column, row: Column) -> Column:
+    """Folder, then the number in the file's name, then its name: part 100000 comes behind part 99999."""
+    encoded = F.substring_index(file, "/", -1)
+    folder = F.substr(file, F.lit(1), F.length(file) - F.length(encoded))
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    name = F.when(encoded.contains("%"), decoded).otherwise(encoded)
+    number = F.regexp_extract(name, "[0-9]+", 0).try_cast("decimal(38,0)")
+    return F.struct(
+        folder.alias("folder"), number.alias("number"), name.alias("file"), block.alias("block"), row.alias("row")
+    )
 
 
 def check_header(columns: list[str]) -> None:
@@ -31,7 +53,7 @@ def check_header(columns: list[str]) -> None:
 
 
 def _header(spark: SparkSession, file: str, multi_line: bool) -> tuple[str, ...]:
-    columns = spark.read.options(**_DIALECT, multiLine=multi_line).csv(file).columns
+    columns = spark.read.options(**_DIALECT, multiLine=multi_line).csv(literal_path(file)).columns
     check_header(columns)
     return tuple(columns)
 
@@ -41,55 +63,88 @@ def _scan(
 ) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     reader = spark.read.options(**_DIALECT, multiLine=multi_line, enforceSchema=not check)
-    scan = reader.schema(schema).csv(files)
+    scan = reader.schema(schema).csv([literal_path(file) for file in files])
     wanted = [
         (F.col(f"`{name}`") if name in header else F.lit("")).alias(column)
         for name, column in REGISTRY_HEADERS.items()
     ]
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+    place = _place(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    )
+    return scan.select(*wanted, place.alias(ORDINAL))
+
+
+class _Head(NamedTuple):
+    path: str
+    first: str
+    broken: bool
+
+
+def _heads(spark: SparkSession, files: list[str]) -> list[_Head]:
+    """For each file its first line, and whether any line has an odd number of quotes: one pass over the lines.
+
+    A quoted cell with a line break leaves the line where it begins with an odd number.
+    """
+    lines = spark.read.text([literal_path(file) for file in files]).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return scan.select(*wanted, position.alias(ORDINAL))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    heads = lines.groupBy("path").agg(
+        F.min(F.struct("block", "row", "value")).getField("value").alias("first"), F.max(quotes % 2 != 0).alias("broken")
+    )
+    # Spark gives the path as part of an address, with special characters encoded.
+    return [_Head(unquote(row.path), row.first_, row.broken) for row in heads.withColumnRenamed("first", "first_").collect()]
 
 
 def read_registry(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True, one_header: bool = False
+    spark: SparkSession, path: str | list[str], multi_line: bool | None = None, one_header: bool = False
 ) -> DataFrame:
     """The 13 needed columns of one file, of a list of files or of a folder, plus the ordinal.
 
-    Columns are taken by header name; a missing one reads as ''. Files with the same header share
-    one scan, so the plan grows with the number of different headers and not with the files. Finding
-    the headers takes a short job per file. For a drop of very many files written by one job,
-    ``one_header=True`` looks at one file only, and the scan fails if another one differs.
+    Columns are taken by header name; a missing one reads as ''. One pass over the lines of all files
+    finds the headers and the files in which a record goes over several lines. Those are read each by
+    one task, all others are split. Files with the same header are read together, so plan and jobs
+    grow with the number of different headers and not with the files.
 
-    A quoted line break makes a file unsplittable: deliver large drops as many part files, or pass
-    ``multi_line=False`` where cells hold no line breaks, and one file is read by many tasks.
+    ``multi_line`` True reads every file by one task, False refuses records of several lines. With
+    ``one_header`` a file whose header differs from the first one's makes the scan fail.
     """
-    files = list_files(spark, path) if isinstance(path, str) else sorted(path)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    if one_header:
-        header = next(filter(None, (_header(spark, file, multi_line) for file in files)), ())
-        groups[header] = files
-    else:
-        with ThreadPoolExecutor(16) as pool:
-            headers = list(pool.map(lambda file: _header(spark, file, multi_line), files))
-        for file, header in zip(files, headers):
-            groups.setdefault(header, []).append(file)
-    groups.pop((), None)  # files of no bytes have neither header nor rows
-    scans = [_scan(spark, group, header, multi_line, one_header) for header, group in groups.items()]
+    files = list_files(spark, path) if isinstance(path, str) else list(path)
+    heads = _heads(spark, files) if files else []
+    broken = sorted(head.path for head in heads if head.broken)
+    if broken and multi_line is False:
+        raise ValueError(f"a record goes over several lines in {broken[0]}")
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for head in sorted(heads, key=lambda head: head.path):
+        # A first line that is not a whole record says nothing about files that begin alike.
+        own = head.path if head.first.count('"') % 2 else ""
+        groups.setdefault((own or head.first, bool(head.broken or multi_line)), []).append(head.path)
+    found = {key: _header(spark, paths[0], key[1]) for key, paths in groups.items()}
+    if one_header and found:
+        first = next(iter(found.values()))
+        found = dict.fromkeys(found, first)
+    merged: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for (first, whole), paths in groups.items():
+        merged.setdefault((found[first, whole], whole), []).extend(paths)
+    scans = [_scan(spark, paths, header, whole, one_header) for (header, whole), paths in merged.items() if header]
     return reduce(DataFrame.unionByName, scans) if scans else _no_rows(spark)
 
 
 def _no_rows(spark: SparkSession) -> DataFrame:
     texts = ", ".join(f"{column} string" for column in REGISTRY_HEADERS.values())
-    return spark.createDataFrame([], f"{texts}, {ORDINAL} struct<file: string, block: long, row: long>")
+    return spark.createDataFrame([], f"{texts}, {ORDINAL} {_PLACE}")
+
 
+def write_registry(raw: DataFrame, path: str, columns: list[str] | None = None) -> None:
+    """Write raw rows as a drop of CSV part files whose order is the ordinal's order; all columns unless given.
 
-def write_registry(raw: DataFrame, path: str) -> None:
-    """Write raw rows as a drop of CSV part files whose path order is the ordinal's order."""
-    names = [F.col(column).alias(header) for header, column in REGISTRY_HEADERS.items()]
+    Spark runs ``raw`` twice, once to find the ranges: pass a stored frame if it is costly.
+    """
+    headers = {column: header for header, column in REGISTRY_HEADERS.items()}
+    names = [F.col(column).alias(headers[column]) for column in columns or headers]
     (
         raw.repartitionByRange(ORDINAL)
         .sortWithinPartitions(ORDINAL)

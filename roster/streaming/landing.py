@@ -1,16 +1,20 @@
 """Incremental load: drops that arrive in a landing folder are loaded in order of arrival."""
 
 import re
+import warnings
 from collections.abc import Callable
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from roster.plans.load import Targets, load
-from roster.sources.registry import read_registry
+from roster.sources.registry import literal_path, read_registry
+from roster.sources.table import commit_log, create_table
 
 # Fixed value: the schema of Spark's binaryFile source, which a file stream must be given.
 _BINARY_FILE = StructType(
@@ -22,39 +26,87 @@ _BINARY_FILE = StructType(
     ]
 )
 
+# A drop may be older than the newest one by any time: moving a file keeps its date.
+_ANY_AGE = "100000d"
 
-def drops(files: DataFrame, landing: str) -> DataFrame:
-    """Group listed files into drops, in order of arrival.
 
-    A drop is one entry of the landing folder: a file, or a folder of part files. Its load key
-    depends on the files alone, so it is the same in every attempt. Only paths are gathered; they
-    are what Spark's own listing holds on the driver as well.
+class Drop(NamedTuple):
+    """One entry of the landing folder: a file, or a folder of part files."""
+
+    entry: str
+    load_key: str
+
+
+def entry_of(path: Column, landing: str) -> Column:
+    below = f"^.*?{re.escape(urlsplit(landing).path.rstrip('/'))}/+"
+    return F.substring_index(F.regexp_replace(path, below, ""), "/", 1)
+
+
+def list_drops(spark: SparkSession, landing: str) -> list[Drop]:
+    """What lies in the landing folder, in order of arrival.
+
+    A load key is the entry's name and a sum over path, time and length of its files, so it is the same
+    in every attempt and another one when a file has changed. One row per entry is gathered, not the files.
     """
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(literal_path(landing))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
     arrived = F.unix_micros("modificationTime")
-    below = f"^.*?{re.escape(urlsplit(landing).path.rstrip('/'))}/+"
-    entry = F.substring_index(F.regexp_replace("path", below, ""), "/", 1)
-    return (
-        files.groupBy(entry.alias("entry"))
-        .agg(
-            F.min(arrived).alias("arrived"),
-            F.sort_array(F.collect_list(F.struct("path", arrived.alias("arrived")))).alias("files"),
-        )
+    content = F.sum(F.xxhash64("path", arrived, "length").cast("decimal(38,0)"))
+    rows = (
+        files.groupBy(entry_of(F.col("path"), landing).alias("entry"))
+        .agg(F.min(arrived).alias("arrived"), F.count("*").alias("files"), content.alias("content"))
         .orderBy("arrived", "entry")
-        .select(F.sha2(F.to_json("files"), 256).alias("load_key"), F.col("files.path").alias("paths"))
+        .collect()
     )
+    return [Drop(row.entry, f"{row.entry}:{row['files']}:{row.content}") for row in rows]
+
+
+def _load_drop(spark: SparkSession, landing: str, table: str, targets: Targets, drop: Drop, **how: bool) -> None:
+    raw = read_registry(spark, f"{landing.rstrip('/')}/{drop.entry}", **how)
+    load(spark, table, raw, targets, drop.load_key)
 
 
 def loader(landing: str, table: str, targets: Targets, **how: bool) -> Callable[[DataFrame, int], None]:
-    """The function that loads one micro-batch of file names into the table."""
+    """The function that loads the drops of one micro-batch of file names into the table."""
 
     def load_batch(files: DataFrame, batch_id: int) -> None:
         spark = files.sparkSession
-        for drop in drops(files, landing).collect():
-            load(spark, table, read_registry(spark, drop.paths, **how), targets, drop.load_key)
+        arrived = {row.entry for row in files.select(entry_of(F.col("path"), landing).alias("entry")).distinct().collect()}
+        for drop in list_drops(spark, landing):
+            if drop.entry in arrived:
+                _load_drop(spark, landing, table, targets, drop, **how)
 
     return load_batch
 
 
+def load_changed(spark: SparkSession, landing: str, table: str, targets: Targets, **how: bool) -> None:
+    """Load drops whose files changed under a name that was loaded before; a file stream only sees new names."""
+    create_table(spark, table)
+    keys = {row.load_key for row in commit_log(spark, table).select("load_key").distinct().collect()}
+    entries = {key.rsplit(":", 2)[0] for key in keys}
+    for drop in list_drops(spark, landing):
+        if drop.entry in entries and drop.load_key not in keys:
+            _load_drop(spark, landing, table, targets, drop, **how)
+
+
+def hidden_entries(spark: SparkSession, landing: str) -> list[str]:
+    """Names in the landing folder that Spark's readers pass over: they begin with ``_`` or ``.``.
+
+    Empty where the session has no access to the file system, as on Spark Connect.
+    """
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return []
+    path = jvm.org.apache.hadoop.fs.Path(landing)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in system.listStatus(path)] if system.exists(path) else []
+    return sorted(n for n in names if n[0] in "_." and not n.endswith((".crc", "_COPYING_")) and n != "_SUCCESS")
+
+
 def load_stream(
     spark: SparkSession,
     landing: str,
@@ -65,16 +117,24 @@ def load_stream(
 ) -> StreamingQuery:
     """Load every drop not seen before, then stop; missed runs are caught up by the next one.
 
-    Deliver each drop under a name of its own, and move it into the landing folder when complete.
+    Move each drop into the landing folder when it is complete. Its date does not matter. A file that
+    was replaced under its old name is loaded again, as a drop of its own; since loads only insert, the
+    people already known stay as they are. Names that begin with ``_`` or ``.`` cannot be read: a
+    warning names them.
+
     The stream carries names and times only. Content is read by the load of each drop, so a later
     drop meets the earlier ones in the table, exactly as in separate runs. ``how`` is passed on to
     ``read_registry``.
     """
+    if passed_over := hidden_entries(spark, landing):
+        warnings.warn(f"not loaded, as their names begin with _ or a dot: {', '.join(passed_over)}", stacklevel=2)
+    load_changed(spark, landing, table, targets, **how)
     names = (
         spark.readStream.format("binaryFile")
         .schema(_BINARY_FILE)
         .option("recursiveFileLookup", True)
-        .load(landing)
+        .option("maxFileAge", _ANY_AGE)
+        .load(literal_path(landing))
         .select("path", "modificationTime")
     )
     return (

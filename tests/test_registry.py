@@ -117,6 +117,39 @@ def test_file_order_over_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_parts_are_read_in_the_order_of_their_numbers(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    for number in (99999, 100000, 99998):
+        write(drop / f"part-{number}-x.csv", f"License Number\n{number}\n")
+    write(drop / "a.csv", "License Number\n0\n")
+    assert values(read_registry(spark, str(drop)), "license_number") == [("0",), ("99998",), ("99999",), ("100000",)]
+
+
+def test_only_files_with_records_over_several_lines_are_read_whole(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    write(drop / "a.csv", "License Number,First Name\n" + "".join(f"{i},Ana\n" for i in range(3000)))
+    write(drop / "b.csv", 'License Number,First Name\n3000,"two\nlines"\n3001,"a ""b"""\n')
+    write(drop / "c.csv", "First Name,License Number\nCid,3002\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        rows = read_registry(spark, str(drop))
+        assert rows.rdd.getNumPartitions() > 5
+        found = values(rows, "license_number", "first_name")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[2999:] == [("2999", "Ana"), ("3000", "two\nlines"), ("3001", 'a "b"'), ("3002", "Cid")]
+    assert [int(n) for n, _ in found] == list(range(3003))
+    with pytest.raises(ValueError, match="several lines in .*b.csv"):
+        read_registry(spark, str(drop), multi_line=False)
+
+
+def test_names_with_pattern_characters(spark, tmp_path):
+    rows = read_registry(spark, write(tmp_path / "r[1]{a,b}*.csv", "License Number\n7\n"))
+    assert values(rows, "license_number") == [("7",)]
+
+
 def test_written_rows_read_back(spark, registry, tmp_path):
     odd = [" blank ", 'q"uote', '="7"', "a,b", "two\nlines", "cr\r\nlf", "back\\", "é", "", None]
     raw = registry(*[{"email": v, "addr1": v, "license_number": str(i)} for i, v in enumerate(odd)])

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from roster.plans.load import load
 from roster.sources.registry import read_registry
 from roster.sources.table import commit_log, read_table
@@ -94,3 +96,33 @@ def test_an_interrupted_micro_batch_is_completed(spark, targets, tmp_path, monke
             assert "lost" in str(error)
     assert read_table(spark, str(tmp_path / "table")).count() == 1
     assert run(spark, tmp_path, targets) == [(1, "1", "A"), (2, "3", "B")]
+
+
+def test_a_drop_of_any_age_is_loaded(spark, targets, tmp_path):
+    landing, now = tmp_path / "landing", 1_700_000_000
+    drop(landing / "new.csv", now, ("A", "", 1))
+    run(spark, tmp_path, targets)
+    drop(landing / "late.csv", now - 9 * 86_400, ("B", "", 2))
+    drop(landing / "very-late.csv", now - 400 * 86_400, ("C", "", 3))
+    assert run(spark, tmp_path, targets) == [(1, "1", "A"), (2, "3", "C"), (3, "2", "B")]
+
+
+def test_a_file_replaced_under_its_name_is_loaded_again(spark, targets, tmp_path):
+    landing = tmp_path / "landing"
+    drop(landing / "daily.csv", 1_000_000, ("A", "", 1))
+    assert run(spark, tmp_path, targets) == [(1, "1", "A")]
+    drop(landing / "daily.csv", 2_000_000, ("A", "", 1), ("B", "", 2))
+    drop(landing / "other.csv", 3_000_000, ("C", "", 3))
+    want = [(1, "1", "A"), (2, "2", "B"), (3, "3", "C")]
+    assert run(spark, tmp_path, targets) == want
+    assert run(spark, tmp_path, targets) == want
+    assert commit_log(spark, str(tmp_path / "table")).count() == 4
+
+
+def test_names_with_pattern_characters_and_hidden_names(spark, targets, tmp_path):
+    landing = tmp_path / "landing"
+    drop(landing / "r[1].csv", 1_000_000, ("A", "", 1))
+    drop(landing / "{x,y} *?.csv", 2_000_000, ("B", "", 2))
+    drop(landing / "_r.csv", 3_000_000, ("C", "", 3))
+    with pytest.warns(UserWarning, match="_r.csv"):
+        assert run(spark, tmp_path, targets) == [(1, "1", "A"), (2, "2", "B")]
