@@ -3,8 +3,7 @@
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roster.operators.dedupe import duplicate_ids, keep_first
@@ -12,7 +11,7 @@ from roster.operators.merge import FEW_ROWS, append, assign_ids, insert_new
 from roster.operators.normalise import filter_target, scan_metrics, to_licences
 from roster.schema import IDENTITY, LICENCE, ORDINAL
 from roster.session import freeze
-from roster.sources.table import append_batch, create_table, read_table, replace_table
+from roster.sources.table import append_batch, commit_of, create_table, read_table, replace_table
 
 
 class Targets(NamedTuple):
@@ -45,30 +44,23 @@ def load_report(before: DataFrame, after: DataFrame) -> DataFrame:
     ).withColumn("rows_added", F.col("rows_after") - F.col("rows_before"))
 
 
-def load(spark: SparkSession, root: str, raw: DataFrame, targets: Targets, load_key: str) -> dict:
-    """Load one drop into the stored table, all or nothing, and report the counts.
+def load(
+    spark: SparkSession, root: str, raw: DataFrame, targets: Targets, load_key: str, count_scan: bool = True
+) -> dict:
+    """Load one drop into the stored table, all or nothing, and report the counts, all of them exact.
 
-    A load key that is committed already is not loaded again. The batch is written down before
+    A load key committed since the last restore is not loaded again. The batch is written down before
     the merge: Spark then knows its size, and a daily batch against a large table becomes a
-    broadcast, with no shuffle of the table. ``rows_read`` and ``rows_matched`` are counted in
-    passing; tasks repeated after the loss of an executor can count twice there, but in no other
-    number and in no row.
+    broadcast, with no shuffle of the table. ``rows_read`` and ``rows_matched`` take a pass over three
+    columns of the drop; without ``count_scan`` they are None.
     """
     state = create_table(spark, root)
-    done = state.commit_of(load_key)
+    done = commit_of(spark, root, load_key)
     if done is not None:
-        before = sum(c.rows for c in state.commits if c.seq < done.seq)
-        return _report(before, done.rows, done.rows_read, done.rows_matched, done.rows_staged)
-
-    read, matched = Observation(), Observation()
-    watched = raw.observe(read, F.count(F.lit(1)).alias("rows"))
-    kept = filter_target(watched, *targets).observe(matched, F.count(F.lit(1)).alias("rows"))
-    staged = freeze(keep_first(to_licences(kept), IDENTITY, [ORDINAL]), "staged")
-    try:
-        rows_read, rows_matched = read.get["rows"], matched.get["rows"]
-    except Py4JJavaError:
-        # Spark skips a scan that cannot contribute, as with an empty city list; nothing was counted.
-        rows_read, rows_matched = scan_metrics(raw, *targets).first()
+        return _report(done.rows_before, done.rows, done.rows_read, done.rows_matched, done.rows_staged)
+
+    staged = freeze(stage(raw, targets), "staged")
+    rows_read, rows_matched = scan_metrics(raw, *targets).first() if count_scan else (None, None)
     counts = {"rows_read": rows_read, "rows_matched": rows_matched, "rows_staged": staged.count()}
     fresh = insert_new(read_table(spark, root, state), staged) if state.rows else staged
     numbered = assign_ids(fresh, state.last_id, [ORDINAL], at_most=counts["rows_staged"])
@@ -76,7 +68,7 @@ def load(spark: SparkSession, root: str, raw: DataFrame, targets: Targets, load_
     return _report(state.rows, added, *counts.values())
 
 
-def _report(before: int, added: int, read: int, matched: int, staged: int) -> dict[str, int]:
+def _report(before: int, added: int, read: int | None, matched: int | None, staged: int) -> dict[str, int | None]:
     return {
         "rows_read": read,
         "rows_matched": matched,
@@ -93,7 +85,8 @@ def repair(spark: SparkSession, root: str, load_key: str) -> int:
     The ids to drop are written down first; as they are few, the table is filtered by a broadcast
     and keeps its layout by id. Without duplicates nothing is rewritten.
     """
-    licences = read_table(spark, root)
+    state = create_table(spark, root)
+    licences = read_table(spark, root, state)
     surplus = freeze(duplicate_ids(licences), "surplus")
     dropped = surplus.count()
     if dropped:
@@ -101,5 +94,5 @@ def repair(spark: SparkSession, root: str, load_key: str) -> int:
         if dropped > FEW_ROWS:
             # So many ids may be joined by a shuffle, which scatters the ids: lay them out again.
             kept = kept.repartitionByRange("id").sortWithinPartitions("id")
-        replace_table(spark, root, kept, load_key)
+        replace_table(spark, root, kept, load_key, state, expected=state.rows - dropped)
     return dropped

@@ -63,3 +63,13 @@ SEND_LOG = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
+
+# Staff edits; a NULL leaves the stored value.
+EDITS = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("edited_at", T.TimestampType()),
+        T.StructField("checked", T.BooleanType()),
+        T.StructField("personal_email", T.StringType()),
+    ]
+)

@@ -1,69 +1,125 @@
 """The licence table on shared storage.
 
-Rows live in Parquet folders that are written once and never changed. A ``commits`` table, one row
-per change, names the folders that make up the table. A change becomes visible by its commit row,
-so a job that fails half-way leaves the table as it was. One loader at a time may write.
+Rows live in Parquet folders that are written once and never changed. A ``commits`` table, one folder
+with one row per change, names the folders that make up the table. A change becomes visible by its
+commit, so a job that fails half-way leaves the table as it was.
+
+Every change is built on a state and says on which. It is refused if the table has moved on since: when
+it would be committed, and again when another change turns out to have been committed beside it. Then
+nothing of it is in the table, and it is to be run again.
 """
 
 import uuid
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from roster.schema import LICENCE
+from roster.schema import EDITS, LICENCE
+
+# A commit is made on the one before it, (base_version, base_seq); ``restored`` marks a restore.
+_COMMIT = """version int, seq int, base_version int, base_seq int, restored boolean, load_key string, folder string,
+    rows long, rows_before long, last_id long, rows_read long, rows_matched long, rows_staged long"""
+
 
-_COMMIT = """version int, seq int, load_key string, folder string,
-    rows long, last_id long, rows_read long, rows_matched long, rows_staged long"""
+class ConcurrentChange(RuntimeError):
+    """The table was changed while a change was prepared; run the change again."""
 
 
 class TableState(NamedTuple):
-    """The current version: its commit rows, rows in all, and the highest id ever given."""
+    """The current version: its commits, rows in all, and the highest id ever given."""
 
     version: int
     commits: list
     rows: int
     last_id: int
 
-    def commit_of(self, load_key: str):
-        return next((c for c in self.commits if c.load_key == load_key), None)
+    @property
+    def head(self) -> tuple[int, int]:
+        return self.version, self.commits[-1].seq
 
 
 def empty_licences(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LICENCE)
 
 
+def _read(spark: SparkSession, schema, path: str) -> DataFrame | None:
+    """A folder of Parquet folders, or None where there is none."""
+    try:
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def commit_log(spark: SparkSession, root: str) -> DataFrame:
     """All commits; one row per load, repair or restore."""
-    return spark.read.schema(_COMMIT).parquet(f"{root}/commits")
+    log = _read(spark, _COMMIT, f"{root}/commits")
+    return log if log is not None else spark.createDataFrame([], _COMMIT)
 
 
 def table_state(spark: SparkSession, root: str) -> TableState | None:
-    """The table's state, or None where there is no table."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/commits")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    """The table's state, or None where there is no table. Only the latest version's commits are gathered."""
+    log = commit_log(spark, root)
+    version, last_id = log.agg(F.max("version"), F.max("last_id")).first()
+    if version is None:
         return None
-    commits = commit_log(spark, root).orderBy("version", "seq").collect()
-    if not commits:
-        return None
-    version = commits[-1].version
-    current = [c for c in commits if c.version == version]
+    commits = log.where(F.col("version") == version).orderBy("seq").collect()
+    if len({c.seq for c in commits}) < len(commits):
+        raise ConcurrentChange(f"two changes were committed as one in version {version} of {root}")
     # Ids of removed rows stay used up: the send log may still refer to them.
-    return TableState(version, current, sum(c.rows for c in current), max(c.last_id for c in commits))
+    return TableState(version, commits, sum(c.rows for c in commits), last_id)
+
+
+def commit_of(spark: SparkSession, root: str, load_key: str):
+    """The commit with this load key since the last restore, or None.
+
+    A commit that came too late, onto a version that had been replaced, does not count.
+    """
+    log = commit_log(spark, root)
+    since = F.coalesce(F.max(F.when(F.col("restored"), F.col("version"))), F.lit(0))
+    first = log.agg(since).first()[0]
+    replaced = log.where((F.col("seq") == 0) & (F.col("version") > 0))
+    ends = replaced.select(F.col("base_version").alias("version"), F.col("base_seq").alias("last_seq"))
+    known = log.where((F.col("load_key") == load_key) & (F.col("version") >= first))
+    valid = known.join(ends, "version", "left").where(F.col("last_seq").isNull() | (F.col("seq") <= F.col("last_seq")))
+    return valid.orderBy("version", "seq").first()
 
 
 def _commit(spark: SparkSession, root: str, **values) -> None:
     fields = StructType.fromDDL(_COMMIT).fields
     columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in fields]
-    spark.range(1, numPartitions=1).select(*columns).write.mode("append").parquet(f"{root}/commits")
+    name = f"{values['version']:09d}-{values['seq']:09d}"
+    row = spark.range(1, numPartitions=1).select(*columns)
+    try:
+        row.write.mode("errorifexists").parquet(f"{root}/commits/{name}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        raise ConcurrentChange(f"{root} has a commit {name} already") from error
+
+
+def _commit_on(spark: SparkSession, root: str, base: TableState, **values) -> None:
+    """Commit a change built on ``base``, if that is still the table, and see that it is the only one."""
+    place = (values["version"], values["seq"])
+    state = table_state(spark, root)
+    if state is None or state.head != base.head:
+        raise ConcurrentChange(f"{root} changed since {base.head}: now {state and state.head}")
+    _commit(spark, root, base_version=base.version, base_seq=base.commits[-1].seq, **values)
+    after = commit_log(spark, root).where((F.col("base_version") == base.version) & (F.col("base_seq") == base.commits[-1].seq))
+    others = [(c.version, c.seq) for c in after.collect()]
+    if others != [place]:
+        raise ConcurrentChange(f"{root}: {others} were built on {base.head} at the same time; only the highest is in the table")
 
 
 def create_table(spark: SparkSession, root: str) -> TableState:
     """Create an empty table if there is none."""
     state = table_state(spark, root)
     if state is None:
-        _commit(spark, root, version=0, seq=0, load_key="create", rows=0, last_id=0)
+        _commit(spark, root, version=0, seq=0, load_key="create", restored=False, rows=0, rows_before=0, last_id=0)
     return state or table_state(spark, root)
 
 
@@ -87,44 +143,84 @@ def _write_folder(licences: DataFrame, root: str, label: str) -> tuple[str, int,
 def append_batch(
     spark: SparkSession, root: str, state: TableState, load_key: str, licences: DataFrame, **metrics: int
 ) -> int:
-    """Add rows to the current version and return how many they were."""
+    """Add rows to the version they were built on and return how many they were."""
     seq = state.commits[-1].seq + 1
     folder, rows, last_id = _write_folder(licences, root, f"load-{seq}")
-    _commit(
+    _commit_on(
         spark,
         root,
+        state,
         version=state.version,
         seq=seq,
         load_key=load_key,
+        restored=False,
         folder=folder,
         rows=rows,
+        rows_before=state.rows,
         last_id=max(last_id, state.last_id),
         **metrics,
     )
     return rows
 
 
-def replace_table(spark: SparkSession, root: str, licences: DataFrame, load_key: str) -> None:
-    """Make ``licences`` the table's next version. It may be computed from the current one."""
-    state = create_table(spark, root)
+def replace_table(
+    spark: SparkSession,
+    root: str,
+    licences: DataFrame,
+    load_key: str,
+    state: TableState | None = None,
+    restored: bool = False,
+    expected: int | None = None,
+) -> None:
+    """Make ``licences`` the table's next version. If computed from the table, pass the state it was read at.
+
+    With ``expected`` nothing is committed unless so many rows were written.
+    """
+    state = state or create_table(spark, root)
     version = state.version + 1
     folder, rows, last_id = _write_folder(licences, root, f"version-{version}")
-    _commit(
+    if expected is not None and rows != expected:
+        raise RuntimeError(f"{rows} rows were written where {expected} were expected; the table is unchanged")
+    _commit_on(
         spark,
         root,
+        state,
         version=version,
         seq=0,
         load_key=load_key,
+        restored=restored,
         folder=folder,
         rows=rows,
+        rows_before=state.rows,
         last_id=max(last_id, state.last_id),
     )
 
 
+def compact(spark: SparkSession, root: str) -> None:
+    """Rewrite the table as one folder laid out by id."""
+    state = create_table(spark, root)
+    rows = read_table(spark, root, state).repartitionByRange("id").sortWithinPartitions("id")
+    replace_table(spark, root, rows, f"compact-{uuid.uuid4().hex}", state, expected=state.rows)
+
+
+def record_edits(edits: DataFrame, root: str) -> None:
+    """Append staff edits: an id, when it was made, and new values for ``checked`` or ``personal_email``."""
+    edits.select(*EDITS.fieldNames()).write.mode("append").parquet(f"{root}/edits")
+
+
+def read_edits(spark: SparkSession, root: str) -> DataFrame:
+    edits = _read(spark, EDITS, f"{root}/edits")
+    return edits if edits is not None else spark.createDataFrame([], EDITS)
+
+
 def snapshot(licences: DataFrame, root: str, ts: str) -> str:
-    """Write the whole table under a time stamp; refuses to overwrite an older snapshot."""
+    """Write the whole table under a time stamp; refuses to overwrite an older snapshot.
+
+    A second folder, written last, says that the snapshot is complete and how many rows it has.
+    """
     path = f"{root}/snapshot_ts={ts}"
     licences.write.parquet(path)
+    licences.sparkSession.read.schema(LICENCE).parquet(path).agg(F.count("*").alias("rows")).write.parquet(f"{root}/complete_ts={ts}")
     return path
 
 
@@ -133,10 +229,12 @@ def read_snapshot(spark: SparkSession, root: str, ts: str) -> DataFrame:
 
 
 def restore(spark: SparkSession, snapshots: str, ts: str, root: str) -> int:
-    """Replace the table by a snapshot and return the number of rows now in it."""
-    saved = read_snapshot(spark, snapshots, ts)
-    replace_table(spark, root, saved, f"restore-{ts}-{uuid.uuid4().hex}")
-    rows = table_state(spark, root).rows
-    if rows != saved.count():
-        raise RuntimeError(f"restored {rows} rows, but the snapshot differs")
+    """Replace the table by a complete snapshot and return the number of rows now in it."""
+    complete = _read(spark, "rows long", f"{snapshots}/complete_ts={ts}")
+    if complete is None:
+        raise ValueError(f"the snapshot {ts} in {snapshots} is not complete")
+    rows = complete.first().rows
+    replace_table(
+        spark, root, read_snapshot(spark, snapshots, ts), f"restore-{ts}-{uuid.uuid4().hex}", restored=True, expected=rows
+    )
     return rows

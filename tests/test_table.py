@@ -4,13 +4,21 @@ import random
 
 import pytest
 
+from roster.operators.outreach import apply_edits
 from roster.plans.load import load, merged, repair, stage
+from roster.sources import table
 from roster.sources.registry import read_cities
 from roster.sources.table import (
+    ConcurrentChange,
+    append_batch,
     commit_log,
+    commit_of,
+    compact,
     create_table,
     empty_licences,
+    read_edits,
     read_table,
+    record_edits,
     replace_table,
     restore,
     snapshot,
@@ -133,3 +141,103 @@ def test_create_only_if_absent(spark, licences, tmp_path):
     replace_table(spark, root, licences((1, "A", None)), "fill")
     create_table(spark, root)
     assert read_table(spark, root).count() == 1
+
+
+def test_a_load_over_a_repair_is_refused_and_can_be_repeated(spark, registry, targets, licences, tmp_path):
+    root = str(tmp_path / "t")
+    replace_table(spark, root, licences((1, "A", "a@x"), (2, "A", "a@x")), "fill")
+    state = table_state(spark, root)
+    repair(spark, root, "repair")
+    with pytest.raises(ConcurrentChange):
+        append_batch(spark, root, state, "late", licences((3, "N", "n@x")))
+    assert [r.id for r in read_table(spark, root).collect()] == [1]
+    assert load(spark, root, registry(row(1, "N", "n@x")), targets, "late")["rows_added"] == 1
+
+
+def test_two_loads_from_one_state(spark, licences, tmp_path):
+    root = str(tmp_path / "t")
+    state = create_table(spark, root)
+    append_batch(spark, root, state, "one", licences((1, "A", None)))
+    with pytest.raises(ConcurrentChange):
+        append_batch(spark, root, state, "two", licences((1, "B", None)))
+    assert [(r.id, r.full_name) for r in read_table(spark, root).collect()] == [(1, "A")]
+
+
+@pytest.mark.parametrize("other", ["append", "replace"])
+def test_a_change_committed_at_the_same_time_is_noticed(spark, licences, tmp_path, monkeypatch, other):
+    """The other change is committed between the check and the commit."""
+    root, real = str(tmp_path / "t"), table._commit
+    state = create_table(spark, root)
+
+    def raced(spark_, root_, **values):
+        place = {"version": 0, "seq": 1} if other == "append" else {"version": 1, "seq": 0}
+        real(spark_, root_, **{**values, **place, "load_key": "other", "folder": None, "rows": 0})
+        real(spark_, root_, **values)
+
+    monkeypatch.setattr(table, "_commit", raced)
+    with pytest.raises(ConcurrentChange):
+        append_batch(spark, root, state, "mine", licences((1, "A", None)))
+    assert read_table(spark, root).collect() == []
+    # The late commit is in no version that is read, so its key is not taken for done.
+    assert commit_of(spark, root, "mine") is None
+
+
+def test_keys_outlive_repairs_but_not_restores(spark, registry, targets, licences, tmp_path):
+    root, saved = str(tmp_path / "t"), str(tmp_path / "saved")
+    replace_table(spark, root, licences((1, "A", "a@x"), (2, "A", "a@x")), "fill")
+    snapshot(read_table(spark, root), saved, "1")
+    report = load(spark, root, registry(*SECOND), targets, "one")
+    repair(spark, root, "repair")
+    before = table_state(spark, root).head
+    assert load(spark, root, registry(*SECOND), targets, "one") == report
+    assert table_state(spark, root).head == before
+    restore(spark, saved, "1", root)
+    assert load(spark, root, registry(*SECOND), targets, "one")["rows_added"] == report["rows_added"]
+
+
+def test_a_damaged_snapshot_is_not_restored(spark, licences, tmp_path):
+    root, saved = str(tmp_path / "t"), str(tmp_path / "saved")
+    replace_table(spark, root, licences((1, "A", None), (2, "B", None)), "fill")
+    before = content(read_table(spark, root))
+    snapshot(read_table(spark, root).repartition(2), saved, "1")
+    for part in (tmp_path / "saved" / "snapshot_ts=1").glob("part-*"):
+        part.unlink()
+        break
+    with pytest.raises(RuntimeError, match="the table is unchanged"):
+        restore(spark, saved, "1", root)
+    licences((1, "A", None)).write.parquet(f"{saved}/snapshot_ts=2")
+    with pytest.raises(ValueError, match="not complete"):
+        restore(spark, saved, "2", root)
+    assert content(read_table(spark, root)) == before
+
+
+def test_compaction_keeps_rows_and_ids(spark, registry, targets, tmp_path):
+    root = str(tmp_path / "t")
+    load(spark, root, registry(*FIRST), targets, "one")
+    load(spark, root, registry(*SECOND), targets, "two")
+    before = content(read_table(spark, root))
+    compact(spark, root)
+    assert content(read_table(spark, root)) == before
+    assert len(table_state(spark, root).commits) == 1
+    assert load(spark, root, registry(*SECOND), targets, "two")["rows_added"] == 2
+
+
+def test_loads_without_scan_counts(spark, registry, targets, tmp_path):
+    report = load(spark, str(tmp_path / "t"), registry(*FIRST), targets, "one", count_scan=False)
+    assert (report["rows_read"], report["rows_matched"], report["rows_staged"]) == (None, None, 2)
+
+
+def test_edits(spark, licences, tmp_path):
+    root = str(tmp_path / "t")
+    rows = licences((1, "A", None), (2, "B", None, True), (3, "C", None))
+    assert content(apply_edits(rows, read_edits(spark, root))) == content(rows)
+
+    def edit(*values):
+        schema = "id long, edited_at string, checked boolean, personal_email string"
+        edits = spark.createDataFrame(values, schema)
+        record_edits(edits.withColumn("edited_at", edits.edited_at.cast("timestamp")), root)
+
+    edit((1, "2026-01-02 00:00:00", True, None), (2, "2026-01-01 00:00:00", False, "b@x"))
+    edit((1, "2026-01-01 00:00:00", False, "a@x"), (9, "2026-01-01 00:00:00", True, None))
+    got = apply_edits(rows, read_edits(spark, root)).orderBy("id").collect()
+    assert [(r.id, r.checked, r.personal_email) for r in got] == [(1, True, "a@x"), (2, False, "b@x"), (3, False, None)]
