@@ -39,20 +39,33 @@ def clean_cell(c: Column) -> Column:
 
     What was inside the quotes is kept as it is, blanks included.
     """
-    return _strip_and_unwrap(_trimmed(c))
+    return _strip_and_unwrap(trimmed(c))
 
 
-def clean_cell_compact(c: Column) -> Column:
-    """``clean_cell`` by a lambda: less generated code, for use on many cells of a row."""
-    return F.get(F.transform(F.array(_trimmed(c)), _strip_and_unwrap), F.lit(0))
+def clean_trimmed_compact(cell: Column) -> Column:
+    """``clean_cell`` of a trimmed cell, for use on many cells of a row.
+
+    What settles nearly every cell is compiled into the stage. Only exotic white space goes through a
+    lambda, which keeps its longer code out of the generated method.
+    """
+    rare = F.get(F.transform(F.array(cell), _strip_exotic), F.lit(0))
+    return _settled(cell, rare)
 
 
-def _trimmed(c: Column) -> Column:
+def trimmed(c: Column) -> Column:
     return F.trim(F.coalesce(c, F.lit("")))
 
 
 def _strip_and_unwrap(cell: Column) -> Column:
-    """The rest of the cleaning, after a plain trim.
+    return _settled(cell, _strip_exotic(cell))
+
+
+def _strip_exotic(cell: Column) -> Column:
+    return F.regexp_replace(F.btrim(cell, F.lit(WHITESPACE)), _WRAPPED, "$1")
+
+
+def _settled(cell: Column, rare: Column) -> Column:
+    """The rest of the cleaning, after a plain trim; ``rare`` is for what is not settled here.
 
     Nearly every cell is settled by fast native functions: it is wrapped, or it begins and ends with
     a printable ASCII character. Only the others, with exotic white space or letters at an end, are
@@ -63,7 +76,7 @@ def _strip_and_unwrap(cell: Column) -> Column:
     return (
         F.when(cell.startswith('="') & cell.endswith('"'), inside)
         .when(F.lit(_PRINTABLE).contains(ends[0]) & F.lit(_PRINTABLE).contains(ends[1]), cell)
-        .otherwise(F.regexp_replace(F.btrim(cell, F.lit(WHITESPACE)), _WRAPPED, "$1"))
+        .otherwise(rare)
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roster.functions.predicates import has_class, is_in_state
-from roster.functions.text import clean_cell_compact, full_name, mailing_address, upper_cell
+from roster.functions.text import clean_trimmed_compact, full_name, mailing_address, trimmed, upper_cell
 from roster.schema import ORDINAL, REGISTRY_HEADERS
 
 
@@ -35,9 +35,11 @@ def clean_registry(raw: DataFrame) -> DataFrame:
     """Raw rows with every cell cleaned.
 
     Thirteen full copies of the expression in one generated method would be too long for the JVM
-    to compile, and then run several times slower; hence the compact form.
+    to compile, and then run several times slower; hence the compact form, over trimmed columns.
     """
-    return raw.withColumns({c: clean_cell_compact(F.col(c)) for c in REGISTRY_HEADERS.values()})
+    cells = REGISTRY_HEADERS.values()
+    plain = raw.withColumns({c: trimmed(F.col(c)) for c in cells})
+    return plain.withColumns({c: clean_trimmed_compact(F.col(c)) for c in cells})
 
 
 def to_licences(raw: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from roster.schema import BATCH_COLUMNS
 # Fixed value: rows on a page.
 PAGE_SIZE = 50
 
-_LARGEST_PAGE = 2**40
+_LARGEST_LONG = 2**63 - 1
 
 
 def status_filter(licences: DataFrame, status: str) -> DataFrame:
@@ -32,8 +32,8 @@ def status_tallies(licences: DataFrame) -> DataFrame:
 def requested_page(page: object) -> int:
     """The page a caller asks for; what is not a number, or is below 1, means page 1."""
     try:
-        return max(1, min(int(page), _LARGEST_PAGE))
-    except (TypeError, ValueError):
+        return max(1, int(page))
+    except (TypeError, ValueError, OverflowError):
         return 1
 
 
@@ -46,14 +46,14 @@ def page_info(
     licences: DataFrame, status: str = "all", page: object = 1, size: int = PAGE_SIZE
 ) -> DataFrame:
     """One row: rows of the status, number of pages (at least 1) and the page within them."""
-    pages = F.greatest(F.lit(1), F.ceil(F.col("total") / size)).cast("long")
+    pages = F.greatest(F.lit(1), F.expr(f"(total + {size - 1}) div {size}")).cast("long")
+    wanted = requested_page(page)
+    shown = F.least(F.lit(wanted), "total_pages") if wanted <= _LARGEST_LONG else F.col("total_pages")
     return (
         status_tallies(licences)
         .select(_total(status).alias("total"))
         .select("total", pages.alias("total_pages"))
-        .select(
-            "total", "total_pages", F.least(F.lit(requested_page(page)), "total_pages").alias("page")
-        )
+        .select("total", "total_pages", shown.cast("long").alias("page"))
     )
 
 
@@ -68,5 +68,5 @@ def status_page(
     shown = page_info(licences, status, page, size).first()["page"]
     rows = slice_by_rank(status_filter(licences, status), (shown - 1) * size, size, shallow)
     return (
-        rows.orderBy("id").limit(size).select(*BATCH_COLUMNS, tel_link(F.col("business_phone")).alias("phone_href"))
+        rows.select(*BATCH_COLUMNS, tel_link(F.col("business_phone")).alias("phone_href"))
     )

@@ -11,6 +11,8 @@ from roster.session import freeze
 CLASSES = ["1-URGENT", "2-HIGH"]
 # Orders before this date make up the stored table, the others the new batch.
 CUT = "1997-01-01"
+# Orders before this date come in a late drop.
+EARLY = "1993-01-01"
 
 
 # The schemas of the benchmark tables in use.
@@ -125,6 +127,33 @@ def old_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_edits(as_table(normalise_registry(raw, *targets(spark, sf_dir))))
 
 
+def staff_edits(licences: DataFrame) -> list[DataFrame]:
+    """Two days of edits: every fourth id is checked, then every eighth is not any more; some get an e-mail."""
+    every = F.col("id")
+    first = licences.where(every % 4 == 0).select(
+        "id",
+        F.lit("2026-01-01 10:00:00").cast("timestamp").alias("edited_at"),
+        F.lit(True).alias("checked"),
+        F.when(every % 3 == 0, F.concat(F.lit("first"), every.cast("string"))).alias("personal_email"),
+    )
+    second = licences.where(every % 8 == 0).select(
+        "id",
+        F.lit("2026-01-02 10:00:00").cast("timestamp").alias("edited_at"),
+        F.lit(False).alias("checked"),
+        F.when(every % 5 == 0, F.lit("second@example.com")).alias("personal_email"),
+    )
+    return [second, first]
+
+
+def move_with_date(spark: SparkSession, source: str, target: str, days_ago: int) -> None:
+    """Move a folder, with its files dated back, as a drop that was made long before it arrives."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    system = paths(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(paths(source)):
+        system.setTimes(status.getPath(), status.getModificationTime() - days_ago * 86_400_000, -1)
+    system.rename(paths(source), paths(target))
+
+
 def send_log(candidates: DataFrame) -> DataFrame:
     """Attempts for the given candidates; every fifth id fails."""
     ok = F.col("id") % 5 != 0

@@ -1,10 +1,12 @@
 """The queries again as SQL, for an independent check with DuckDB."""
 
-from roster.functions.text import WHITESPACE
 from roster.plans.queries import MESSAGE
 
-_SPACES = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
-_GAP = "[,." + "".join(rf"\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
+# The 29 code points of white space.
+_POINTS = """9 10 11 12 13 28 29 30 31 32 133 160 5760 8192 8193 8194 8195 8196 8197 8198 8199 8200 8201 8202
+8232 8233 8239 8287 12288""".split()
+_SPACES = " || ".join(f"chr({point})" for point in _POINTS)
+_GAP = "[,." + "".join(rf"\x{{{int(point):x}}}" for point in _POINTS) + "]+"
 
 
 def _text(value: str) -> str:
@@ -188,6 +190,8 @@ SELECT id, {_text(MESSAGE["sender"])} AS from_addr, business_email AS to_addr,
 FROM {source}"""
 
 
+_CELLS = """license_number first_name middle_name last_name npn_number license_desc email phone addr1 addr2 city
+state zip""".split()
 _BATCH_ROWS = "license_number, full_name, npn_number, license_type, business_email, business_phone, mailing_address, personal_email, checked"
 
 ORACLES: dict[str, str] = {
@@ -200,7 +204,7 @@ ORACLES: dict[str, str] = {
     + " SELECT ordinal, "
     + ", ".join(
         f"{_clean(c)} AS {c}"
-        for c in ("license_number", "npn_number", "license_desc", "email", "phone", "addr1", "addr2", "city", "state", "zip")
+        for c in _CELLS
     )
     + " FROM raw",
     "clean_documents": f"SELECT doc_id, {_clean('text')} AS cell, {_name_part('text')} AS name_part,"
@@ -242,7 +246,7 @@ ORACLES: dict[str, str] = {
     "outreach_candidates_wide": _with(*_TO_EDITED, _open("edited"))
     + " SELECT * FROM open_rows ORDER BY id LIMIT 100",
     "outreach_candidates_resumed": _with(*_TO_OPEN)
-    + " SELECT * FROM open_rows WHERE id % 5 = 0 ORDER BY id LIMIT 50",
+    + " SELECT * FROM open_rows WHERE id % 5 = 0 ",
     "outbox": _with(*_TO_OPEN) + _outbox("(SELECT * FROM open_rows ORDER BY id LIMIT 20)", 8.0),
     "outbox_wide": _with(*_TO_OPEN) + _outbox("open_rows", 5.0),
     "mark_checked": _with(*_TO_OPEN)
@@ -252,10 +256,49 @@ ORACLES: dict[str, str] = {
     + """ SELECT count(*) AS candidates, count(*) FILTER (WHERE id % 5 <> 0) AS sent,
       count(*) FILTER (WHERE id % 5 = 0) AS failed FROM open_rows""",
     "snapshot_roundtrip": _with(*_TO_LICENCES) + f" SELECT id, {_COLUMNS} FROM licences",
-    "export_candidates": _with(*_TO_OPEN) + " SELECT * FROM open_rows ORDER BY id LIMIT 20",
+    "export_candidates": _with(*_TO_OPEN) + " SELECT * FROM open_rows",
 }
 ORACLES["csv_roundtrip"] = _with(*_TO_NORMALISED, _first("staged", "normalised", "ordinal")) + (
     f" SELECT {_BATCH_ROWS} FROM staged"
 )
+ORACLES["missing_columns"] = _with(_RAW) + " SELECT " + ", ".join(
+    f"CASE WHEN odate < DATE '1997-01-01' THEN NULL ELSE nullif({c}, '') END AS {c}"
+    if c in ("email", "city")
+    else f"nullif({c}, '') AS {c}"
+    for c in _CELLS
+) + " FROM raw"
+ORACLES["staged_count"] = _with(*_TO_NORMALISED) + """ SELECT count(*) AS rows_staged FROM
+  (SELECT DISTINCT full_name, business_email FROM normalised)"""
+ORACLES["load_counts"] = _with(*_TO_NORMALISED) + """,
+numbers AS (
+  SELECT (SELECT count(*) FROM raw WHERE odate < DATE '1997-01-01') AS read_1,
+    (SELECT count(*) FROM raw WHERE odate >= DATE '1997-01-01') AS read_2,
+    (SELECT count(*) FROM normalised WHERE odate < DATE '1997-01-01') AS matched_1,
+    (SELECT count(*) FROM normalised WHERE odate >= DATE '1997-01-01') AS matched_2,
+    (SELECT count(*) FROM (SELECT DISTINCT full_name, business_email FROM normalised WHERE odate < DATE '1997-01-01')) AS staged_1,
+    (SELECT count(*) FROM (SELECT DISTINCT full_name, business_email FROM normalised WHERE odate >= DATE '1997-01-01')) AS staged_2,
+    (SELECT count(*) FROM (SELECT DISTINCT full_name, business_email FROM normalised)) AS people
+)
+SELECT 0 AS place, read_1 AS rows_read, matched_1 AS rows_matched, staged_1 AS rows_staged, 0 AS rows_before,
+  staged_1 AS rows_after, staged_1 AS rows_added FROM numbers
+UNION ALL
+SELECT unnest([1, 2]), read_2, matched_2, staged_2, staged_1, people, people - staged_1 FROM numbers"""
+ORACLES["staff_edits"] = _with(*_TO_LICENCES) + f""" SELECT id,
+  {_COLUMNS.replace("checked, personal_email", "CASE WHEN id % 8 = 0 THEN false WHEN id % 4 = 0 THEN true ELSE checked END AS checked")},
+  CASE WHEN id % 8 = 0 AND id % 5 = 0 THEN 'second@example.com' WHEN id % 12 = 0 THEN 'first' || id
+    ELSE personal_email END AS personal_email
+FROM licences"""
+ORACLES["status_page_marked"] = _with(
+    *_TO_LICENCES,
+    _open("licences"),
+    """
+marked AS (SELECT * REPLACE (checked OR id IN (SELECT id FROM open_rows WHERE id % 5 <> 0) AS checked) FROM licences)""",
+    _page("checked", 3).replace("FROM licences", "FROM marked"),
+)
 ORACLES["stored_repair"] = ORACLES["repair_duplicates"]
-ORACLES["stream_load"] = ORACLES["stored_load"]
+# Three drops: the second and third are newer, the first comes last.
+ORACLES["stream_load"] = _with(*_TO_NORMALISED) + f"""
+SELECT row_number() OVER (ORDER BY drop_no, ordinal) AS id, {_COLUMNS} FROM (
+  SELECT *, CASE WHEN odate < DATE '1993-01-01' THEN 3 WHEN odate < DATE '1997-01-01' THEN 1 ELSE 2 END AS drop_no
+  FROM normalised
+  QUALIFY row_number() OVER (PARTITION BY full_name, business_email ORDER BY drop_no, ordinal) = 1)"""

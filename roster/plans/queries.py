@@ -22,15 +22,15 @@ from roster.operators.normalise import (
     scan_metrics,
     target_cities,
 )
-from roster.operators.outreach import mark_checked, outbox, outreach_candidates, outreach_summary
+from roster.operators.outreach import apply_edits, mark_checked, outbox, outreach_candidates, outreach_summary
 from roster.plans import driver_tables as tables
 from roster.plans.load import load, load_report, merged, repair, stage
-from roster.schema import ORDINAL
+from roster.schema import ORDINAL, REGISTRY_HEADERS
 from roster.session import freeze, scratch_path
 from roster.sources.outcomes import read_outcomes, record_outcomes
 from roster.sources.registry import read_registry, write_registry
 from roster.sources.staging import export_csv, read_export, read_staging, write_staging
-from roster.sources.table import create_table, read_table, replace_table, restore, snapshot
+from roster.sources.table import create_table, read_edits, read_table, record_edits, replace_table, restore, snapshot
 from roster.streaming.landing import load_stream
 
 # Wording of the rendered messages in the outbox queries.
@@ -49,7 +49,7 @@ def raw_registry(spark: SparkSession, sf: str) -> DataFrame:
 def registry_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The raw rows written as CSV part files and read back by header name, numbered in file order."""
     path = scratch_path(spark, "registry")
-    write_registry(tables.raw_registry(spark, sf), path)
+    write_registry(freeze(tables.raw_registry(spark, sf), "raw"), path)
     rows = read_registry(spark, path)
     texts = [F.nullif(c, F.lit("")).alias(c) for c in rows.columns if c != ORDINAL]
     return number_rows(rows.select(*texts, ORDINAL), [ORDINAL], "place").drop(ORDINAL)
@@ -57,7 +57,20 @@ def registry_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def clean_cells(spark: SparkSession, sf: str) -> DataFrame:
     raw = tables.raw_registry(spark, sf)
-    return clean_registry(raw).drop("odate", "first_name", "middle_name", "last_name")
+    return clean_registry(raw).drop("odate")
+
+
+def missing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Two files of one drop: one without e-mail and city, the other with its columns in another order."""
+    path = scratch_path(spark, "registry")
+    raw = freeze(tables.raw_registry(spark, sf), "raw")
+    headers = {column: header for header, column in REGISTRY_HEADERS.items()}
+    fewer = [c for c in headers if c not in ("email", "city")]
+    for name, rows, columns in (("a", tables.old_rows(raw), fewer), ("b", tables.new_rows(raw), list(headers)[::-1])):
+        write_registry(rows, f"{path}/{name}", columns)
+    rows = read_registry(spark, path)
+    texts = [F.nullif(c, F.lit("")).alias(c) for c in rows.columns if c != ORDINAL]
+    return rows.select(*texts)
 
 
 def clean_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,8 +125,9 @@ def first_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def insert_new_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch and the table are written down, as ``load`` finds them."""
     batch = stage(tables.new_rows(tables.raw_registry(spark, sf)), tables.targets(spark, sf))
-    return insert_new(tables.old_table(spark, sf), batch)
+    return insert_new(freeze(tables.old_table(spark, sf), "old"), freeze(batch, "staged"))
 
 
 def load_result(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,6 +153,25 @@ def stored_load(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, root)
 
 
+def load_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The reports of two loads and of one that is not repeated."""
+    root = scratch_path(spark, "table")
+    raw, targets = freeze(tables.raw_registry(spark, sf), "raw"), tables.targets(spark, sf)
+    drops = [("first", tables.old_rows(raw)), ("second", tables.new_rows(raw)), ("second", raw)]
+    reports = [load(spark, root, rows, targets, key) for key, rows in drops]
+    schema = "place long, rows_read long, rows_matched long, rows_staged long, rows_before long, rows_after long, rows_added long"
+    return spark.createDataFrame([(i, *report.values()) for i, report in enumerate(reports)], schema)
+
+
+def edited(spark: SparkSession, sf: str) -> DataFrame:
+    """Staff edits from a log: a later one wins, value by value."""
+    rows = tables.stored_licences(spark, sf)
+    path = scratch_path(spark, "edits")
+    for log in tables.staff_edits(rows):
+        record_edits(log, path)
+    return apply_edits(rows, read_edits(spark, path))
+
+
 def repaired(spark: SparkSession, sf: str) -> DataFrame:
     return repair_duplicates(tables.with_edits(tables.licences(spark, sf)))
 
@@ -172,6 +205,13 @@ def status_page_last(spark: SparkSession, sf: str) -> DataFrame:
     return views.status_page(tables.stored_licences(spark, sf), "checked", "999999999", shallow=0)
 
 
+def status_page_marked(spark: SparkSession, sf: str) -> DataFrame:
+    """A deep page of rows whose status the send log decides."""
+    rows = tables.stored_licences(spark, sf)
+    log = freeze(tables.send_log(outreach_candidates(rows, None)), "send-log")
+    return views.status_page(mark_checked(rows, log), "checked", 3, shallow=0)
+
+
 def page_info(spark: SparkSession, sf: str) -> DataFrame:
     return views.page_info(tables.licences(spark, sf), "checked", "3")
 
@@ -192,10 +232,10 @@ def candidates_wide(spark: SparkSession, sf: str) -> DataFrame:
 def candidates_resumed(spark: SparkSession, sf: str) -> DataFrame:
     """The run after one over every candidate: only the failures are left."""
     rows = tables.stored_licences(spark, sf)
-    log = tables.send_log(outreach_candidates(rows, 2**31 - 1))
+    log = tables.send_log(outreach_candidates(rows, None))
     path = scratch_path(spark, "send-log")
     record_outcomes(log, path)
-    return outreach_candidates(rows, 50, read_outcomes(spark, path))
+    return outreach_candidates(rows, None, read_outcomes(spark, path))
 
 
 def outbox_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,18 +244,18 @@ def outbox_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def outbox_wide(spark: SparkSession, sf: str) -> DataFrame:
     """The outbox of a run over every candidate."""
-    return outbox(tables.stored_licences(spark, sf), **MESSAGE, limit=2**31 - 1, shallow=0)
+    return outbox(tables.stored_licences(spark, sf), **MESSAGE, limit=None)
 
 
 def marked(spark: SparkSession, sf: str) -> DataFrame:
     """Every candidate is attempted twice, with the same outcome."""
     rows = tables.stored_licences(spark, sf)
-    log = tables.send_log(outreach_candidates(rows, 2**31 - 1))
+    log = tables.send_log(outreach_candidates(rows, None))
     return mark_checked(rows, log.union(log))
 
 
 def summary(spark: SparkSession, sf: str) -> DataFrame:
-    log = tables.send_log(outreach_candidates(tables.stored_licences(spark, sf), 2**31 - 1))
+    log = tables.send_log(outreach_candidates(tables.stored_licences(spark, sf), None))
     return outreach_summary(log)
 
 
@@ -225,26 +265,41 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_staging(spark, path)
 
 
+def staged_count(spark: SparkSession, sf: str) -> DataFrame:
+    """The number of rows that writing a staging file reports."""
+    batch = stage(tables.raw_registry(spark, sf), tables.targets(spark, sf))
+    rows = write_staging(batch, scratch_path(spark, "staging"))
+    return spark.createDataFrame([(rows,)], "rows_staged long")
+
+
 def export_candidates(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "export")
-    export_csv(outreach_candidates(tables.licences(spark, sf), 20), path)
+    export_csv(outreach_candidates(tables.licences(spark, sf), None), path)
     return read_export(spark, path, "id long, full_name string, business_email string")
 
 
 def stream_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Two drops of CSV part files picked up from a landing folder by a file stream."""
+    """Drops picked up from a landing folder by a file stream: two in one run, then one that is dated weeks before."""
     work = scratch_path(spark, "stream")
-    raw, targets = tables.raw_registry(spark, sf), tables.targets(spark, sf)
-    write_registry(tables.old_rows(raw), f"{work}/landing/drop-1")
+    raw, targets = freeze(tables.raw_registry(spark, sf), "raw"), tables.targets(spark, sf)
+    late = F.col("odate") < F.lit(tables.EARLY).cast("timestamp_ntz")
+
+    def run():
+        load_stream(spark, f"{work}/landing", f"{work}/table", f"{work}/checkpoint", targets).awaitTermination()
+
+    write_registry(tables.old_rows(raw).where(~late), f"{work}/landing/drop-1")
     write_registry(tables.new_rows(raw), f"{work}/landing/drop-2")
-    load_stream(spark, f"{work}/landing", f"{work}/table", f"{work}/checkpoint", targets).awaitTermination()
+    run()
+    write_registry(raw.where(late), f"{work}/late")
+    tables.move_with_date(spark, f"{work}/late", f"{work}/landing/drop-0", days_ago=30)
+    run()
     return read_table(spark, f"{work}/table")
 
 
 def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A table is saved, changed, and restored."""
     work = scratch_path(spark, "snapshot")
-    rows = tables.licences(spark, sf)
+    rows = tables.stored_licences(spark, sf)
     replace_table(spark, f"{work}/table", rows, "fill")
     snapshot(read_table(spark, f"{work}/table"), f"{work}/saved", "20260101T090000")
     replace_table(spark, f"{work}/table", rows.where("checked"), "change")
@@ -256,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_registry": raw_registry,
     "registry_roundtrip": registry_roundtrip,
     "clean_cells": clean_cells,
+    "missing_columns": missing_columns,
     "clean_documents": clean_documents,
     "full_name": full_names,
     "mailing_address": mailing_addresses,
@@ -269,6 +325,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_result": load_result,
     "load_report": load_report_row,
     "stored_load": stored_load,
+    "load_counts": load_counts,
+    "staff_edits": edited,
     "repair_duplicates": repaired,
     "duplicate_ids": surplus_ids,
     "stored_repair": stored_repair,
@@ -276,6 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_filter": status_filter,
     "status_page": status_page,
     "status_page_last": status_page_last,
+    "status_page_marked": status_page_marked,
     "page_info": page_info,
     "tel_link": tel_links,
     "outreach_candidates": candidates,
@@ -286,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mark_checked": marked,
     "outreach_summary": summary,
     "csv_roundtrip": csv_roundtrip,
+    "staged_count": staged_count,
     "export_candidates": export_candidates,
     "stream_load": stream_load,
     "snapshot_roundtrip": snapshot_roundtrip,

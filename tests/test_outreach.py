@@ -37,6 +37,12 @@ def test_limits(table):
         outreach_candidates(table, -1).collect()
 
 
+def test_no_limit(table):
+    assert ids(outreach_candidates(table, None)) == [1, 4, 6, 7]
+    rows = outbox(table, **MESSAGE, limit=None, delay=1.0).orderBy("id").collect()
+    assert [r.offset_seconds for r in rows] == [0.0, 1.0, 2.0, 3.0]
+
+
 def test_failures_are_candidates_again(spark, table):
     sent = log(spark, (1, False), (4, True), (4, True), (6, True))
     assert ids(outreach_candidates(table, 5, sent)) == [1, 7]

@@ -69,11 +69,47 @@ def test_tallies_read_one_column(table):
     assert "ReadSchema: struct<checked:boolean>" in text
 
 
-def test_a_page_reaches_the_scan_by_its_ids(table):
-    text = plan(slice_by_rank(table, 10, 5))
+@pytest.mark.parametrize("shallow", [10_000, 0])
+def test_a_page_reaches_the_scan_by_its_ids(table, shallow):
+    text = plan(slice_by_rank(table, 10, 5, shallow))
     assert "GreaterThanOrEqual(id,10)" in text and "LessThanOrEqual(id,14)" in text
 
 
+def actions(spark, build):
+    """Jobs that write rows while ``build`` runs: so often is a joined input evaluated for later use."""
+    from roster.operators import outreach, ranks
+
+    calls = []
+    real = freeze
+
+    def counted(df, label):
+        calls.append(df)
+        return real(df, label)
+
+    for module in (outreach, ranks):
+        module.freeze = counted
+    try:
+        return build(), calls
+    finally:
+        for module in (outreach, ranks):
+            module.freeze = real
+
+
+def test_a_deep_page_joins_the_log_once_to_find_its_ids(no_broadcast, spark, table):
+    log = freeze(spark.range(50).selectExpr("id", "true AS ok", "'' AS error"), "log")
+    page, written = actions(spark, lambda: views.status_page(mark_checked(table, log), "checked", 3, 10, shallow=0))
+    assert len(written) == 1 and written[0].columns == ["id"]
+    assert page.count() == 10
+    assert "GreaterThanOrEqual(id,20)" in plan(page) and "LessThanOrEqual(id,29)" in plan(page)
+
+
+def test_a_large_campaign_joins_the_log_once(no_broadcast, spark, table):
+    log = freeze(spark.range(50).selectExpr("id * 2 AS id", "true AS ok", "'' AS error"), "log")
+    rows, written = actions(spark, lambda: outreach_candidates(table, 10, log, shallow=0))
+    assert len(written) == 1 and "Join" not in plan(rows)
+    assert sorted(r.id for r in rows.collect()) == list(range(1, 21, 2))
+
+
 def test_candidates_are_a_top_k_over_a_pruned_scan(table):
     text = plan(outreach_candidates(table))
     assert "TakeOrderedAndProject(limit=5" in text

@@ -59,3 +59,24 @@ def test_id_at_rank(spark):
         assert ranks.id_at_rank(ids, rank) == rank * rank * 977 - 12345678901
     assert ranks.id_at_rank(ids, 50_000) is None
     assert ranks.id_at_rank(ids.limit(0), 0) is None
+
+
+def test_changing_ids_are_noticed(spark):
+    ids = spark.range(100_000)
+
+    class Shrinking:
+        def agg(self, *columns):
+            return ids.agg(*columns)
+
+        def where(self, condition):
+            return ids.where(condition).where("id < 5")
+
+    with pytest.raises(RuntimeError, match="changed"):
+        ranks.id_at_rank(Shrinking(), 99_000)
+
+
+@pytest.mark.parametrize("limit", [9, 10, 11])
+def test_both_ways_agree_around_the_border(table, limit):
+    """A slice that ends just before, at and behind the rank where counting begins."""
+    want = [r.id for r in table.orderBy("id").collect()][4:limit]
+    assert [r.id for r in ranks.slice_by_rank(table, 4, limit - 4, shallow=10).collect()] == want
