@@ -5,7 +5,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -73,3 +73,14 @@ def hashed_grams(data: np.ndarray, order: int, bits: int) -> np.ndarray:
     code ^= code >> np.uint32(16)
     code *= np.uint32(0x85EBCA6B)
     return code >> np.uint32(32 - bits)
+
+
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The given names, lengthened where a column has that name already."""
+    taken = {column.casefold() for column in columns}
+    found = []
+    for name in names:
+        while name.casefold() in taken:
+            name += "_"
+        found.append(name)
+    return found

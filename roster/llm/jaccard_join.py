@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roster.llm.batches import slices, text_bytes
+from roster.llm.batches import slices, text_bytes, unused
 from roster.llm.graph import components
 from roster.llm.words import shingle_sets
 from roster.session import freeze
@@ -305,7 +305,8 @@ def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
 
 def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each component of similar documents, with all its columns."""
-    keep = similar_documents(docs, words, percent).where("first").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
-    kept = docs.join(keep.distinct(), same).drop("_id", "_mark")
+    doc_id, mark = unused(docs.columns, "_id", "_mark")
+    keep = similar_documents(docs, words, percent).where("first").select(F.col("doc_id").alias(doc_id), F.col("mark").alias(mark))
+    same = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(mark))
+    kept = docs.join(keep.distinct(), same).drop(doc_id, mark)
     return kept.dropDuplicates(["doc_id", "text"])

@@ -135,16 +135,16 @@ def _powers_of_two(sequence: Sequence) -> list[Sequence]:
     return cut
 
 
-def packed_groups(batches, path: str, end: int, window: int):
+def packed_groups(batches, path: str, end: int, window: int, group_tokens: int = GROUP_TOKENS):
     """For each group of documents a task reads: ids of the documents, their tokens, and the sequences."""
     encode = tokenizer(path).encode
     ids, tokens, held = [], [], 0
-    for part in slices(batches, "text"):
+    for part in slices(batches, "text", 1 << 20):
         ids += part.column("doc_id").to_pylist()
         for found in encode(*text_bytes(part.column("text")), end):
             tokens.append(found)
             held += len(found)
-        if held >= GROUP_TOKENS:
+        if held >= group_tokens:
             yield ids, tokens, best_fit([len(t) for t in tokens], window)
             ids, tokens, held = [], [], 0
     if ids:
@@ -156,12 +156,14 @@ def first_sequence() -> int:
     return TaskContext.get().partitionId() << 36
 
 
-def pack_documents(docs: DataFrame, path: str, end: int, window: int = WINDOW) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, path: str, end: int, window: int = WINDOW, group_tokens: int = GROUP_TOKENS
+) -> DataFrame:
     """One row per piece, with its ids as unsigned little-endian 32-bit integers."""
 
     def packed(batches):
         number, rows, size = first_sequence(), [], 0
-        for ids, tokens, sequences in packed_groups(batches, path, end, window):
+        for ids, tokens, sequences in packed_groups(batches, path, end, window, group_tokens):
             for sequence in sequences:
                 offset = 0
                 for document, start, length in sequence.pieces:

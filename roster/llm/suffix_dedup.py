@@ -20,6 +20,7 @@ character is kept unless all of its bytes repeat.
 """
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +28,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roster.llm.batches import mixed, slices, text_bytes
+from roster.llm.batches import mixed, slices, text_bytes, unused
 from roster.llm.suffix_array import common_prefixes, packed_words, suffix_array
 from roster.llm.words import SpanHasher
 from roster.session import freeze
 
 LENGTH = 100
 GRAM = 24
-PIECE = 1 << 21  # bytes of one long text that are searched at once
-FLUSH = 1 << 20  # fragments that a task gathers before it deals them out
-BUCKET_BYTES = 96 << 20  # of text whose anchors make one bucket
-SORTED_BYTES = 2 << 20  # of fragments in one suffix array
-SAMPLE = 2048  # documents that tell common grams
-COMMON = 8  # documents of the sample that make a gram common
+BUCKETS_A_TASK = 4  # at least, so that tasks get even shares
 _SLOTS = 24  # bits of a gram's hash that tell common ones
 _SECOND_BASE = 0xD6E8FEB86659FD93
 _LAST = (1 << 63) - 1
@@ -50,6 +46,19 @@ _SPAN = np.dtype([("start", "<u4"), ("length", "<u4")])
 _WANTED = np.dtype([("key", "<u8"), ("start", "<u4"), ("length", "<u4")])
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Sizes that bound memory and spread load; no result depends on them."""
+
+    piece: int = 1 << 19  # bytes of one long text that are searched at once
+    flush: int = 1 << 18  # fragments that a task gathers before it deals them out
+    bucket_bytes: int = 64 << 20  # of text whose anchors make one bucket
+    sorted_bytes: int = 1 << 20  # of fragments in one suffix array
+    cut_bytes: int = 8 << 20  # of fragments that a task cuts before it deals them out
+    sample: int = 2048  # documents that tell common grams
+    common: int = 8  # documents of the sample that make a gram common
+
+
 def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each run of ``width`` values, in time linear in their number."""
     n = len(values) - width + 1
@@ -99,10 +108,10 @@ def fragments(data: np.ndarray, offsets: np.ndarray, common: np.ndarray) -> np.n
     return found
 
 
-def _common_grams(docs: DataFrame) -> np.ndarray:
-    """Slots of gram hashes that ``COMMON`` documents of a sample of about ``SAMPLE`` hold. One task counts the sample."""
+def _common_grams(docs: DataFrame, limits: Limits) -> np.ndarray:
+    """Slots of gram hashes that some documents of a bounded sample hold. One task counts the sample."""
     n = docs.count()
-    share = min(1.0, SAMPLE / max(1, n))
+    share = min(1.0, limits.sample / max(1, n))
     sample = docs.where(F.pmod(F.xxhash64("id", "mark"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def counted(batches):
@@ -112,9 +121,9 @@ def _common_grams(docs: DataFrame) -> np.ndarray:
             for a, b in zip(offsets, offsets[1:]):
                 grams = SpanHasher(data[a:b]).windows(GRAM)
                 counts[np.unique(grams >> np.uint64(64 - _SLOTS)).astype(np.int64)] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(counts >= COMMON).tobytes()], pa.binary())], ["common"])
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(counts >= limits.common).tobytes()], pa.binary())], ["common"])
 
-    found = sample.select("text").coalesce(1).mapInArrow(counted, "common binary").first()
+    found = sample.select("text").repartition(1).mapInArrow(counted, "common binary").first()
     packed = np.frombuffer(found.common, np.uint8) if found else np.zeros(1 << _SLOTS - 3, np.uint8)
     return np.unpackbits(packed).astype(bool)
 
@@ -169,11 +178,12 @@ class _Dealer:
         first, repeats = _first_places(docs, found)
         bucket = (mixed(found["key"]) % np.uint64(self.buckets)).astype(np.int64)
         bucket[repeats] = mixed(docs["id"][found["doc"][repeats]].view(np.uint64)) % np.uint64(self.buckets)
-        kept = np.zeros(len(found), bool)
-        kept[first] = True
-        order = np.argsort(bucket, kind="stable")
+        is_first = np.zeros(len(found), bool)
+        is_first[first] = True
+        dealt = np.concatenate([first, repeats])  # not what repeats a row of the table in the same place
+        order = dealt[np.argsort(bucket[dealt], kind="stable")]
         for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-            own, again = found[part[kept[part]]], found[part[~kept[part]]]
+            own, again = found[part[is_first[part]]], found[part[~is_first[part]]]
             yield int(bucket[part[0]]), _packed(*_local(docs, own), *_local(docs, again))
 
 
@@ -218,22 +228,27 @@ def _merged(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts[heads], ends[np.append(heads[1:] - 1, len(ends) - 1)] - starts[heads]
 
 
-def _rows_of(docs: np.ndarray, repeats: np.ndarray, wanted: np.ndarray):
+def _rows_of(docs: np.ndarray, repeats: np.ndarray, wanted: np.ndarray) -> pa.RecordBatch:
     """One row for each document: its repeats as spans, and the fragments of it that must be sorted."""
-    columns: list[list] = [[], [], [], []]
-    repeats, wanted = (x[np.argsort(x["doc"], kind="stable")] for x in (repeats, wanted))
-    for doc in np.unique(np.concatenate([repeats["doc"], wanted["doc"]])):
-        a, b = np.searchsorted(repeats["doc"], [doc, doc + 1])
-        starts, lengths = _merged(repeats["start"][a:b].astype(np.int64), repeats["more"][a:b].astype(np.int64) + LENGTH)
-        spans = np.zeros(len(starts), _SPAN)
-        spans["start"], spans["length"] = starts, lengths
-        c, d = np.searchsorted(wanted["doc"], [doc, doc + 1])
-        more = np.zeros(d - c, _WANTED)
-        more["key"], more["start"], more["length"] = wanted["key"][c:d], wanted["start"][c:d], wanted["more"][c:d].astype(np.int64) + LENGTH
-        for column, value in zip(columns, (int(docs["id"][doc]), int(docs["mark"][doc]), spans.tobytes(), more.tobytes())):
-            column.append(value)
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "mark", "spans", "wanted"])
+    # Documents are laid out far from each other on one line, so that spans merge within each.
+    apart = repeats["doc"].astype(np.int64) << np.int64(33)
+    starts, lengths = _merged(apart + repeats["start"].astype(np.int64), repeats["more"].astype(np.int64) + LENGTH)
+    spans = np.zeros(len(starts), _SPAN)
+    spans["start"], spans["length"] = starts & ((1 << 33) - 1), lengths
+    wanted = wanted[np.argsort(wanted["doc"], kind="stable")]
+    more = np.zeros(len(wanted), _WANTED)
+    more["key"], more["start"], more["length"] = wanted["key"], wanted["start"], wanted["more"].astype(np.int64) + LENGTH
+    span_docs = starts >> np.int64(33)
+    used = np.unique(np.concatenate([span_docs, wanted["doc"].astype(np.int64)]))
+    columns = [pa.array(docs["id"][used]), pa.array(docs["mark"][used])]
+    columns += [_binaries(spans, np.searchsorted(span_docs, used)), _binaries(more, np.searchsorted(wanted["doc"], used))]
+    return pa.RecordBatch.from_arrays(columns, ["id", "mark", "spans", "wanted"])
+
+
+def _binaries(rows: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """A binary column of runs of ``rows``, each from its begin to the next."""
+    offsets = (np.append(begins, len(rows)) * rows.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(rows.tobytes())])
 
 
 def _by_bucket(batches):
@@ -273,14 +288,14 @@ def _judged(values: list[bytes]):
     return _rows_of(every, again, found[first[shared]])
 
 
-def _pieces(data: np.ndarray, offsets: np.ndarray):
+def _pieces(data: np.ndarray, offsets: np.ndarray, piece: int):
     """(texts, offsets, place of the first text, byte at which it begins): long texts in overlapping pieces."""
-    if len(data) <= 2 * PIECE:
+    if len(data) <= 2 * piece:
         yield data, offsets, 0, 0
         return
     for i, (a, b) in enumerate(zip(offsets, offsets[1:])):
-        for start in range(int(a), max(int(a) + 1, int(b) - LENGTH + 1), PIECE):
-            end = min(int(b), start + PIECE + LENGTH - 1)
+        for start in range(int(a), max(int(a) + 1, int(b) - LENGTH + 1), piece):
+            end = min(int(b), start + piece + LENGTH - 1)
             yield data[start:end], np.array([0, end - start], np.int64), i, start - int(a)
 
 
@@ -289,23 +304,23 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("doc_id", F.lit(_LAST)).cast("long").alias("id"), F.xxhash64("text").alias("mark"), "text")
 
 
-def find_repeats(docs: DataFrame) -> DataFrame:
+def find_repeats(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(id, mark, spans, wanted): for each document, in several rows, repeats and fragments to be sorted."""
     rows = _marked(docs)
     size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("size")).first()["size"] or 0
-    buckets = max(_tasks(docs), size // BUCKET_BYTES)
-    shared = docs.sparkSession.sparkContext.broadcast(_common_grams(rows))
+    buckets = max(BUCKETS_A_TASK * _tasks(docs), size // limits.bucket_bytes)
+    shared = docs.sparkSession.sparkContext.broadcast(_common_grams(rows, limits))
 
     def dealt(batches):
         dealer = _Dealer(buckets)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", limits.piece):
             ids = np.zeros(part.num_rows, _DOC)
             ids["id"], ids["mark"] = part.column("id").to_numpy(), part.column("mark").to_numpy()
-            for data, offsets, first, start in _pieces(*text_bytes(part.column("text"))):
+            for data, offsets, first, start in _pieces(*text_bytes(part.column("text")), limits.piece):
                 found = fragments(data, offsets, shared.value)
                 found["start"] += np.uint32(start)
                 dealer.add(ids[first : first + len(offsets) - 1], found)
-            if dealer.held >= FLUSH:
+            if dealer.held >= limits.flush:
                 yield from _dealt_rows(dealer)
         yield from _dealt_rows(dealer)
 
@@ -327,7 +342,7 @@ def _dealt_rows(dealer: _Dealer):
         yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([value], pa.binary())], ["bucket", "value"])
 
 
-def _cut_out(batches, buckets: int):
+def _cut_out(batches, buckets: int, cut_bytes: int):
     """Wanted fragments with their bytes, dealt by anchor."""
     docs, found, texts, held = [], [], [], 0
 
@@ -356,7 +371,7 @@ def _cut_out(batches, buckets: int):
             base = int(offsets[i])
             texts += [blob[base + s : base + s + n] for s, n in zip(wanted["start"].tolist(), wanted["length"].tolist())]
             held += int(wanted["length"].sum())
-        if held > 16 << 20:
+        if held > cut_bytes:
             yield from flush()
             docs, found, texts, held = [], [], [], 0
     if held:
@@ -400,32 +415,33 @@ def _sorted_spans(values: list[bytes]):
     return _rows_of(ordered[new], again, np.zeros(0, _ANCHOR))
 
 
-def with_repeats(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` and ``_spans``, a list of packed (start, length) of its repeated bytes."""
-    found = freeze(find_repeats(docs), "repeats")
+def with_repeats(docs: DataFrame, limits: Limits = Limits()) -> tuple[DataFrame, str]:
+    """All columns of ``docs`` and one more, whose name is given: packed (start, length) of repeated bytes."""
+    id_, mark, spans, more_spans, fragments_wanted = unused(docs.columns, "_id", "_mark", "_spans", "_more", "_wanted")
+    found = freeze(find_repeats(docs, limits), "repeats")
     wanted_bytes = F.octet_length("wanted").cast("long") * (LENGTH + 40) / _WANTED.itemsize
-    buckets = int((found.agg(F.sum(wanted_bytes).alias("size")).first()["size"] or 0) // SORTED_BYTES) + 1
-    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(_LAST)).cast("long"), "_mark": F.xxhash64("text")})
-    by_doc = found.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(
-        F.collect_list("spans").alias("_spans"), F.collect_list("wanted").alias("_wanted")
+    buckets = max(BUCKETS_A_TASK * _tasks(docs), int((found.agg(F.sum(wanted_bytes).alias("size")).first()["size"] or 0) // limits.sorted_bytes))
+    keyed = docs.withColumns({id_: F.coalesce("doc_id", F.lit(_LAST)).cast("long"), mark: F.xxhash64("text")})
+    by_doc = found.groupBy(F.col("id").alias(id_), F.col("mark").alias(mark)).agg(
+        F.collect_list("spans").alias(spans), F.collect_list("wanted").alias(fragments_wanted)
     )
-    cut = keyed.join(by_doc, ["_id", "_mark"], "left")
+    cut = keyed.join(by_doc, [id_, mark], "left")
 
     def dealt(batches):
-        yield from _cut_out(batches, buckets)
+        yield from _cut_out(batches, buckets, limits.cut_bytes)
 
     def sorted_spans(batches):
         for values in _by_bucket(batches):
             yield _sorted_spans(values)
 
-    texts = cut.select(F.col("_id").alias("id"), F.col("_mark").alias("mark"), "text", F.col("_wanted").alias("wanted"))
-    fragments_ = texts.mapInArrow(dealt, "bucket long, value binary")
-    together = fragments_.repartition(_tasks(docs), "bucket").sortWithinPartitions("bucket")
+    texts = cut.select(F.col(id_).alias("id"), F.col(mark).alias("mark"), "text", F.col(fragments_wanted).alias("wanted"))
+    cut_out = texts.mapInArrow(dealt, "bucket long, value binary")
+    together = cut_out.repartition(_tasks(docs), "bucket").sortWithinPartitions("bucket")
     more = together.mapInArrow(sorted_spans, "id long, mark long, spans binary, wanted binary")
-    more = more.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list("spans").alias("_more"))
+    more = more.groupBy(F.col("id").alias(id_), F.col("mark").alias(mark)).agg(F.collect_list("spans").alias(more_spans))
     none = F.array().cast("array<binary>")
-    both = F.concat(F.coalesce("_spans", none), F.coalesce("_more", none)).alias("_spans")
-    return cut.join(more, ["_id", "_mark"], "left").select(*docs.columns, both)
+    both = F.concat(F.coalesce(spans, none), F.coalesce(more_spans, none)).alias(spans)
+    return cut.join(more, [id_, mark], "left").select(*docs.columns, both), spans
 
 
 def _spans_of(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -433,14 +449,16 @@ def _spans_of(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return _merged(spans["start"].astype(np.int64), spans["length"].astype(np.int64))
 
 
-def repeats_report(docs: DataFrame) -> DataFrame:
+def repeats_report(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``spans`` (start, end) of every row."""
 
+    found, spans_column = with_repeats(docs.select("doc_id", "text"), limits)
+
     def reported(batches):
         for part in slices(batches, "text"):
             data, offsets = text_bytes(part.column("text"))
             rows = []
-            for a, b, lists in zip(offsets, offsets[1:], part.column("_spans").to_pylist()):
+            for a, b, lists in zip(offsets, offsets[1:], part.column(spans_column).to_pylist()):
                 starts, lengths = _spans_of(lists)
                 kept = _without(data[a:b], starts, lengths)
                 pairs = [[int(s), int(s + n)] for s, n in zip(starts, lengths)]
@@ -451,7 +469,7 @@ def repeats_report(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *columns], names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"
-    return with_repeats(docs.select("doc_id", "text")).mapInArrow(reported, schema)
+    return found.mapInArrow(reported, schema)
 
 
 def _without(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -463,20 +481,21 @@ def _without(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return data[keep]
 
 
-def drop_repeats(docs: DataFrame) -> DataFrame:
+def drop_repeats(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """``docs`` with repeated bytes cut from ``text``, by whole characters; other columns as they are."""
     names = docs.columns
+    found, spans_column = with_repeats(docs, limits)
 
     def cut(batches):
         for part in slices(batches, "text"):
             data, offsets = text_bytes(part.column("text"))
             texts = []
-            for a, b, lists, null in zip(offsets, offsets[1:], part.column("_spans").to_pylist(), part.column("text").is_null()):
+            for a, b, lists, null in zip(offsets, offsets[1:], part.column(spans_column).to_pylist(), part.column("text").is_null()):
                 texts.append(None if null.as_py() else _without_characters(data[a:b], *_spans_of(lists)))
             columns = [pa.array(texts, pa.string()) if name == "text" else part.column(name) for name in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return with_repeats(docs).mapInArrow(cut, docs.schema)
+    return found.mapInArrow(cut, docs.schema)
 
 
 def _without_characters(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> str:

@@ -39,26 +39,28 @@ _KINDS = {
 }
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, end: int, pad: int = 0, window: int = WINDOW) -> None:
+def write_tokens(
+    docs: DataFrame, path: str, vocabulary: str, end: int, pad: int = 0, window: int = WINDOW, block: int = BLOCK
+) -> None:
     """Write ``docs`` as matrix blocks to the folder ``path``, by Spark's own committed writer."""
 
     def blocks(batches):
         number = first_sequence()
         for ids, tokens, sequences in packed_groups(batches, vocabulary, end, window):
-            for width, group in _by_width(sequences, window):
+            for width, group in _by_width(sequences, window, block):
                 yield _block(number, width, group, ids, tokens, pad)
                 number += len(group)
 
     docs.select("doc_id", "text").mapInArrow(blocks, BLOCKS).write.parquet(path)
 
 
-def _by_width(sequences: list[Sequence], window: int):
+def _by_width(sequences: list[Sequence], window: int, block: int):
     def width(sequence):
         return sequence.length if sequence.length & (sequence.length - 1) == 0 else window
 
     wide = [s for s in sequences if width(s) == window]
-    for start in range(0, len(wide), BLOCK):
-        yield window, wide[start : start + BLOCK]
+    for start in range(0, len(wide), block):
+        yield window, wide[start : start + block]
     for sequence in sequences:
         if width(sequence) < window:
             yield width(sequence), [sequence]
