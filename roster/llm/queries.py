@@ -9,6 +9,7 @@ from roster.llm.fingerprints import likeness, with_fingerprints, with_next
 from roster.llm.jaccard_join import similar_documents
 from roster.llm.language_id import fit_languages, identify
 from roster.llm.lm_scoring import fit_models, score_documents
+from roster.llm.oracles import ORACLES as ORACLES
 from roster.llm.packing import pack_documents
 from roster.llm.quality import fit_quality, score_quality
 from roster.llm.sharding import shard_documents
@@ -123,4 +124,4 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
 }
 
-ORACLES: dict[str, str] = {}
+

@@ -1,0 +1,110 @@
+"""Language-model scoring against counting and smoothing by hand."""
+
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from roster.llm.lm_scoring import CLASS_OF, CLASSES, GRAMS, count_grams, fit_models, grams, losses, score_documents
+from tests.llm.conftest import ODD
+
+
+def tokens(text):
+    return [26] * 3 + [int(CLASS_OF[b]) for b in (text or "").encode()]
+
+
+def plain_grams(text):
+    line = tokens(text)
+    return [tuple(line[i - 3 : i + 1]) for i in range(3, len(line))]
+
+
+def number(gram):
+    return ((gram[0] * CLASSES + gram[1]) * CLASSES + gram[2]) * CLASSES + gram[3]
+
+
+def test_classes():
+    assert [int(CLASS_OF[b]) for b in "aZ 9.?,\té".encode()] == [0, 25, 26, 27, 28, 28, 29, 26, 30, 31]
+    assert CLASS_OF.max() < CLASSES
+
+
+def test_grams_begin_anew_in_every_text():
+    texts = ["abc", "", "d", "é é"]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    found = grams(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    assert found.tolist() == [number(g) for t in texts for g in plain_grams(t)]
+
+
+def by_hand(counts):
+    """-log2 of the interpolated probability of a gram's last token behind the others."""
+    seen = Counter()
+    kinds = Counter()
+    for gram, n in counts.items():
+        for k in range(4):
+            if not seen[gram[k:]]:
+                kinds[gram[k:-1], 4 - k] += 1
+            seen[gram[k:]] += n
+    totals = Counter()
+    for gram, n in counts.items():
+        for k in range(4):
+            totals[gram[k:-1], 4 - k] += n
+
+    def chance(gram):
+        order = len(gram)
+        if order == 0:
+            return 1 / CLASSES
+        context = (gram[:-1], order)
+        t = kinds[context] + (order == 1)
+        if totals[context] + t == 0:
+            return chance(gram[1:])
+        return (seen[gram] + t * chance(gram[1:])) / (totals[context] + t)
+
+    return lambda gram: -np.log2(chance(gram))
+
+
+def test_smoothing():
+    texts = ["the cat sat on the mat.", "a cat, 9 mats! né", "zzz zzz"]
+    counts = Counter(g for t in texts for g in plain_grams(t))
+    table = np.zeros(GRAMS, np.int64)
+    for gram, n in counts.items():
+        table[number(gram)] = n
+    found, want = losses(table), by_hand(counts)
+    for gram in list(counts) + [(1, 2, 3, 4), (19, 7, 4, 26), (26, 26, 26, 31)]:
+        assert found[number(gram)] == pytest.approx(want(gram))
+    # Chances behind any context add up to 1.
+    assert (2 ** -found.reshape(-1, CLASSES)).sum(axis=1) == pytest.approx(1)
+    assert losses(np.zeros(GRAMS, np.int64)) == pytest.approx(np.log2(CLASSES))
+
+
+def test_counts_and_scores_of_a_table(spark, documents):
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    chosen = [i for i in texts if i % 3 == 0]
+    targets = spark.createDataFrame([(i,) for i in chosen * 2 + [None, -7]], "doc_id long")
+    want = [Counter(g for i in ids for g in plain_grams(texts[i])) for ids in (chosen, texts)]
+    got = {r.gram: (r.target, r.background) for r in count_grams(documents, targets).collect()}
+    assert got == {number(g): (want[0][g], n) for g, n in want[1].items()}
+    scored = {r.doc_id: r for r in score_documents(documents, fit_models(documents, targets)).collect()}
+    loss = [by_hand(c) for c in want]
+    for i in list(texts)[:40]:
+        own = plain_grams(texts[i])
+        assert scored[i].n_tokens == len(own)
+        for name, table in zip(("loss_target", "loss_background"), loss):
+            assert scored[i][name] == pytest.approx(np.mean([table(g) for g in own]), rel=1e-4)
+        assert scored[i].score == pytest.approx(scored[i].loss_target - scored[i].loss_background, abs=1e-6)
+
+
+def test_a_text_like_the_target_scores_lower(spark, docs):
+    rows = docs(*[(i, "the cat sat on the mat " * 5) for i in range(5)], *[(10 + i, "qx zv jk wq " * 9) for i in range(5)])
+    models = fit_models(rows, spark.createDataFrame([(i,) for i in range(4)], "doc_id long"))
+    scores = {r.doc_id: r.score for r in score_documents(rows, models).collect()}
+    assert scores[4] < 0 < scores[10]
+
+
+def test_odd_rows(spark, odd, none):
+    nobody = spark.createDataFrame([], "doc_id long")
+    rows = score_documents(odd, fit_models(odd, nobody)).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == sorted((str(i), len((t or "").encode())) for i, t in ODD)
+    for r in rows:
+        assert (r.score is None) == (r.n_tokens == 0) == (r.loss_target is None)
+        assert r.n_tokens == 0 or r.loss_target == pytest.approx(5)
+    assert score_documents(none, fit_models(none, nobody)).collect() == []
