@@ -10,7 +10,7 @@ from roster.operators.dedupe import duplicate_ids, keep_first
 from roster.operators.merge import FEW_ROWS, append, assign_ids, insert_new
 from roster.operators.normalise import filter_target, scan_metrics, to_licences
 from roster.schema import IDENTITY, LICENCE, ORDINAL
-from roster.session import freeze
+from roster.session import freeze, scratch
 from roster.sources.table import append_batch, commit_of, create_table, read_table, replace_table
 
 
@@ -59,12 +59,13 @@ def load(
     if done is not None:
         return _report(done.rows_before, done.rows, done.rows_read, done.rows_matched, done.rows_staged)
 
-    staged = freeze(stage(raw, targets), "staged")
-    rows_read, rows_matched = scan_metrics(raw, *targets).first() if count_scan else (None, None)
-    counts = {"rows_read": rows_read, "rows_matched": rows_matched, "rows_staged": staged.count()}
-    fresh = insert_new(read_table(spark, root, state), staged) if state.rows else staged
-    numbered = assign_ids(fresh, state.last_id, [ORDINAL], at_most=counts["rows_staged"])
-    added = append_batch(spark, root, state, load_key, numbered, **counts)
+    with scratch(spark, "load"):
+        staged = freeze(stage(raw, targets), "staged")
+        rows_read, rows_matched = scan_metrics(raw, *targets).first() if count_scan else (None, None)
+        counts = {"rows_read": rows_read, "rows_matched": rows_matched, "rows_staged": staged.count()}
+        fresh = insert_new(read_table(spark, root, state), staged) if state.rows else staged
+        numbered = assign_ids(fresh, state.last_id, [ORDINAL], at_most=counts["rows_staged"])
+        added = append_batch(spark, root, state, load_key, numbered, **counts)
     return _report(state.rows, added, *counts.values())
 
 
@@ -87,12 +88,13 @@ def repair(spark: SparkSession, root: str, load_key: str) -> int:
     """
     state = create_table(spark, root)
     licences = read_table(spark, root, state)
-    surplus = freeze(duplicate_ids(licences), "surplus")
-    dropped = surplus.count()
-    if dropped:
-        kept = licences.join(surplus, "id", "left_anti")
-        if dropped > FEW_ROWS:
-            # So many ids may be joined by a shuffle, which scatters the ids: lay them out again.
-            kept = kept.repartitionByRange("id").sortWithinPartitions("id")
-        replace_table(spark, root, kept, load_key, state, expected=state.rows - dropped)
+    with scratch(spark, "repair"):
+        surplus = freeze(duplicate_ids(licences), "surplus")
+        dropped = surplus.count()
+        if dropped:
+            kept = licences.join(surplus, "id", "left_anti")
+            if dropped > FEW_ROWS:
+                # So many ids may be joined by a shuffle, which scatters the ids: lay them out again.
+                kept = kept.repartitionByRange("id").sortWithinPartitions("id")
+            replace_table(spark, root, kept, load_key, state, expected=state.rows - dropped)
     return dropped

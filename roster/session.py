@@ -2,6 +2,9 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +42,31 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/roster/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder, or in the job's own folder there, that nothing has used before."""
+    top = _scratch.get() or f"{shared_dir(spark)}/roster"
+    return f"{top}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[None]:
+    """Within it, intermediate tables go to one folder, which is removed in the end.
+
+    For jobs that have written their result by then. Where the session has no access to the file
+    system, as on Spark Connect, the folder stays.
+    """
+    folder = scratch_path(spark, label)
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        if (jvm := getattr(spark, "_jvm", None)) is not None:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def freeze(df: DataFrame, label: str) -> DataFrame:

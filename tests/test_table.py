@@ -1,11 +1,14 @@
 """The stored table: loads, replays, repair, snapshots."""
 
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from roster.operators.outreach import apply_edits
 from roster.plans.load import load, merged, repair, stage
+from roster.session import shared_dir
 from roster.sources import table
 from roster.sources.registry import read_cities
 from roster.sources.table import (
@@ -199,7 +202,7 @@ def test_a_damaged_snapshot_is_not_restored(spark, licences, tmp_path):
     root, saved = str(tmp_path / "t"), str(tmp_path / "saved")
     replace_table(spark, root, licences((1, "A", None), (2, "B", None)), "fill")
     before = content(read_table(spark, root))
-    snapshot(read_table(spark, root).repartition(2), saved, "1")
+    snapshot(read_table(spark, root).coalesce(1), saved, "1")
     for part in (tmp_path / "saved" / "snapshot_ts=1").glob("part-*"):
         part.unlink()
         break
@@ -241,3 +244,30 @@ def test_edits(spark, licences, tmp_path):
     edit((1, "2026-01-01 00:00:00", False, "a@x"), (9, "2026-01-01 00:00:00", True, None))
     got = apply_edits(rows, read_edits(spark, root)).orderBy("id").collect()
     assert [(r.id, r.checked, r.personal_email) for r in got] == [(1, True, "a@x"), (2, False, "b@x"), (3, False, None)]
+
+
+def test_a_load_leaves_no_intermediate_tables(spark, registry, targets, licences, tmp_path):
+    def left():
+        return sorted(os.listdir(f"{shared_dir(spark)}/roster")) if os.path.exists(f"{shared_dir(spark)}/roster") else []
+
+    before, root = left(), str(tmp_path / "t")
+    load(spark, root, registry(*FIRST), targets, "one")
+    replace_table(spark, root, licences((1, "A", None), (2, "A", None)), "fill")
+    assert repair(spark, root, "repair") == 1
+    assert left() == before
+
+
+def test_small_and_large_repairs_and_numberings_agree(spark, registry, targets, tmp_path, monkeypatch):
+    """Around the border where many rows are handled another way."""
+    rows = [row(i, f"N{i % 7}", f"{i}@x") for i in range(12)]
+    found = []
+    for border in (0, 11, 12, 13, 100):
+        monkeypatch.setattr("roster.operators.merge.FEW_ROWS", border)
+        monkeypatch.setattr("roster.plans.load.FEW_ROWS", border)
+        root = str(tmp_path / f"t{border}")
+        load(spark, root, registry(*rows), targets, "one")
+        licences = read_table(spark, root).withColumn("business_email", F.lit("same"))
+        replace_table(spark, root, licences, "fill")
+        assert repair(spark, root, "repair") == 5
+        found.append(people(read_table(spark, root)))
+    assert all(f == found[0] for f in found) and len(found[0]) == 7
