@@ -64,9 +64,12 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def count_grams(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """(gram, target, background) counts over all documents; ``targets`` holds the ``doc_id`` of target documents."""
+    """(gram, target, background) counts over all documents; ``targets`` holds the ``doc_id`` of target documents.
+
+    The targets grow with the corpus, so they are joined by a shuffle at any size.
+    """
     marked = targets.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("target", F.lit(True))
-    rows = docs.select("doc_id", "text").join(marked, "doc_id", "left").select("text", F.col("target").isNotNull().alias("target"))
+    rows = docs.select("doc_id", "text").join(marked.hint("merge"), "doc_id", "left").select("text", F.col("target").isNotNull().alias("target"))
     counts = rows.mapInArrow(_counted, "gram int, target long, background long")
     return counts.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
