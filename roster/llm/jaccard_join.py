@@ -304,7 +304,10 @@ def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row of each component of similar documents, with all its columns."""
+    """One row of each component of similar documents, with all its columns.
+
+    Of rows equal in id and text, which differ in other columns at most, any one stays.
+    """
     doc_id, mark = unused(docs.columns, "_id", "_mark")
     keep = similar_documents(docs, words, percent).where("first").select(F.col("doc_id").alias(doc_id), F.col("mark").alias(mark))
     same = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(mark))
