@@ -236,12 +236,12 @@ def _large_links(sets: DataFrame, percent: int, family_bytes: int) -> DataFrame:
     near = sets.select("family", "digest", "tokens").join(centers, "family")
     near = near.mapInArrow(measured, "family long, digest binary, tokens binary, center binary, linked boolean, away double")
     near = freeze(near, "large-families")
-    nearest = near.where(~F.col("linked")).groupBy("family").agg(F.min("away").alias("ring"))
+    nearest = freeze(near.where(~F.col("linked")).groupBy("family").agg(F.min("away").alias("ring")), "nearest")
     reach = 1 - percent / 100 + 1e-9
     left = near.join(nearest, "family").where(~F.col("linked") | (F.col("away") >= F.col("ring") - reach))
     sizes = left.groupBy("family").agg((F.sum(F.octet_length("tokens")) / (family_bytes / 2)).alias("x"))
     blocks = F.ceil("x").cast("int")
-    dealt = left.join(sizes.select("family", blocks.alias("blocks")), "family")
+    dealt = left.join(freeze(sizes.select("family", blocks.alias("blocks")), "sizes"), "family")
     own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = dealt.withColumn("own", own).withColumn("other", other)
@@ -262,6 +262,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     node = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long").alias("node")
     keyed = classes.select(node, F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("count")).where(F.col("count") > 1)
+    shared = freeze(shared, "shared-keys")  # so that Spark can split the classes of a frequent key
     edges = keyed.join(shared, "key").select(F.col("node").alias("a"), F.col("least").alias("b"))
     family_of = components(edges)
     roots = family_of.select("root").distinct().select(F.col("root").alias("node"), "root")
@@ -276,7 +277,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
         labels = labels.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     labelled = classes.select("digest", "head").join(labels.select(F.col("a").alias("digest"), F.col("b").alias("group")), "digest", "left")
     labelled = labelled.withColumn("group", F.coalesce("group", "digest"))
-    heads = labelled.groupBy("group").agg(F.min("head").alias("lead"))
+    heads = freeze(labelled.groupBy("group").agg(F.min("head").alias("lead")), "heads")
     named = labelled.join(heads, "group").select("digest", "lead")
     alone = F.struct("id", "mark")
     done = rows.drop("keys").join(named, "digest", "left").withColumn("lead", F.coalesce("lead", alone))
