@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from roster.llm.words import lower_case, span_hashes, word_spans
 
-KNOWN_PIECES = 1_000_000
+KNOWN_PIECES = 250_000
 # Kinds of bytes: digits stand alone, letters and other signs in runs.
 _LETTER, _DIGIT, _SIGN = 1, 2, 3
 _KIND = np.full(256, _SIGN, np.uint8)

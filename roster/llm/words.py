@@ -12,21 +12,27 @@ import numpy as np
 from roster.llm.batches import mixed
 
 _BASE = 0x9E3779B97F4A7C15
+_KEPT = 9 << 16
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-@lru_cache(maxsize=8)
-def _powers_up_to(base: int, n: int) -> np.ndarray:
+def _new_powers(base: int, n: int) -> np.ndarray:
     powers = np.full(n, base, np.uint64)
-    powers[0] = 1
+    powers[:1] = 1
     return np.multiply.accumulate(powers)
 
 
+@lru_cache(maxsize=4)
+def _kept_powers(base: int) -> np.ndarray:
+    return _new_powers(base, _KEPT)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    return _powers_up_to(base, 1 << max(16, n.bit_length()))[:n]
+    """The first ``n`` powers; those that most texts need are kept by the worker."""
+    return _kept_powers(base)[:n] if n <= _KEPT else _new_powers(base, n)
 
 
 class SpanHasher:
