@@ -1,11 +1,13 @@
-"""Load a CSV registry of about 1.2 million rows, twice, and print the times.
+"""Load a CSV registry of about 1.2 million rows, and print the times.
 
-The rows are those of the benchmark tables, repeated with other licence numbers and names. The
-second drop holds every row of the first one and one tenth more.
+The rows are those of the benchmark tables, repeated with other licence numbers and names. The first
+drop comes as one file and, into another table, as part files. The second drop holds every row of the
+first one and one tenth more.
 
     python benchmarks/registry_load.py [sf_dir] [copies]
 """
 
+import glob
 import os
 import sys
 import time
@@ -34,6 +36,17 @@ def copies_of(raw, first: int, last: int):
     )
 
 
+def as_one_file(parts: str, path: str) -> None:
+    """Part files with headers as one file, on the local disk."""
+    os.makedirs(os.path.dirname(path))
+    with open(path, "wb") as out:
+        for i, name in enumerate(sorted(glob.glob(f"{parts}/part-*"))):
+            with open(name, "rb") as part:
+                header = part.readline()
+                out.write(header if i == 0 else b"")
+                out.write(part.read())
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 8
@@ -48,7 +61,11 @@ def main() -> None:
 
     write_registry(copies_of(raw, 0, copies), f"{work}/day-1")
     write_registry(copies_of(raw, 0, copies + max(1, copies // 10)), f"{work}/day-2")
-    table = f"{work}/table"
+    as_one_file(f"{work}/day-1", f"{work}/whole/registry.csv")
+    whole, table = f"{work}/whole-table", f"{work}/table"
+    timed("warm-up", lambda: load(spark, f"{work}/warm", read_registry(spark, f"{work}/day-1").limit(1000), targets, "0"))
+    timed("one file", lambda: load(spark, whole, read_registry(spark, f"{work}/whole"), targets, "1"))
+    print("tasks of the one file:", read_registry(spark, f"{work}/whole").rdd.getNumPartitions(), flush=True)
     timed("first load", lambda: load(spark, table, read_registry(spark, f"{work}/day-1"), targets, "1"))
     timed("second load", lambda: load(spark, table, read_registry(spark, f"{work}/day-2"), targets, "2"))
     licences = read_table(spark, table)
