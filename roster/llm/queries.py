@@ -8,7 +8,6 @@ from roster.llm.decontamination import find_leaks
 from roster.llm.fingerprints import likeness, with_fingerprints, with_next
 from roster.llm.jaccard_join import similar_documents
 from roster.llm.language_id import fit_languages, identify
-from roster.llm.lm_scoring import fit_models, score_documents
 from roster.llm.oracles import ORACLES as ORACLES
 from roster.llm.packing import pack_documents
 from roster.llm.quality import fit_quality, score_quality
@@ -16,6 +15,7 @@ from roster.llm.sharding import shard_documents
 from roster.llm.ship import send_package
 from roster.llm.suffix_dedup import repeats_report
 from roster.llm.token_output import read_sequences, write_tokens
+from roster.llm.word_scoring import score_by_words
 from roster.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -108,7 +108,7 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     """The target is what is labelled as good and not toxic, the background is every document."""
     docs = _table(spark, sf, "documents")
     targets = _table(spark, sf, "labels").where((F.col("quality") == 1) & (F.col("toxic") == 0))
-    return score_documents(docs, fit_models(docs, targets))
+    return score_by_words(docs, targets)
 
 
 QUERIES = {
