@@ -1,18 +1,19 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become templates: numbers, names and units are replaced by typed placeholders, all other words are
-kept in lower case. Windows of ``WINDOW`` template words of the benchmark are joined by hash with those of
-the documents. From each hit the match is extended word by word along its diagonal, and the values behind
+kept in lower case. Windows of ``WINDOW`` words of the benchmark are joined by hash with those of the documents,
+in three views of the words: as templates; as open templates, in which a word that may be a name is matched
+both as a name and as itself; and as they are, in lower case, with all values. From each hit the match is extended word by word along its diagonal, and the values behind
 the placeholders must correspond: a number, name or unit of the item always stands for the same value of
 the document, and different names for different ones. So a question asked again with other numbers or
 names is found, and one that merely has the same form in places is not.
 
 An item is found in a document where ``RUN`` words in a row match, or all of a shorter item but its first
-word (which a sentence's beginning may turn from a word into a name).
-
+word (which a sentence's beginning may turn from a word into a name). 
 - A number is a run of digits, with points or commas between them, or one of ``NUMBER_WORDS``.
 - A unit is one of ``UNITS`` behind a number.
-- A name begins with a capital, goes on in small letters, and does not begin a sentence.
+- A name begins with a capital, goes on in small letters, and does not begin a sentence. What begins a sentence
+  so, and what is a name elsewhere in its text, may be one.
 
 Defined results: NULL and empty texts contain nothing; items with fewer than ``WINDOW`` words or without a
 window of ``LEAST_WORDS`` plain words match nothing; equal items are reported once, under the smallest id;
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roster.llm.batches import slices, text_bytes
+from roster.llm.batches import mixed, slices, text_bytes
 from roster.llm.words import combined, span_hashes
 
 WINDOW = 8
@@ -34,6 +35,8 @@ LEAST_WORDS = 4
 RUN = 13
 BLOCK_BYTES = 16 << 20  # of benchmark text that is broadcast at once
 WORD, NUMBER, NAME, UNIT = 0, 1, 2, 3
+TEMPLATE, OPEN, PLAIN = 0, 1, 2
+_CHUNK = 1 << 14
 
 # Number words and units, in English.
 NUMBER_WORDS = """zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen
@@ -68,14 +71,41 @@ class Templates:
     starts: np.ndarray
     ends: np.ndarray
     texts: np.ndarray
-
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of the window that begins at each word, and whether it lies in one text."""
-        hashes = combined(self.template, WINDOW)
-        inside = np.zeros(len(hashes), bool)
-        for a, b in zip(self.texts, self.texts[1:]):
-            inside[a : max(a, b - WINDOW + 1)] = True
-        return hashes, inside
+    maybe_name: np.ndarray
+
+    def _inside(self, width: int) -> np.ndarray:
+        """Words at which ``width`` words of one text begin."""
+        left = np.repeat(self.texts[1:], self.texts[1:] - self.texts[:-1]) - np.arange(len(self.starts))
+        return np.flatnonzero(left >= width)
+
+    def runs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """First words and hashes of all runs of ``width`` words as they are."""
+        at = self._inside(width)
+        return at, combined(self.value, width)[at]
+
+    def windows(self, view: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First words, hashes and numbers of plain words of all windows; several for one place if words may be names."""
+        plain = np.concatenate([[0], np.cumsum(self.kind == WORD)])
+        if view == PLAIN:
+            at, hashes = self.runs(WINDOW)
+            return at, hashes, plain[at + WINDOW] - plain[at]
+        every = self._inside(WINDOW)
+        if view == TEMPLATE:
+            return every, combined(self.template, WINDOW)[every], plain[every + WINDOW] - plain[every]
+        both = self.maybe_name & (self.kind == WORD)
+        found = [self._choices(every[a : a + _CHUNK], both) for a in range(0, max(1, len(every)), _CHUNK)]
+        return tuple(np.concatenate(parts) for parts in zip(*found))
+
+    def _choices(self, at: np.ndarray, both: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes, plain = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
+        for i in range(WINDOW):
+            two = both[at + i]
+            words = np.concatenate([self.template[at + i], np.full(int(two.sum()), NAME, np.uint64)])
+            counted = np.concatenate([self.kind[at + i] == WORD, np.zeros(int(two.sum()), bool)])
+            at, hashes, plain = (np.concatenate([x, x[two]]) for x in (at, hashes, plain))
+            hashes = mixed(hashes) + words
+            plain += counted
+        return at, mixed(hashes), plain
 
 
 def templates(data: np.ndarray, offsets: np.ndarray) -> Templates:
@@ -108,7 +138,9 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> Templates:
     behind[1:] = kinds[:-1] == NUMBER
     behind[texts[:-1][texts[:-1] < len(starts)]] = False
     kinds[behind & (kinds == WORD) & np.isin(value, _UNITS)] = UNIT
-    return Templates(np.where(kinds == WORD, value, kinds.astype(np.uint64)), value, kinds, starts, ends, texts)
+    own = mixed(value) + np.repeat(np.arange(len(texts) - 1), texts[1:] - texts[:-1]).astype(np.uint64)
+    maybe_name = (kinds == NAME) | (kinds == WORD) & (named | np.isin(own, own[kinds == NAME]))
+    return Templates(np.where(kinds == WORD, value, kinds.astype(np.uint64)), value, kinds, starts, ends, texts, maybe_name)
 
 
 def _lower(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,62 +157,95 @@ def _lower(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _NUMBERS, _UNITS = _hashes_of(NUMBER_WORDS), _hashes_of(UNITS)
 
 
+class _Hashes:
+    """Places by hash."""
+
+    def __init__(self, places: np.ndarray, hashes: np.ndarray):
+        order = np.argsort(hashes, kind="stable")
+        self.places, self.hashes = places[order], hashes[order]
+        bits = max(16, int(8 * len(hashes)).bit_length())
+        self.mask = np.uint64((1 << min(bits, 27)) - 1)
+        self.maybe = np.zeros(int(self.mask) + 1, bool)
+        self.maybe[(self.hashes & self.mask).astype(np.int64)] = True
+
+    def hits(self, at: np.ndarray, hashes: np.ndarray):
+        """(at, place) of equal hashes, by ``at``."""
+        likely = np.flatnonzero(self.maybe[(hashes & self.mask).astype(np.int64)])
+        at, hashes = at[likely], hashes[likely]
+        low, high = (np.searchsorted(self.hashes, hashes, side) for side in ("left", "right"))
+        for i in np.argsort(at, kind="stable"):
+            for place in self.places[low[i] : high[i]]:
+                yield int(at[i]), int(place)
+
+
 class Index:
-    """Windows of benchmark items by hash."""
+    """Windows of benchmark items by hash, in each view."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [item for item, _ in items]
         texts = [text.encode() for _, text in items]
         self.words = templates(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
-        hashes, inside = self.words.windows()
-        plain = np.concatenate([[0], np.cumsum(self.words.kind == WORD)])
-        if len(hashes):
-            inside &= plain[WINDOW : WINDOW + len(hashes)] - plain[: len(hashes)] >= LEAST_WORDS
-        places = np.flatnonzero(inside)
-        order = np.argsort(hashes[places], kind="stable")
-        self.places, self.hashes = places[order], hashes[places][order]
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-
-    def found(self, docs: Templates) -> list[tuple[int, int, int, int, int]]:
+        self.views = {}
+        for view in (TEMPLATE, OPEN, PLAIN):
+            at, hashes, plain = self.words.windows(view)
+            some = plain >= LEAST_WORDS
+            self.views[view] = _Hashes(at[some], hashes[some])
+
+    def leaks(self, docs: Templates) -> list[tuple[int, int, int, int, int]]:
+        """As ``found``, in whichever view a match is longest."""
+        best: dict[tuple[int, int], tuple[int, int, bool]] = {}
+        for view in (PLAIN, OPEN, TEMPLATE):
+            for text, item, *run in self.found(docs, view):
+                if run[1] > best.get((text, item), (0, 0, False))[1]:
+                    best[text, item] = tuple(run)
+        return [(text, item, *run) for (text, item), run in best.items()]
+
+    def found(self, docs: Templates, view: int = TEMPLATE) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word, words, whether all values are equal): the longest match of each item in each text."""
-        hashes, inside = docs.windows()
-        likely = np.flatnonzero(inside & self.maybe[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)]) if len(hashes) else []
         best: dict[tuple[int, int], tuple[int, int, bool]] = {}
         reached: dict[tuple[int, int, int], int] = {}
-        for at in likely:
-            low = int(np.searchsorted(self.hashes, hashes[at], "left"))
-            while low < len(self.hashes) and self.hashes[low] == hashes[at]:
-                place = int(self.places[low])
-                low += 1
-                item = int(np.searchsorted(self.words.texts, place, "right")) - 1
-                text = int(np.searchsorted(docs.texts, at, "right")) - 1
-                diagonal = (text, item, int(at) - place)
-                if reached.get(diagonal, -1) > at:
-                    continue
-                first, last = self._extended(docs, text, item, int(at), place)
-                reached[diagonal] = last
-                run = self._consistent(docs, first, last, int(at) - place)
-                size = int(self.words.texts[item + 1] - self.words.texts[item])
-                if run[1] >= min(RUN, size - 1) and run[1] > best.get((text, item), (0, 0, False))[1]:
-                    best[text, item] = run
+        for at, place in self.views[view].hits(*docs.windows(view)[:2]):
+            text, item = self._text(docs, at), self._text(self.words, place)
+            diagonal = (text, item, at - place)
+            if reached.get(diagonal, -1) > at:
+                continue
+            first, last = self._extended(docs, text, item, at, place, view)
+            reached[diagonal] = last
+            run = self._consistent(docs, first, last, at - place, view)
+            size = int(self.words.texts[item + 1] - self.words.texts[item])
+            if run[1] >= min(RUN, size - 1) and run[1] > best.get((text, item), (0, 0, False))[1]:
+                best[text, item] = run
         return [(text, item, *run) for (text, item), run in best.items()]
 
-    def _extended(self, docs: Templates, text: int, item: int, at: int, place: int) -> tuple[int, int]:
+    @staticmethod
+    def _text(words: Templates, at: int) -> int:
+        return int(np.searchsorted(words.texts, at, "right")) - 1
+
+    def _extended(self, docs: Templates, text: int, item: int, at: int, place: int, view: int) -> tuple[int, int]:
         shift = at - place
         low = max(int(docs.texts[text]), int(self.words.texts[item]) + shift)
         high = min(int(docs.texts[text + 1]), int(self.words.texts[item + 1]) + shift)
-        differ = np.flatnonzero(docs.template[low:high] != self.words.template[low - shift : high - shift]) + low
+        ours, theirs = slice(low, high), slice(low - shift, high - shift)
+        same = docs.value[ours] == self.words.value[theirs] if view != TEMPLATE else np.zeros(high - low, bool)
+        if view != PLAIN:
+            same |= docs.template[ours] == self.words.template[theirs]
+        if view == OPEN:
+            same |= docs.maybe_name[ours] & self.words.maybe_name[theirs]
+        differ = np.flatnonzero(~same) + low
         after = int(np.searchsorted(differ, at))
         return int(differ[after - 1]) + 1 if after else low, int(differ[after]) if after < len(differ) else high
 
-    def _consistent(self, docs: Templates, first: int, last: int, shift: int) -> tuple[int, int, bool]:
+    def _consistent(self, docs: Templates, first: int, last: int, shift: int, view: int) -> tuple[int, int, bool]:
         """The longest stretch in which values correspond: its first word, its words, and whether they are equal."""
+        if view == PLAIN:
+            return first, last - first, True
         best, start = (first, 0, True), first
         forth: dict[tuple, tuple] = {}  # value of the item -> value of the document, and where last seen
         back: dict[tuple, tuple] = {}
         for at in range(first, last):
             kind = int(docs.kind[at])
+            if view == OPEN and (docs.maybe_name[at] or self.words.maybe_name[at - shift]):
+                kind = NAME
             if kind != WORD:
                 ours, theirs = int(docs.value[at]), int(self.words.value[at - shift])
                 known, seen = forth.get((kind, theirs), (ours, -1))
@@ -224,7 +289,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
                 ids = part.column("doc_id")
                 rows = [
                     (ids[t].as_py(), index.ids[i], int(words.starts[a] - offsets[t]), int(words.ends[a + n - 1] - offsets[t]), n, equal)
-                    for t, i, a, n, equal in index.found(words)
+                    for t, i, a, n, equal in index.leaks(words)
                 ]
                 if rows:
                     kinds = [pa.int64()] * 5 + [pa.bool_()]
@@ -242,7 +307,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
         def clean(batches, shared=shared):
             for part in slices(batches, "text"):
                 keep = np.ones(part.num_rows, bool)
-                keep[[hit[0] for hit in shared.value.found(templates(*text_bytes(part.column("text"))))]] = False
+                keep[[hit[0] for hit in shared.value.leaks(templates(*text_bytes(part.column("text"))))]] = False
                 yield part.filter(pa.array(keep))
 
         docs = docs.mapInArrow(clean, docs.schema)

@@ -111,3 +111,39 @@ def test_odd_rows(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == len(ODD) - 3
     assert find_leaks(none, benchmark).collect() == [] and drop_leaks(none, benchmark).collect() == []
     assert find_leaks(odd, benchmark.limit(0)).collect() == [] and drop_leaks(odd, benchmark.limit(0)).count() == len(ODD)
+
+
+def leaks(doc, item=ITEM):
+    raw = doc.encode()
+    return [hit[2:] for hit in Index([(1, item)]).leaks(templates(np.frombuffer(raw, np.uint8), np.array([0, len(raw)], np.int64)))]
+
+
+TOLD = "Tom had 12 apples in a bag. Mary took 5 of them home. Then Tom sold 3 of the others to Mary for 2 dollars"
+
+
+@pytest.mark.parametrize("item", [ITEM, TOLD])
+def test_copies_in_other_cases_and_without_stops(item):
+    n = len(words(item))
+    for copy in (item.lower(), item.upper(), item.title(), item.replace(".", ","), item.replace(".", "")):
+        assert leaks(copy, item) == [(0, n, True)]
+
+
+def test_names_that_begin_sentences_may_be_others():
+    renamed = TOLD.replace("Tom", "Bob").replace("Mary", "Ann")
+    assert leaks(renamed, TOLD) == [(0, 25, False)]
+    assert leaks(renamed.replace(".", " ").replace("5", "7"), TOLD) == [(0, 25, False)]
+    # One name for two people, and too few words on either side of it.
+    assert leaks("Bob had 9 apples in a bag. Bob took 5 of them home", TOLD) == []
+
+
+def test_a_copy_without_its_stops():
+    item = "She had six. He ate two. They met Ann. It was late. You saw Bob. We ran home. All was well"
+    assert leaks(item.replace(".", ""), item) == [(0, 21, True)]
+    assert leaks("So " + item.replace(".", "").replace("Ann", "Eve").replace("six", "ten"), item) == [(1, 21, False)]
+
+
+def test_leaks_in_a_table(spark, docs):
+    benchmark = spark.createDataFrame([(1, ITEM), (2, TOLD)], "item_id long, text string")
+    rows = docs((1, ITEM.lower()), (2, "x " + ITEM.upper()), (3, TOLD.replace("Tom", "Bob").replace("Mary", "Ann")), (4, "clean"))
+    assert sorted((h.doc_id, h.item_id, h.exact) for h in find_leaks(rows, benchmark).collect()) == [(1, 1, True), (2, 1, True), (3, 2, False)]
+    assert [r.doc_id for r in drop_leaks(rows, benchmark).collect()] == [4]
