@@ -9,14 +9,16 @@ the document, and different names for different ones. So a question asked again
 names is found, and one that merely has the same form in places is not.
 
 An item is found in a document where ``RUN`` words in a row match, or all of a shorter item but its first
-word (which a sentence's beginning may turn from a word into a name). 
+word (which a sentence's beginning may turn from a word into a name). An item of fewer than ``WINDOW`` words is
+found where all its words stand in a row as they are. Values may differ only where a window of ``WINDOW`` words
+has ``LEAST_WORDS`` plain ones; anything else is found by its exact words, without regard to capitals.
+
 - A number is a run of digits, with points or commas between them, or one of ``NUMBER_WORDS``.
 - A unit is one of ``UNITS`` behind a number.
 - A name begins with a capital, goes on in small letters, and does not begin a sentence. What begins a sentence
   so, and what is a name elsewhere in its text, may be one.
 
-Defined results: NULL and empty texts contain nothing; items with fewer than ``WINDOW`` words or without a
-window of ``LEAST_WORDS`` plain words match nothing; equal items are reported once, under the smallest id;
+Defined results: NULL, empty texts and items without a word contain and match nothing; equal items are reported once, under the smallest id;
 rows with equal ids are judged each by its own text; an empty benchmark finds nothing.
 """
 
@@ -85,11 +87,11 @@ class Templates:
 
     def windows(self, view: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First words, hashes and numbers of plain words of all windows; several for one place if words may be names."""
-        plain = np.concatenate([[0], np.cumsum(self.kind == WORD)])
         if view == PLAIN:
             at, hashes = self.runs(WINDOW)
-            return at, hashes, plain[at + WINDOW] - plain[at]
+            return at, hashes, np.full(len(at), WINDOW)
         every = self._inside(WINDOW)
+        plain = np.concatenate([[0], np.cumsum(self.kind == WORD)])
         if view == TEMPLATE:
             return every, combined(self.template, WINDOW)[every], plain[every + WINDOW] - plain[every]
         both = self.maybe_name & (self.kind == WORD)
@@ -164,7 +166,7 @@ class _Hashes:
         order = np.argsort(hashes, kind="stable")
         self.places, self.hashes = places[order], hashes[order]
         bits = max(16, int(8 * len(hashes)).bit_length())
-        self.mask = np.uint64((1 << min(bits, 27)) - 1)
+        self.mask = np.uint64((1 << min(bits, 23)) - 1)
         self.maybe = np.zeros(int(self.mask) + 1, bool)
         self.maybe[(self.hashes & self.mask).astype(np.int64)] = True
 
@@ -179,7 +181,7 @@ class _Hashes:
 
 
 class Index:
-    """Windows of benchmark items by hash, in each view."""
+    """Windows of benchmark items by hash, in each view, and items of fewer words as a whole."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [item for item, _ in items]
@@ -190,14 +192,23 @@ class Index:
             at, hashes, plain = self.words.windows(view)
             some = plain >= LEAST_WORDS
             self.views[view] = _Hashes(at[some], hashes[some])
+        sizes = self.words.texts[1:] - self.words.texts[:-1]
+        self.short = {}
+        for width in sorted(set(sizes[(sizes > 0) & (sizes < WINDOW)].tolist())):
+            at, hashes = self.words.runs(width)
+            whole = np.isin(at, self.words.texts[:-1][sizes == width])
+            self.short[width] = _Hashes(at[whole], hashes[whole])
 
     def leaks(self, docs: Templates) -> list[tuple[int, int, int, int, int]]:
-        """As ``found``, in whichever view a match is longest."""
+        """As ``found``, in whichever view a match is longest, and with items of fewer than ``WINDOW`` words."""
         best: dict[tuple[int, int], tuple[int, int, bool]] = {}
         for view in (PLAIN, OPEN, TEMPLATE):
             for text, item, *run in self.found(docs, view):
                 if run[1] > best.get((text, item), (0, 0, False))[1]:
                     best[text, item] = tuple(run)
+        for width, hashes in self.short.items():
+            for at, place in hashes.hits(*docs.runs(width)):
+                best.setdefault((self._text(docs, at), self._text(self.words, place)), (at, width, True))
         return [(text, item, *run) for (text, item), run in best.items()]
 
     def found(self, docs: Templates, view: int = TEMPLATE) -> list[tuple[int, int, int, int, int]]:

@@ -147,3 +147,26 @@ def test_leaks_in_a_table(spark, docs):
     rows = docs((1, ITEM.lower()), (2, "x " + ITEM.upper()), (3, TOLD.replace("Tom", "Bob").replace("Mary", "Ann")), (4, "clean"))
     assert sorted((h.doc_id, h.item_id, h.exact) for h in find_leaks(rows, benchmark).collect()) == [(1, 1, True), (2, 1, True), (3, 2, False)]
     assert [r.doc_id for r in drop_leaks(rows, benchmark).collect()] == [4]
+
+
+DENSE = "12 + 7 = 19, 30 - 4 = 26, 8 * 9 = 72, 5 kg 6 m, Ann Bob Carl"
+
+
+def test_items_of_few_plain_words_are_found_by_their_exact_words():
+    n = len(words(DENSE))
+    assert leaks("see " + DENSE.lower() + " there", DENSE) == [(1, n, True)]
+    assert leaks(DENSE.replace("19", "20").replace("26", "25").replace("72", "71"), DENSE) == []
+    assert leaks(" ".join(str(i) for i in range(3, 40)), " ".join(str(i) for i in range(10, 30))) == [(7, 20, True)]
+
+
+def test_items_shorter_than_a_window_are_found_whole():
+    assert leaks("so what is 2 plus TWO then", "What is 2 plus two?") == [(1, 5, True)]
+    assert leaks("what is 3 plus two", "What is 2 plus two?") == [] and leaks("what is 2 plus", "What is 2 plus two?") == []
+    assert leaks("one", "?!") == [] == leaks("", "One")
+    assert leaks("one", "One") == [(0, 1, True)]
+
+
+def test_short_items_do_not_cross_texts(spark, docs):
+    benchmark = spark.createDataFrame([(1, "big red ball"), (2, "1 2 3 4 5 6 7 8 9")], "item_id long, text string")
+    rows = docs((1, "a big"), (2, "red ball"), (3, "a Big, red ball"), (4, "0 1 2 3 4 5 6 7 8 9"), (5, "0 1 2 3 4 5 6 8 8 9"))
+    assert sorted((h.doc_id, h.item_id) for h in find_leaks(rows, benchmark).collect()) == [(3, 1), (4, 2)]
