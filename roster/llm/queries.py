@@ -58,7 +58,8 @@ def op5_token_output(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_tokens(_table(spark, sf, "documents"), path, TOKENIZER, END)
     sequences = read_sequences(spark, path)
-    return sequences.select("sequence_id", "doc_ids", "doc_starts", "cu_seqlens", F.crc32("ids").alias("ids_crc32"))
+    crcs = [F.crc32(name).alias(f"{name}_crc32") for name in ("ids", "padding")]
+    return sequences.select("sequence_id", "doc_ids", "doc_starts", "cu_seqlens", "width", "position_resets", *crcs)
 
 
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:

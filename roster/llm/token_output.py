@@ -84,12 +84,13 @@ def _block(number: int, width: int, group: list[Sequence], ids, tokens, pad: int
 
 
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
-    """One row per sequence: its ids without padding, and its segments."""
+    """One row per sequence: its ids without padding, its segments, its width, padding and position resets."""
     row = F.col("row")
     at = F.col("row") * F.col("width") * F.col("id_bytes") + 1
     blocks = spark.read.schema(BLOCKS).parquet(path)
     rows = blocks.select("*", F.explode(F.sequence(F.lit(0), F.col("sequences") - 1)).alias("row"))
     lengths = F.element_at(F.get("cu_seqlens", row), -1)
+    own = lambda x: (x >= F.col("row") * F.col("width")) & (x < (F.col("row") + 1) * F.col("width"))
     return rows.select(
         (F.col("first_sequence") + row).alias("sequence_id"),
         F.get("cu_seqlens", row).alias("cu_seqlens"),
@@ -97,6 +98,9 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
         F.get("doc_starts", row).alias("doc_starts"),
         F.substring("ids", at, lengths * F.col("id_bytes")).alias("ids"),
         "id_bytes",
+        "width",
+        F.substring("ids", at + lengths * F.col("id_bytes"), (F.col("width") - lengths) * F.col("id_bytes")).alias("padding"),
+        F.transform(F.filter("position_resets", own), lambda x: x - F.col("row") * F.col("width")).alias("position_resets"),
     )
 
 

@@ -71,3 +71,13 @@ print("ROWS", entry.queries()["op2_language_id"](local_session("2"), {json.dumps
     bare = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=bare, capture_output=True, text=True, timeout=240)
     assert "ROWS 200" in said.stdout, said.stderr[-2000:]
+
+
+def test_token_output_covers_resets_and_padding(spark):
+    rows = QUERIES["op5_token_output"](spark, SF).collect()
+    assert rows
+    for r in rows:
+        length = r.cu_seqlens[-1]
+        assert list(r.position_resets) == [at for at in r.cu_seqlens if at < r.width] and length <= r.width
+        assert r.padding_crc32 == zlib.crc32(bytes(2 * (r.width - length)))
+    assert any(r.cu_seqlens[-1] < r.width for r in rows)
