@@ -4,6 +4,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roster.llm import chosen_path
+from roster.llm.conversations import damaged, repair_conversations
 from roster.llm.decontamination import find_leaks
 from roster.llm.fingerprints import likeness, with_fingerprints, with_next
 from roster.llm.jaccard_join import similar_documents
@@ -14,12 +16,14 @@ from roster.llm.quality import fit_quality, score_quality
 from roster.llm.sharding import shard_documents
 from roster.llm.ship import send_package
 from roster.llm.suffix_dedup import repeats_report
+from roster.llm.token_alignment import Pair, align_documents
 from roster.llm.token_output import read_sequences, write_tokens
 from roster.llm.word_scoring import score_by_words
 from roster.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END = 2
+PAIR = Pair(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
 SHARDS = 24
 QUALITY_THRESHOLD = 0.3
 
@@ -112,6 +116,19 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return score_by_words(docs, targets)
 
 
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """The first tokenizer is read from its file of ranks, which gives the ids of the contract's file."""
+    return align_documents(_table(spark, sf, "documents"), PAIR)
+
+
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair_conversations(damaged(_table(spark, sf, "conversations")))
+
+
+def op13_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return chosen_path.near_duplicates(_table(spark, sf, "documents"), words=2, percent=80).drop("mark")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
@@ -123,6 +140,9 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_fingerprints": op9_fingerprints,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
 

@@ -1,0 +1,92 @@
+"""The chosen-path join against brute force over all pairs."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from roster.llm import chosen_path
+from roster.llm.chosen_path import candidates, minwise, most_differing, near_duplicates, sketch
+from tests.llm.conftest import ODD
+from tests.llm.test_jaccard_join import expected, near_copies
+
+
+def assert_brute_force(df, words, percent):
+    rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    got = near_duplicates(df, words, percent).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected(rows, words, percent)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+@pytest.mark.parametrize("small", [4, 512])
+def test_whole_table(documents, small, monkeypatch):
+    monkeypatch.setattr(chosen_path, "SMALL", small)
+    assert_brute_force(documents, 2, 80)
+
+
+@pytest.mark.parametrize("percent", [60, 80])
+def test_near_copies(docs, percent):
+    assert_brute_force(docs(*near_copies(percent)), 2, percent)
+
+
+def test_odd_rows(docs, monkeypatch):
+    monkeypatch.setattr(chosen_path, "SMALL", 2)
+    assert_brute_force(docs(*ODD, *ODD, (30, "one two"), (31, "ONE  two"), (None, None), (None, "one\ttwo")), 2, 80)
+
+
+def test_empty_table(none):
+    assert near_duplicates(none).collect() == []
+
+
+def loose_family(n, changed):
+    """Copies of one text, each with other words changed, so that likeness lies around the threshold."""
+    pick, base = random.Random(7), [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(pick.randint(0, changed)):
+            copy[pick.randrange(150)] = f"x{pick.randrange(10_000)}"
+        rows.append((1000 - i, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("changed", [4, 14, 30])
+def test_a_large_family_of_near_copies(docs, changed, monkeypatch):
+    """A third and more of all rows are alike; branching does not part them, one member and blocks do."""
+    monkeypatch.setattr(chosen_path, "SMALL", 8)
+    others = [(2000 + i, " ".join(f"{i}a{k}" for k in range(40))) for i in range(60)]
+    assert_brute_force(docs(*loose_family(90, changed), *others), 2, 80)
+
+
+def test_trees_find_what_their_chance_says():
+    """Of pairs at the threshold, those in one node of at least one tree after three branches."""
+    pick, multipliers = np.random.default_rng(11), chosen_path._multipliers()
+    lost, differing, n = 0, [], 400
+    for _ in range(n):
+        a = pick.integers(0, 1 << 63, 180, dtype=np.uint64)
+        b = np.concatenate([a[:160], pick.integers(0, 1 << 63, 20, dtype=np.uint64)])  # 160 of 200
+        two = [minwise(np.sort(s), multipliers) for s in (a, b)]
+        same = two[0] == two[1]
+        bits = [np.frombuffer(sketch(m), np.uint64) for m in two]
+        differing.append(int(np.bitwise_count(bits[0] ^ bits[1]).sum()))
+        found = False
+        for _ in range(chosen_path.TREES):
+            order = pick.permutation(chosen_path.COORDINATES)
+
+            def alive(place, depth):
+                return depth == 0 or any(same[order[c]] and alive(c, depth - 1) for c in (2 * place + 1, 2 * place + 2))
+
+            found = found or alive(0, 3)
+        lost += not found
+    assert lost == 0
+    assert max(differing) < most_differing(80) and 20 < np.mean(differing) < 31
+
+
+def test_candidates_are_all_near_pairs():
+    pick = np.random.default_rng(2)
+    bits = pick.integers(0, 1 << 63, (70, 4), dtype=np.uint64)
+    bits[40:50] = bits[3]
+    a, b, away = candidates(bits, np.full(70, 9), 80)
+    assert {*zip(a.tolist(), b.tolist())} >= {(x, y) for x in [3, *range(40, 50)] for y in [3, *range(40, 50)] if x < y}
+    assert (np.diff(away) >= 0).all() and len(candidates(bits, np.arange(70) * 100 + 1, 80)[0]) < len(a)
