@@ -73,6 +73,27 @@ def raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_line_breaks(raw: DataFrame) -> DataFrame:
+    """Every third address goes over several lines and has quotes and commas in it."""
+    broken = F.concat("addr1", F.lit('\n"Suite", 2\n\n'), F.col(ORDINAL).cast("string"))
+    return raw.withColumn("addr1", F.when(F.col(ORDINAL) % 3 == 0, broken).otherwise(F.col("addr1")))
+
+
+def write_faulty(raw: DataFrame, path: str) -> None:
+    """Lines of three cells; of ten some have a cell less, two more, text behind a quote, or stray quotes that are no fault."""
+    kind = F.col(ORDINAL) % 10
+    number, name, email = F.concat(F.lit('"=""'), F.col(ORDINAL).cast("string"), F.lit('"""')), F.col("last_name"), F.coalesce("email", F.lit(""))
+    line = (
+        F.when(kind == 1, F.concat_ws(",", number, name))
+        .when(kind == 2, F.concat_ws(",", number, name, email, F.lit("x"), F.lit('"y,z"')))
+        .when(kind == 3, F.concat_ws(",", number, F.concat(F.lit('"'), name, F.lit('"tail')), email))
+        .when(kind == 4, F.concat_ws(",", number, F.concat(name, F.lit('"x"')), email))
+        .otherwise(F.concat_ws(",", number, name, email))
+    )
+    header = "License Number,Last Name,Email Address"
+    raw.select(line.alias(header)).write.options(header=True, quote="", sep="\x01").csv(path)
+
+
 def county(spark: SparkSession, sf_dir: str, region: str) -> DataFrame:
     """The nations of a region, standing for the cities of a county."""
     regions = table(spark, sf_dir, "region").where(F.col("r_name") == region)

@@ -1,5 +1,6 @@
 """The composite jobs that change the licence table."""
 
+import uuid
 from collections.abc import Iterable
 from typing import NamedTuple
 
@@ -45,19 +46,28 @@ def load_report(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def load(
-    spark: SparkSession, root: str, raw: DataFrame, targets: Targets, load_key: str, count_scan: bool = True
+    spark: SparkSession,
+    root: str,
+    raw: DataFrame,
+    targets: Targets,
+    load_key: str,
+    count_scan: bool = True,
+    rejected: DataFrame | None = None,
 ) -> dict:
     """Load one drop into the stored table, all or nothing, and report the counts, all of them exact.
 
     A load key committed since the last restore is not loaded again. The batch is written down before
     the merge: Spark then knows its size, and a daily batch against a large table becomes a
     broadcast, with no shuffle of the table. ``rows_read`` and ``rows_matched`` take a pass over three
-    columns of the drop; without ``count_scan`` they are None.
+    columns of the drop; without ``count_scan`` they are None. The records in ``rejected``, as
+    ``registry.rejected_records`` finds them, are set aside with the table and counted by their faults; they are
+    loaded nevertheless.
     """
     state = create_table(spark, root)
     done = commit_of(spark, root, load_key)
     if done is not None:
-        return _report(done.rows_before, done.rows, done.rows_read, done.rows_matched, done.rows_staged)
+        faulty = {name: done[name] for name in _FAULTS.values()} if done.rejected else {}
+        return _report(done.rows_before, done.rows, done.rows_read, done.rows_matched, done.rows_staged) | faulty
 
     with scratch(spark, "load"):
         staged = freeze(stage(raw, targets), "staged")
@@ -65,8 +75,22 @@ def load(
         counts = {"rows_read": rows_read, "rows_matched": rows_matched, "rows_staged": staged.count()}
         fresh = insert_new(read_table(spark, root, state), staged) if state.rows else staged
         numbered = assign_ids(fresh, state.last_id, [ORDINAL], at_most=counts["rows_staged"])
-        added = append_batch(spark, root, state, load_key, numbered, **counts)
-    return _report(state.rows, added, *counts.values())
+        faulty = _set_aside(rejected, root) if rejected is not None else {}
+        added = append_batch(spark, root, state, load_key, numbered, **counts, **faulty)
+    return _report(state.rows, added, *counts.values()) | {name: n for name, n in faulty.items() if name != "rejected"}
+
+
+# The counts of a load's report, for each fault.
+_FAULTS = {"short": "rows_short", "long": "rows_long", "badly_quoted": "rows_badly_quoted"}
+
+
+def _set_aside(rejected: DataFrame, root: str) -> dict[str, int | str]:
+    """Write faulty records to a folder of their own; its name and the number of each fault go into the commit."""
+    folder = f"rejected/{uuid.uuid4().hex}"
+    rejected.write.parquet(f"{root}/{folder}")
+    counts = rejected.sparkSession.read.parquet(f"{root}/{folder}").groupBy("fault").count().collect()
+    found = {row.fault: row["count"] for row in counts}
+    return {"rejected": folder} | {name: found.get(fault, 0) for fault, name in _FAULTS.items()}
 
 
 def _report(before: int, added: int, read: int | None, matched: int | None, staged: int) -> dict[str, int | None]:

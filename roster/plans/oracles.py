@@ -302,3 +302,21 @@ SELECT row_number() OVER (ORDER BY drop_no, ordinal) AS id, {_COLUMNS} FROM (
   SELECT *, CASE WHEN odate < DATE '1993-01-01' THEN 3 WHEN odate < DATE '1997-01-01' THEN 1 ELSE 2 END AS drop_no
   FROM normalised
   QUALIFY row_number() OVER (PARTITION BY full_name, business_email ORDER BY drop_no, ordinal) = 1)"""
+ORACLES["registry_multiline"] = ORACLES["registry_roundtrip"].replace(
+    "REPLACE (",
+    """REPLACE (CASE WHEN ordinal % 3 = 0 THEN addr1 || chr(10) || '"Suite", 2' || chr(10) || chr(10) || ordinal ELSE addr1 END AS addr1, """,
+)
+ORACLES["rejected_records"] = _with(_RAW) + ''',
+numbered AS (
+  SELECT ordinal % 10 AS kind, '"=""' || ordinal || '"""' AS number, last_name AS name, coalesce(email, '') AS email FROM raw
+),
+faulty AS (
+  SELECT CASE kind WHEN 1 THEN 'short' WHEN 2 THEN 'long' ELSE 'badly_quoted' END AS fault,
+    CASE kind WHEN 1 THEN 2 WHEN 2 THEN 5 ELSE 3 END AS cells,
+    CASE kind WHEN 1 THEN number || ',' || name WHEN 2 THEN number || ',' || name || ',' || email || ',x,"y,z"'
+      ELSE number || ',"' || name || '"tail,' || email END AS record
+  FROM numbered WHERE kind IN (1, 2, 3)
+)
+SELECT *, count(*) FILTER (WHERE fault = 'short') OVER () AS rows_short, count(*) FILTER (WHERE fault = 'long') OVER () AS rows_long,
+  count(*) FILTER (WHERE fault = 'badly_quoted') OVER () AS rows_badly_quoted
+FROM faulty'''

@@ -28,9 +28,18 @@ from roster.plans.load import load, load_report, merged, repair, stage
 from roster.schema import ORDINAL, REGISTRY_HEADERS
 from roster.session import freeze, scratch_path
 from roster.sources.outcomes import read_outcomes, record_outcomes
-from roster.sources.registry import read_registry, write_registry
+from roster.sources.registry import read_registry, rejected_records, write_registry
 from roster.sources.staging import export_csv, read_export, read_staging, write_staging
-from roster.sources.table import create_table, read_edits, read_table, record_edits, replace_table, restore, snapshot
+from roster.sources.table import (
+    create_table,
+    read_edits,
+    read_rejected,
+    read_table,
+    record_edits,
+    replace_table,
+    restore,
+    snapshot,
+)
 from roster.streaming.landing import load_stream
 
 # Wording of the rendered messages in the outbox queries.
@@ -55,6 +64,27 @@ def registry_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return number_rows(rows.select(*texts, ORDINAL), [ORDINAL], "place").drop(ORDINAL)
 
 
+def registry_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    """Addresses with line breaks and quotes in them, written as CSV and read back in splits, numbered in file order."""
+    path = scratch_path(spark, "registry")
+    write_registry(freeze(tables.with_line_breaks(tables.raw_registry(spark, sf)), "raw"), path)
+    rows = read_registry(spark, path)
+    texts = [F.nullif(c, F.lit("")).alias(c) for c in rows.columns if c != ORDINAL]
+    return number_rows(rows.select(*texts, ORDINAL), [ORDINAL], "place").drop(ORDINAL)
+
+
+def rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Records that are too short, too long or badly quoted, and what the load of the drop counts of them."""
+    work = scratch_path(spark, "rejected")
+    tables.write_faulty(tables.raw_registry(spark, sf), f"{work}/drop")
+    report = load(
+        spark, f"{work}/table", read_registry(spark, f"{work}/drop"), tables.targets(spark, sf), "drop",
+        rejected=rejected_records(spark, f"{work}/drop"),
+    )
+    counted = [F.lit(report[name]).cast("long").alias(name) for name in ("rows_short", "rows_long", "rows_badly_quoted")]
+    return read_rejected(spark, f"{work}/table").select("fault", "cells", "record", *counted)
+
+
 def clean_cells(spark: SparkSession, sf: str) -> DataFrame:
     raw = tables.raw_registry(spark, sf)
     return clean_registry(raw).drop("odate")
@@ -310,6 +340,8 @@ def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_registry": raw_registry,
     "registry_roundtrip": registry_roundtrip,
+    "registry_multiline": registry_multiline,
+    "rejected_records": rejected,
     "clean_cells": clean_cells,
     "missing_columns": missing_columns,
     "clean_documents": clean_documents,

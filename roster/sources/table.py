@@ -1,17 +1,21 @@
 """The licence table on shared storage.
 
-Rows live in Parquet folders that are written once and never changed. A ``commits`` table, one folder
+Rows live in Parquet folders that are written once and never changed. A ``commits`` table, one file
 with one row per change, names the folders that make up the table. A change becomes visible by its
 commit, so a job that fails half-way leaves the table as it was.
 
-Every change is built on a state and says on which. It is refused if the table has moved on since: when
-it would be committed, and again when another change turns out to have been committed beside it. Then
-nothing of it is in the table, and it is to be run again.
+Every change is built on a state, and its commit is named by that state. The file is written aside and put
+into place by one step that fails if the name is taken: a link on a local file system, else a rename
+without overwriting, which shared file systems such as HDFS do as one step. So of all changes built on a
+state, whatever they are, exactly one is committed. For the others ``ConcurrentChange`` is raised, nothing of
+them is in the table, and they are to be run again.
 """
 
+import time
 import uuid
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +25,8 @@ from roster.schema import EDITS, LICENCE
 
 # A commit is made on the one before it, (base_version, base_seq); ``restored`` marks a restore.
 _COMMIT = """version int, seq int, base_version int, base_seq int, restored boolean, load_key string, folder string,
-    rows long, rows_before long, last_id long, rows_read long, rows_matched long, rows_staged long"""
+    rows long, rows_before long, last_id long, rows_read long, rows_matched long, rows_staged long,
+    rejected string, rows_short long, rows_long long, rows_badly_quoted long"""
 
 
 class ConcurrentChange(RuntimeError):
@@ -67,9 +72,10 @@ def table_state(spark: SparkSession, root: str) -> TableState | None:
     version, last_id = log.agg(F.max("version"), F.max("last_id")).first()
     if version is None:
         return None
-    commits = log.where(F.col("version") == version).orderBy("seq").collect()
-    if len({c.seq for c in commits}) < len(commits):
-        raise ConcurrentChange(f"two changes were committed as one in version {version} of {root}")
+    found = log.where(F.col("version") == version).collect()
+    # A table of an earlier layout may hold two commits in one place; the same one counts for every reader.
+    placed = {c.seq: c for c in sorted(found, key=lambda c: c.folder or "", reverse=True)}
+    commits = [placed[seq] for seq in sorted(placed)]
     # Ids of removed rows stay used up: the send log may still refer to them.
     return TableState(version, commits, sum(c.rows for c in commits), last_id)
 
@@ -89,37 +95,65 @@ def commit_of(spark: SparkSession, root: str, load_key: str):
     return valid.orderBy("version", "seq").first()
 
 
+def _publish(spark: SparkSession, folder: str, target: str) -> bool:
+    """Put the one part file of ``folder`` in place as ``target``, in one step; False if there is such a file already."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    system = path(folder).getFileSystem(conf)
+    part = next(s.getPath() for s in system.listStatus(path(folder)) if s.getPath().getName().startswith("part-"))
+    system.mkdirs(path(target).getParent())
+    try:
+        if system.getUri().getScheme() == "file":
+            places = [spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (path(target), part)]
+            spark._jvm.java.nio.file.Files.createLink(*places)
+        else:
+            keep = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf)
+            context.rename(part, path(target), keep)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        system.delete(path(folder), True)
+    return True
+
+
 def _commit(spark: SparkSession, root: str, **values) -> None:
+    """Commit a change under the name of the state it was built on, or raise ConcurrentChange."""
     fields = StructType.fromDDL(_COMMIT).fields
     columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in fields]
-    name = f"{values['version']:09d}-{values['seq']:09d}"
+    base = values.get("base_version"), values.get("base_seq")
+    name = "first" if base[0] is None else f"after-{base[0]:09d}-{base[1]:09d}"
     row = spark.range(1, numPartitions=1).select(*columns)
-    try:
-        row.write.mode("errorifexists").parquet(f"{root}/commits/{name}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_ALREADY_EXISTS":
-            raise
-        raise ConcurrentChange(f"{root} has a commit {name} already") from error
+    if getattr(spark, "_jvm", None) is None:  # no access to the file system, as on Spark Connect
+        try:
+            row.write.mode("errorifexists").parquet(f"{root}/commits/{name}")
+            return
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+    else:
+        aside = f"{root}/prepared/{uuid.uuid4().hex}"
+        row.write.parquet(aside)
+        if _publish(spark, aside, f"{root}/commits/{name}.parquet"):
+            return
+    raise ConcurrentChange(f"another change was built on {base} of {root} and committed first; nothing of this one is in the table, run it again")
 
 
 def _commit_on(spark: SparkSession, root: str, base: TableState, **values) -> None:
-    """Commit a change built on ``base``, if that is still the table, and see that it is the only one."""
-    place = (values["version"], values["seq"])
-    state = table_state(spark, root)
-    if state is None or state.head != base.head:
-        raise ConcurrentChange(f"{root} changed since {base.head}: now {state and state.head}")
+    """Commit a change built on ``base``, if no other one was."""
     _commit(spark, root, base_version=base.version, base_seq=base.commits[-1].seq, **values)
-    after = commit_log(spark, root).where((F.col("base_version") == base.version) & (F.col("base_seq") == base.commits[-1].seq))
-    others = [(c.version, c.seq) for c in after.collect()]
-    if others != [place]:
-        raise ConcurrentChange(f"{root}: {others} were built on {base.head} at the same time; only the highest is in the table")
 
 
 def create_table(spark: SparkSession, root: str) -> TableState:
     """Create an empty table if there is none."""
     state = table_state(spark, root)
     if state is None:
-        _commit(spark, root, version=0, seq=0, load_key="create", restored=False, rows=0, rows_before=0, last_id=0)
+        try:
+            _commit(spark, root, version=0, seq=0, load_key="create", restored=False, rows=0, rows_before=0, last_id=0)
+        except ConcurrentChange:
+            pass  # somebody else has just created it
     return state or table_state(spark, root)
 
 
@@ -141,7 +175,7 @@ def _write_folder(licences: DataFrame, root: str, label: str) -> tuple[str, int,
 
 
 def append_batch(
-    spark: SparkSession, root: str, state: TableState, load_key: str, licences: DataFrame, **metrics: int
+    spark: SparkSession, root: str, state: TableState, load_key: str, licences: DataFrame, **metrics: int | str
 ) -> int:
     """Add rows to the version they were built on and return how many they were."""
     seq = state.commits[-1].seq + 1
@@ -203,6 +237,37 @@ def compact(spark: SparkSession, root: str) -> None:
     replace_table(spark, root, rows, f"compact-{uuid.uuid4().hex}", state, expected=state.rows)
 
 
+def read_rejected(spark: SparkSession, root: str) -> DataFrame | None:
+    """The records set aside by all loads, or None where no load set any aside."""
+    folders = [r.rejected for r in commit_log(spark, root).where("rejected IS NOT NULL").select("rejected").distinct().collect()]
+    return spark.read.parquet(*[f"{root}/{folder}" for folder in folders]) if folders else None
+
+
+def forget_old_rows(spark: SparkSession, root: str, versions: int = 1, hours: float = 24.0) -> list[str]:
+    """Delete the row folders that the latest ``versions`` of the table do not name; returns their names.
+
+    Repaired, replaced and restored-over rows are gone for good then, as personal data may have to be. A frame
+    read before keeps no files alive: let readers of older versions end first. Folders that are younger than
+    ``hours`` stay, as a change that is not committed yet may have written them.
+    """
+    log = commit_log(spark, root)
+    latest = log.agg(F.max("version")).first()[0]
+    if latest is None:
+        return []
+    named = log.where(F.col("version") > latest - versions).select("folder").distinct().collect()
+    kept = {row.folder.rsplit("/", 1)[-1] for row in named if row.folder}
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    rows = path(f"{root}/rows")
+    system = rows.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = time.time() * 1000 - hours * 3_600_000
+    found = system.listStatus(rows) if system.exists(rows) else []
+    names = [s.getPath().getName() for s in found if s.getModificationTime() <= old]
+    gone = sorted(name for name in names if name not in kept)
+    for name in gone:
+        system.delete(path(f"{root}/rows/{name}"), True)
+    return gone
+
+
 def record_edits(edits: DataFrame, root: str) -> None:
     """Append staff edits: an id, when it was made, and new values for ``checked`` or ``personal_email``."""
     edits.select(*EDITS.fieldNames()).write.mode("append").parquet(f"{root}/edits")

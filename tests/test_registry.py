@@ -1,9 +1,13 @@
 """Reading registry CSV files."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from roster.schema import REGISTRY_HEADERS
-from roster.sources.registry import read_cities, read_registry, write_registry
+from roster.sources.records import leaves_open, state_after
+from roster.sources.registry import read_cities, read_registry, rejected_records, write_registry
 
 HEADERS = list(REGISTRY_HEADERS)
 
@@ -126,7 +130,7 @@ def test_parts_are_read_in_the_order_of_their_numbers(spark, tmp_path):
     assert values(read_registry(spark, str(drop)), "license_number") == [("0",), ("99998",), ("99999",), ("100000",)]
 
 
-def test_only_files_with_records_over_several_lines_are_read_whole(spark, tmp_path):
+def test_files_with_and_without_records_over_several_lines(spark, tmp_path):
     drop = tmp_path / "drop"
     drop.mkdir()
     write(drop / "a.csv", "License Number,First Name\n" + "".join(f"{i},Ana\n" for i in range(3000)))
@@ -161,3 +165,107 @@ def test_written_rows_read_back(spark, registry, tmp_path):
 def test_cities(spark, tmp_path):
     path = write(tmp_path / "cities.csv", 'county,city\nA,OPA-LOCKA\nB,"FT. X, Y"\n')
     assert [r.city for r in read_cities(spark, path).collect()] == ["OPA-LOCKA", "FT. X, Y"]
+
+
+def nasty(pick, crlf, rows):
+    """Lines of cells with quotes, commas and line breaks in all places, some of them badly quoted."""
+    end = "\r\n" if crlf else "\n"
+
+    def cell():
+        kind = pick.random()
+        if kind < 0.5:
+            return pick.choice(["a", "12", "", "x y", " ", 'a"b', "é"])
+        if kind < 0.97:
+            return '"' + "".join(pick.choice(["a", '""', ",", "\n", "x", end, ""]) for _ in range(pick.randint(0, 6))) + '"'
+        return pick.choice(['"q"t', '"q" ,', '"q" "x', ' "z"', '"a"""', '"b"" "'])
+
+    lines = [",".join([str(i), *(cell() for _ in range(pick.choice([3, 3, 3, 2, 4])))]) for i in range(rows)]
+    return (",".join(HEADERS[:4]) + end + end.join(lines) + pick.choice(["", end])).encode()
+
+
+def whole_cells(df):
+    return values(df, *list(REGISTRY_HEADERS.values())[:4])
+
+
+@pytest.mark.parametrize("split", ["150", "1k", "1m"])
+@pytest.mark.parametrize("crlf", [False, True])
+def test_records_over_several_lines_are_read_in_splits(spark, tmp_path, split, crlf):
+    """Rows and their order are those of Spark's reader that takes a file as a whole."""
+    path = write(tmp_path / "r.csv", nasty(random.Random(f"{split}{crlf}"), crlf, 150))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    try:
+        rows = read_registry(spark, path)
+        assert split == "1m" or rows.rdd.getNumPartitions() > 3
+        assert whole_cells(rows) == whole_cells(read_registry(spark, path, multi_line=True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_one_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    text = "License Number,First Name\n" + "".join(f'{i},"two\nlines of ""{i}"", with\n\nmore"\n' for i in range(2000))
+    path = write(tmp_path / "r.csv", text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = read_registry(spark, path)
+        assert rows.rdd.getNumPartitions() > 10
+        found = values(rows, "license_number", "first_name")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [(str(i), f'two\nlines of "{i}", with\n\nmore') for i in range(2000)]
+
+
+@pytest.mark.parametrize("split", ["60", "1m"])
+def test_long_cells_cross_many_splits(spark, tmp_path, split):
+    long = "line\n" * 60
+    path = write(tmp_path / "r.csv", f'License Number,First Name\n1,"{long}"\n2,b\n3,"{long}{long}"\n4,"open\nto the end')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    try:
+        want = [("1", long), ("2", "b"), ("3", long + long), ("4", '"open\nto the end')]
+        assert [(n, t.lstrip('"')) for n, t in values(read_registry(spark, path), "license_number", "first_name")] == [(n, t.lstrip('"')) for n, t in want]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_stray_quotes_within_cells_open_nothing(spark, tmp_path):
+    path = write(tmp_path / "r.csv", 'License Number,First Name\n1,5" tall\n2,b\n3,"c\nd"\n')
+    assert values(read_registry(spark, path), "license_number", "first_name") == [("1", '5" tall'), ("2", "b"), ("3", "c\nd")]
+    other = write(tmp_path / "s.csv", 'License Number,First Name\n1,5" tall\n2,b\n')
+    assert values(read_registry(spark, other, multi_line=False), "first_name") == [('5" tall',), ("b",)]
+
+
+def test_lines_that_end_in_carriage_returns(spark, tmp_path):
+    path = write(tmp_path / "r.csv", b'License Number,First Name\r1,"a\rb"\r2,c\r')
+    assert values(read_registry(spark, path), "license_number")[-1:] == [("2",)]
+
+
+def test_states_agree_with_the_column(spark):
+    """The scan in Python and the one as a column find the same cells left open."""
+    pick = random.Random(9)
+    lines = ["".join(pick.choice('",a \t') for _ in range(pick.randint(0, 9))) for _ in range(3000)]
+    got = spark.createDataFrame([(line,) for line in lines], "line string").select(leaves_open(F.col("line"))).collect()
+    assert [r[0] for r in got] == [state_after(line.encode(), 0) == 2 for line in lines]
+
+
+def test_rejected_records(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    write(drop / "a.csv", 'License Number,First Name,x\n1,a,b\n2,a\n3,a,b,c\n4,"a"b,c\n5,"a\nb",c\n\n  \n6,a"b",c\n7,"a" ,c\n8,"a" "b",c\n9\n')
+    write(drop / "b.csv", 'First Name,License Number\na,1\n"a""b",2\nc,3,4\n"never,closed\n')
+    write(drop / "c.csv", "First Name,License Number\n")
+    found = rejected_records(spark, str(drop))
+    assert [(r.file, r.fault, r.cells, r.record) for r in found.orderBy("place").collect()] == [
+        ("a.csv", "short", 2, "2,a"),
+        ("a.csv", "long", 4, "3,a,b,c"),
+        ("a.csv", "badly_quoted", 3, '4,"a"b,c'),
+        ("a.csv", "badly_quoted", 3, '8,"a" "b",c'),
+        ("a.csv", "short", 1, "9"),
+        ("b.csv", "long", 3, "c,3,4"),
+        ("b.csv", "badly_quoted", 1, '"never,closed'),
+    ]
+    assert rejected_records(spark, []).collect() == [] and rejected_records(spark, str(drop / "c.csv")).collect() == []
+    places = {r.place for r in found.collect()}
+    assert places < {r.ordinal for r in read_registry(spark, str(drop)).collect()}

@@ -2,6 +2,7 @@
 
 import os
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from roster.operators.outreach import apply_edits
 from roster.plans.load import load, merged, repair, stage
 from roster.session import shared_dir
 from roster.sources import table
-from roster.sources.registry import read_cities
+from roster.sources.registry import read_cities, read_registry, rejected_records
 from roster.sources.table import (
     ConcurrentChange,
     append_batch,
@@ -19,7 +20,9 @@ from roster.sources.table import (
     compact,
     create_table,
     empty_licences,
+    forget_old_rows,
     read_edits,
+    read_rejected,
     read_table,
     record_edits,
     replace_table,
@@ -166,6 +169,77 @@ def test_two_loads_from_one_state(spark, licences, tmp_path):
     assert [(r.id, r.full_name) for r in read_table(spark, root).collect()] == [(1, "A")]
 
 
+@pytest.mark.parametrize("second", ["append", "replace"])
+def test_two_writers_between_check_and_commit(spark, licences, tmp_path, monkeypatch, second):
+    """Both have written their rows and commit at once: one of them is in the table, the other knows that it is not."""
+    root, both, real = str(tmp_path / "t"), threading.Barrier(2), table._publish
+    state = create_table(spark, root)
+    raced = []
+
+    def together(*args):
+        both.wait(60)
+        return real(*args)
+
+    def append(name):
+        try:
+            append_batch(spark, root, state, name, licences((1, name, None)))
+        except ConcurrentChange as error:
+            raced.append((name, str(error)))
+
+    def replace(name):
+        try:
+            replace_table(spark, root, licences((1, name, None)), name, state)
+        except ConcurrentChange as error:
+            raced.append((name, str(error)))
+
+    for attempt in range(3):
+        raced.clear()
+        with monkeypatch.context() as patched:
+            patched.setattr(table, "_publish", together)
+            names = [f"A{attempt}", f"B{attempt}"]
+            threads = [threading.Thread(target=f, args=(n,)) for f, n in zip((append, replace if second == "replace" else append), names)]
+            for thread in threads:
+                thread.start()
+            for thread in threads:
+                thread.join()
+        assert len(raced) == 1 and "nothing of this one is in the table" in raced[0][1]
+        kept = ({*names} - {raced[0][0]}).pop()
+        assert kept in [r.full_name for r in read_table(spark, root).collect()]
+        assert commit_of(spark, root, kept) is not None and commit_of(spark, root, raced[0][0]) is None
+        state = table_state(spark, root)
+        append_batch(spark, root, state, f"again {attempt}", licences((9, "C", None)))
+        state = table_state(spark, root)
+    compact(spark, root)
+    assert not any(name.startswith("part") for name in os.listdir(f"{root}/prepared"))
+
+
+def test_old_rows_are_forgotten(spark, registry, targets, licences, tmp_path):
+    root = str(tmp_path / "t")
+    replace_table(spark, root, licences((1, "A", "a@x"), (2, "A", "a@x")), "fill")
+    load(spark, root, registry(*SECOND), targets, "one")
+    assert repair(spark, root, "repair") == 1
+    want = content(read_table(spark, root))
+    assert forget_old_rows(spark, root) == []
+    assert forget_old_rows(spark, root, versions=2, hours=0) == []
+    assert len(forget_old_rows(spark, root, hours=0)) == 2
+    assert content(read_table(spark, root)) == want and len(os.listdir(f"{root}/rows")) == 1
+    load(spark, root, registry(row(1, "N", "n@x")), targets, "two")
+    assert read_table(spark, root).count() == len(want) + 1
+    assert forget_old_rows(spark, str(tmp_path / "none"), hours=0) == []
+
+
+def test_faulty_records_are_set_aside_and_counted(spark, targets, tmp_path):
+    root, drop = str(tmp_path / "t"), tmp_path / "r.csv"
+    drop.write_text("Last Name,Mailing State,Mailing City,License TYCL Desc\nA,FL,Miami,life\nB,FL,Miami,life,more\nC,FL\n\"D\"E,FL,Miami,life\n")
+    raw, faulty = read_registry(spark, str(drop)), rejected_records(spark, str(drop))
+    report = load(spark, root, raw, targets, "one", rejected=faulty)
+    assert (report["rows_added"], report["rows_short"], report["rows_long"], report["rows_badly_quoted"]) == (3, 1, 1, 1)
+    assert load(spark, root, raw, targets, "one", rejected=faulty) == report
+    assert sorted(r.record for r in read_rejected(spark, root).collect()) == ['"D"E,FL,Miami,life', "B,FL,Miami,life,more", "C,FL"]
+    assert "rows_short" not in load(spark, root, raw, targets, "two")
+    assert read_rejected(spark, str(tmp_path / "none")) is None
+
+
 @pytest.mark.parametrize("other", ["append", "replace"])
 def test_a_change_committed_at_the_same_time_is_noticed(spark, licences, tmp_path, monkeypatch, other):
     """The other change is committed between the check and the commit."""
