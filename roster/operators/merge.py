@@ -2,10 +2,10 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roster.schema import IDENTITY, LICENCE
+from roster.schema import IDENTITY, IDENTITY_HASH, LICENCE
 from roster.session import freeze
 
 # monotonically_increasing_id() holds the partition above this bit and the row below it.
@@ -15,6 +15,33 @@ _ROW_BITS = 33
 FEW_ROWS = 100_000
 
 
+# Up to this many identities are looked up through the Bloom filters of the stored rows.
+PROBED = 10_000
+
+
+def identity_hash() -> Column:
+    """A number that is equal for equal identities, with NULL and '' as one."""
+    return F.xxhash64(*[F.coalesce(key, F.lit("")) for key in IDENTITY])
+
+
+def look_up(stored: DataFrame, wanted: DataFrame, probed: int = PROBED) -> DataFrame:
+    """The stored rows whose identity hash is among the wanted ones.
+
+    A few hashes become a list in the scan's filter: Parquet asks each row group's Bloom filter for them and
+    reads only the groups that may have one. Many are a semi join. ``stored`` has the hash as a column.
+    """
+    hashes = wanted.select(identity_hash().alias(IDENTITY_HASH)).distinct()
+    few = [row[0] for row in hashes.limit(probed + 1).collect()]
+    if len(few) > probed:
+        return stored.join(hashes, IDENTITY_HASH, "left_semi")
+    return stored.where(F.col(IDENTITY_HASH).isin(few)) if few else stored.limit(0)
+
+
+def insert_new_indexed(stored: DataFrame, batch: DataFrame, probed: int = PROBED) -> DataFrame:
+    """``insert_new`` for a batch that is small against the table: only row groups that may hold its people are read."""
+    return insert_new(look_up(stored, batch, probed), batch)
+
+
 def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str] = IDENTITY) -> DataFrame:
     """Batch rows whose identity is not in the target yet; here NULL and '' are the same.
 

@@ -46,17 +46,26 @@ def page_info(
     licences: DataFrame, status: str = "all", page: object = 1, size: int = PAGE_SIZE
 ) -> DataFrame:
     """One row: rows of the status, number of pages (at least 1) and the page within them."""
+    return page_numbers(status_tallies(licences), status, page, size)
+
+
+def page_numbers(tallies: DataFrame, status: str, page: object, size: int) -> DataFrame:
+    """``page_info`` from the row of tallies."""
     pages = F.greatest(F.lit(1), F.expr(f"(total + {size - 1}) div {size}")).cast("long")
     wanted = requested_page(page)
     shown = F.least(F.lit(wanted), "total_pages") if wanted <= _LARGEST_LONG else F.col("total_pages")
     return (
-        status_tallies(licences)
-        .select(_total(status).alias("total"))
+        tallies.select(_total(status).alias("total"))
         .select("total", pages.alias("total_pages"))
         .select("total", "total_pages", shown.cast("long").alias("page"))
     )
 
 
+def shown_columns(rows: DataFrame) -> DataFrame:
+    """What a page shows of its rows, with the phone as a link."""
+    return rows.select(*BATCH_COLUMNS, tel_link(F.col("business_phone")).alias("phone_href"))
+
+
 def status_page(
     licences: DataFrame,
     status: str = "all",
@@ -67,6 +76,4 @@ def status_page(
     """One page in id order, with the phone as a link; a page beyond the last is the last one."""
     shown = page_info(licences, status, page, size).first()["page"]
     rows = slice_by_rank(status_filter(licences, status), (shown - 1) * size, size, shallow)
-    return (
-        rows.select(*BATCH_COLUMNS, tel_link(F.col("business_phone")).alias("phone_href"))
-    )
+    return shown_columns(rows)

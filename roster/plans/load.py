@@ -8,11 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roster.operators.dedupe import duplicate_ids, keep_first
-from roster.operators.merge import FEW_ROWS, append, assign_ids, insert_new
+from roster.operators.merge import FEW_ROWS, append, assign_ids, insert_new, look_up
 from roster.operators.normalise import filter_target, scan_metrics, to_licences
 from roster.schema import IDENTITY, LICENCE, ORDINAL
 from roster.session import freeze, scratch
-from roster.sources.table import append_batch, commit_of, create_table, read_table, replace_table
+from roster.sources.table import (
+    TableState,
+    append_batch,
+    commit_of,
+    create_table,
+    mark_repaired,
+    read_table,
+    repaired_up_to,
+    replace_table,
+)
 
 
 class Targets(NamedTuple):
@@ -111,14 +120,36 @@ def repair(spark: SparkSession, root: str, load_key: str) -> int:
     and keeps its layout by id. Without duplicates nothing is rewritten.
     """
     state = create_table(spark, root)
-    licences = read_table(spark, root, state)
+    return _drop_duplicates(spark, root, state, read_table(spark, root, state), load_key)
+
+
+def repair_incremental(spark: SparkSession, root: str, load_key: str) -> int:
+    """``repair`` that looks only at people who were added since duplicates were last looked for.
+
+    The rows of later commits are the frontier. A duplicate that was not there before has one of their identities, so
+    only stored rows with these are grouped; a small frontier finds them through the Bloom filters. What was
+    written as a new version by something else than a repair is looked at as a whole.
+    """
+    state = create_table(spark, root)
+    known = repaired_up_to(spark, root, state)
+    if known is None:
+        return repair(spark, root, load_key)
+    frontier = read_table(spark, root, state, after=known)
+    return _drop_duplicates(spark, root, state, look_up(read_table(spark, root, state, indexed=True), frontier), load_key)
+
+
+def _drop_duplicates(spark: SparkSession, root: str, state: TableState, suspects: DataFrame, load_key: str) -> int:
+    """Drop the duplicates among the suspects from the table."""
     with scratch(spark, "repair"):
-        surplus = freeze(duplicate_ids(licences), "surplus")
+        surplus = freeze(duplicate_ids(suspects), "surplus")
         dropped = surplus.count()
         if dropped:
-            kept = licences.join(surplus, "id", "left_anti")
+            kept = read_table(spark, root, state).join(surplus, "id", "left_anti")
             if dropped > FEW_ROWS:
                 # So many ids may be joined by a shuffle, which scatters the ids: lay them out again.
                 kept = kept.repartitionByRange("id").sortWithinPartitions("id")
             replace_table(spark, root, kept, load_key, state, expected=state.rows - dropped)
+            mark_repaired(spark, root, state.version + 1, 0)
+        else:
+            mark_repaired(spark, root, *state.head)
     return dropped

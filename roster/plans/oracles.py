@@ -320,3 +320,18 @@ faulty AS (
 SELECT *, count(*) FILTER (WHERE fault = 'short') OVER () AS rows_short, count(*) FILTER (WHERE fault = 'long') OVER () AS rows_long,
   count(*) FILTER (WHERE fault = 'badly_quoted') OVER () AS rows_badly_quoted
 FROM faulty'''
+ORACLES["insert_new_indexed"] = ORACLES["insert_new"]
+ORACLES["repair_incremental"] = ORACLES["repair_duplicates"]
+ORACLES["snapshot_incremental"] = ORACLES["snapshot_roundtrip"]
+ORACLES["mark_checked_stream"] = ORACLES["mark_checked"]
+# Of every person the first row, with the status that edits and the send log leave; sent to were all but every fifth candidate.
+_CHANGED = """
+changed AS (
+  SELECT * REPLACE ((CASE WHEN id % 8 = 0 THEN false WHEN id % 4 = 0 THEN true ELSE checked END)
+    OR id IN (SELECT id FROM open_rows WHERE id % 5 <> 0) AS checked,
+    CASE WHEN id % 8 = 0 AND id % 5 = 0 THEN 'second@example.com' WHEN id % 12 = 0 THEN 'first' || id ELSE personal_email END AS personal_email)
+  FROM licences QUALIFY row_number() OVER (PARTITION BY full_name, business_email ORDER BY id) = 1
+)"""
+ORACLES["tallies_maintained"] = _with(*_TO_OPEN, _CHANGED) + """ SELECT count(*) AS count_all,
+  count(*) FILTER (WHERE checked) AS count_checked, count(*) FILTER (WHERE NOT checked) AS count_unchecked FROM changed"""
+ORACLES["status_page_indexed"] = _with(*_TO_OPEN, _CHANGED, _page("checked", 3).replace("FROM licences", "FROM changed"))

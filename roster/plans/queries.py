@@ -14,7 +14,7 @@ from roster.functions.text import (
 )
 from roster.operators import views
 from roster.operators.dedupe import duplicate_ids, keep_first, repair_duplicates
-from roster.operators.merge import insert_new, number_rows
+from roster.operators.merge import insert_new, insert_new_indexed, number_rows
 from roster.operators.normalise import (
     clean_registry,
     filter_target,
@@ -24,13 +24,17 @@ from roster.operators.normalise import (
 )
 from roster.operators.outreach import apply_edits, mark_checked, outbox, outreach_candidates, outreach_summary
 from roster.plans import driver_tables as tables
-from roster.plans.load import load, load_report, merged, repair, stage
+from roster.plans.load import load, load_report, merged, repair, repair_incremental, stage
+from roster.plans.viewer import stored_page, stored_tallies
 from roster.schema import ORDINAL, REGISTRY_HEADERS
 from roster.session import freeze, scratch_path
+from roster.sources.changes import read_licences, record_changes
 from roster.sources.outcomes import read_outcomes, record_outcomes
 from roster.sources.registry import read_registry, rejected_records, write_registry
+from roster.sources.snapshots import restore_table, save_table
 from roster.sources.staging import export_csv, read_export, read_staging, write_staging
 from roster.sources.table import (
+    append_batch,
     create_table,
     read_edits,
     read_rejected,
@@ -41,6 +45,7 @@ from roster.sources.table import (
     snapshot,
 )
 from roster.streaming.landing import load_stream
+from roster.streaming.outcomes import mark_stream
 
 # Wording of the rendered messages in the outbox queries.
 MESSAGE = {
@@ -160,6 +165,16 @@ def insert_new_rows(spark: SparkSession, sf: str) -> DataFrame:
     return insert_new(freeze(tables.old_table(spark, sf), "old"), freeze(batch, "staged"))
 
 
+def insert_new_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on a stored table of several folders, through the Bloom filters of its row groups."""
+    root = scratch_path(spark, "table")
+    batch = stage(tables.new_rows(tables.raw_registry(spark, sf)), tables.targets(spark, sf))
+    old = freeze(tables.old_table(spark, sf), "old")
+    for part in range(3):
+        append_batch(spark, root, create_table(spark, root), f"part {part}", old.where(F.col("id") % 3 == part))
+    return insert_new_indexed(read_table(spark, root, indexed=True), freeze(batch, "staged"))
+
+
 def load_result(spark: SparkSession, sf: str) -> DataFrame:
     raw = tables.new_rows(tables.raw_registry(spark, sf))
     old = freeze(tables.old_table(spark, sf), "old")
@@ -218,6 +233,53 @@ def stored_repair(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, root)
 
 
+def repaired_in_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Duplicates come in two portions; the second repair looks only at the people of the second one."""
+    root = scratch_path(spark, "table")
+    rows = freeze(tables.with_edits(tables.licences(spark, sf)), "licences")
+    older = F.col("id") % 4 != 0
+    replace_table(spark, root, rows.where(older), "fill")
+    repair(spark, root, "first")
+    append_batch(spark, root, create_table(spark, root), "more", rows.where(~older))
+    repair_incremental(spark, root, "second")
+    return read_table(spark, root)
+
+
+def _changed_table(spark: SparkSession, sf: str) -> str:
+    """A table of two folders with edits before and after a repair, and outcomes; returns where it is."""
+    root = scratch_path(spark, "table")
+    rows = tables.stored_licences(spark, sf)
+    early, late = tables.staff_edits(rows)[::-1]
+    replace_table(spark, root, rows.where(F.col("id") % 2 == 0), "fill")
+    append_batch(spark, root, create_table(spark, root), "more", rows.where(F.col("id") % 2 != 0))
+    record_changes(spark, root, "early", edits=early)
+    record_changes(spark, root, "sent", outcomes=tables.send_log(outreach_candidates(rows, None)))
+    record_changes(spark, root, "sent", outcomes=tables.send_log(rows))
+    repair(spark, root, "repair")
+    record_changes(spark, root, "late", edits=late)
+    return root
+
+
+def maintained_tallies(spark: SparkSession, sf: str) -> DataFrame:
+    return stored_tallies(spark, _changed_table(spark, sf))
+
+
+def indexed_page(spark: SparkSession, sf: str) -> DataFrame:
+    return stored_page(spark, _changed_table(spark, sf), "checked", 3)
+
+
+def marked_by_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Outcome files that arrive in two runs of a stream, the second one with all of the first one's again."""
+    work = scratch_path(spark, "outcomes")
+    rows = tables.stored_licences(spark, sf)
+    replace_table(spark, f"{work}/table", rows, "fill")
+    log = freeze(tables.send_log(outreach_candidates(rows, None)), "log")
+    for part in (log.where(F.col("id") % 3 == 0), log):
+        record_outcomes(part, f"{work}/log")
+        mark_stream(spark, f"{work}/log", f"{work}/table", f"{work}/checkpoint").awaitTermination()
+    return read_licences(spark, f"{work}/table")
+
+
 def status_tallies(spark: SparkSession, sf: str) -> DataFrame:
     return views.status_tallies(tables.licences(spark, sf))
 
@@ -337,6 +399,19 @@ def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, f"{work}/table")
 
 
+def snapshot_in_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Two snapshots, the second one of what came since; the table is then emptied and the second one restored."""
+    work = scratch_path(spark, "snapshot")
+    rows = tables.stored_licences(spark, sf)
+    replace_table(spark, f"{work}/table", rows.where(F.col("id") % 3 != 0), "fill")
+    save_table(spark, f"{work}/table", f"{work}/saved", "20260101T090000")
+    append_batch(spark, f"{work}/table", create_table(spark, f"{work}/table"), "more", rows.where(F.col("id") % 3 == 0))
+    save_table(spark, f"{work}/table", f"{work}/saved", "20260102T090000")
+    replace_table(spark, f"{work}/table", rows.limit(0), "empty")
+    restore_table(spark, f"{work}/saved", "20260102T090000", f"{work}/table")
+    return read_table(spark, f"{work}/table")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_registry": raw_registry,
     "registry_roundtrip": registry_roundtrip,
@@ -354,6 +429,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_batch": dedupe_batch,
     "first_events": first_events,
     "insert_new": insert_new_rows,
+    "insert_new_indexed": insert_new_stored,
     "load_result": load_result,
     "load_report": load_report_row,
     "stored_load": stored_load,
@@ -362,11 +438,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repair_duplicates": repaired,
     "duplicate_ids": surplus_ids,
     "stored_repair": stored_repair,
+    "repair_incremental": repaired_in_steps,
     "status_tallies": status_tallies,
+    "tallies_maintained": maintained_tallies,
     "status_filter": status_filter,
     "status_page": status_page,
     "status_page_last": status_page_last,
     "status_page_marked": status_page_marked,
+    "status_page_indexed": indexed_page,
     "page_info": page_info,
     "tel_link": tel_links,
     "outreach_candidates": candidates,
@@ -375,10 +454,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "outbox": outbox_messages,
     "outbox_wide": outbox_wide,
     "mark_checked": marked,
+    "mark_checked_stream": marked_by_stream,
     "outreach_summary": summary,
     "csv_roundtrip": csv_roundtrip,
     "staged_count": staged_count,
     "export_candidates": export_candidates,
     "stream_load": stream_load,
     "snapshot_roundtrip": snapshot_roundtrip,
+    "snapshot_incremental": snapshot_in_steps,
 }

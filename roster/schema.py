@@ -38,6 +38,9 @@ TEXT_COLUMNS = [c for c in BATCH_COLUMNS if c != "checked"]
 # Two rows describe the same person when these two columns agree.
 IDENTITY = ["full_name", "business_email"]
 
+# Hash of the identity, with NULL as ''; stored beside the licence's columns, with a Bloom filter for each row group.
+IDENTITY_HASH = "identity_hash"
+
 # Position of a row in its source; present on every raw and normalised frame.
 ORDINAL = "ordinal"
 

@@ -19,9 +19,11 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from roster.schema import EDITS, LICENCE
+from roster.operators.merge import identity_hash
+from roster.schema import EDITS, IDENTITY_HASH, LICENCE
+from roster.sources.counts import counts_of, read_counts, write_counts
 
 # A commit is made on the one before it, (base_version, base_seq); ``restored`` marks a restore.
 _COMMIT = """version int, seq int, base_version int, base_seq int, restored boolean, load_key string, folder string,
@@ -50,7 +52,7 @@ def empty_licences(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LICENCE)
 
 
-def _read(spark: SparkSession, schema, path: str) -> DataFrame | None:
+def read_folders(spark: SparkSession, schema, path: str) -> DataFrame | None:
     """A folder of Parquet folders, or None where there is none."""
     try:
         return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
@@ -62,7 +64,7 @@ def _read(spark: SparkSession, schema, path: str) -> DataFrame | None:
 
 def commit_log(spark: SparkSession, root: str) -> DataFrame:
     """All commits; one row per load, repair or restore."""
-    log = _read(spark, _COMMIT, f"{root}/commits")
+    log = read_folders(spark, _COMMIT, f"{root}/commits")
     return log if log is not None else spark.createDataFrame([], _COMMIT)
 
 
@@ -95,7 +97,7 @@ def commit_of(spark: SparkSession, root: str, load_key: str):
     return valid.orderBy("version", "seq").first()
 
 
-def _publish(spark: SparkSession, folder: str, target: str) -> bool:
+def publish(spark: SparkSession, folder: str, target: str) -> bool:
     """Put the one part file of ``folder`` in place as ``target``, in one step; False if there is such a file already."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.hadoopConfiguration()
@@ -136,7 +138,7 @@ def _commit(spark: SparkSession, root: str, **values) -> None:
     else:
         aside = f"{root}/prepared/{uuid.uuid4().hex}"
         row.write.parquet(aside)
-        if _publish(spark, aside, f"{root}/commits/{name}.parquet"):
+        if publish(spark, aside, f"{root}/commits/{name}.parquet"):
             return
     raise ConcurrentChange(f"another change was built on {base} of {root} and committed first; nothing of this one is in the table, run it again")
 
@@ -157,21 +159,38 @@ def create_table(spark: SparkSession, root: str) -> TableState:
     return state or table_state(spark, root)
 
 
-def read_table(spark: SparkSession, root: str, state: TableState | None = None) -> DataFrame:
-    """The current version, or the given state. The frame keeps showing it when loads come in."""
+_INDEXED = StructType([*LICENCE.fields, StructField(IDENTITY_HASH, LongType())])
+
+# Each row group gets a Bloom filter over the identities' hashes, of a size that suits their number.
+_BLOOM = {
+    f"parquet.bloom.filter.enabled#{IDENTITY_HASH}": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
+
+def read_table(
+    spark: SparkSession, root: str, state: TableState | None = None, indexed: bool = False, after: int = -1
+) -> DataFrame:
+    """The current version, or the given state. The frame keeps showing it when loads come in.
+
+    ``indexed`` adds the hash of the identity. With ``after`` only rows of later commits of the version are read.
+    """
     state = state or table_state(spark, root)
-    folders = [f"{root}/{c.folder}" for c in state.commits if c.rows] if state else []
-    return spark.read.schema(LICENCE).parquet(*folders) if folders else empty_licences(spark)
+    folders = [f"{root}/{c.folder}" for c in state.commits if c.rows and c.seq > after] if state else []
+    schema = _INDEXED if indexed else LICENCE
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def _write_folder(licences: DataFrame, root: str, label: str) -> tuple[str, int, int]:
-    """Write rows to a new folder; returns its name, its number of rows and its highest id."""
+    """Write rows to a new folder, and their counts beside it; returns its name, its number of rows and its highest id."""
     spark = licences.sparkSession
     folder = f"rows/{label}-{uuid.uuid4().hex}"
-    licences.write.parquet(f"{root}/{folder}")
+    rows = licences.select(*LICENCE.fieldNames(), identity_hash().alias(IDENTITY_HASH))
+    rows.write.options(**_BLOOM).parquet(f"{root}/{folder}")
     written = spark.read.schema(LICENCE).parquet(f"{root}/{folder}")
-    rows, last_id = written.agg(F.count("*"), F.max("id")).first()
-    return folder, rows, last_id or 0
+    write_counts(written, f"{root}/{counts_of(folder)}")
+    rows, last_id = read_counts(spark, f"{root}/{counts_of(folder)}").agg(F.sum("rows"), F.max("last_id")).first()
+    return folder, rows or 0, last_id or 0
 
 
 def append_batch(
@@ -274,10 +293,21 @@ def record_edits(edits: DataFrame, root: str) -> None:
 
 
 def read_edits(spark: SparkSession, root: str) -> DataFrame:
-    edits = _read(spark, EDITS, f"{root}/edits")
+    edits = read_folders(spark, EDITS, f"{root}/edits")
     return edits if edits is not None else spark.createDataFrame([], EDITS)
 
 
+def mark_repaired(spark: SparkSession, root: str, version: int, seq: int) -> None:
+    """Note that the table has no duplicates up to this commit."""
+    spark.range(1, numPartitions=1).select(F.lit(version).alias("version"), F.lit(seq).alias("seq")).write.mode("append").parquet(f"{root}/repaired")
+
+
+def repaired_up_to(spark: SparkSession, root: str, state: TableState) -> int | None:
+    """The latest commit of the current version up to which duplicates were looked for; None if there is none."""
+    marks = read_folders(spark, "version int, seq int", f"{root}/repaired")
+    return None if marks is None else marks.where(F.col("version") == state.version).agg(F.max("seq")).first()[0]
+
+
 def snapshot(licences: DataFrame, root: str, ts: str) -> str:
     """Write the whole table under a time stamp; refuses to overwrite an older snapshot.
 
@@ -295,7 +325,7 @@ def read_snapshot(spark: SparkSession, root: str, ts: str) -> DataFrame:
 
 def restore(spark: SparkSession, snapshots: str, ts: str, root: str) -> int:
     """Replace the table by a complete snapshot and return the number of rows now in it."""
-    complete = _read(spark, "rows long", f"{snapshots}/complete_ts={ts}")
+    complete = read_folders(spark, "rows long", f"{snapshots}/complete_ts={ts}")
     if complete is None:
         raise ValueError(f"the snapshot {ts} in {snapshots} is not complete")
     rows = complete.first().rows

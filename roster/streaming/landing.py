@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from roster.plans.load import Targets, load
-from roster.sources.registry import literal_path, read_registry
+from roster.sources.registry import literal_path, read_registry, rejected_records
 from roster.sources.table import commit_log, create_table
 
 # Fixed value: the schema of Spark's binaryFile source, which a file stream must be given.
@@ -42,32 +42,43 @@ def entry_of(path: Column, landing: str) -> Column:
     return F.substring_index(F.regexp_replace(path, below, ""), "/", 1)
 
 
-def list_drops(spark: SparkSession, landing: str) -> list[Drop]:
-    """What lies in the landing folder, in order of arrival.
-
-    A load key is the entry's name and a sum over path, time and length of its files, so it is the same
-    in every attempt and another one when a file has changed. One row per entry is gathered, not the files.
-    """
+def _drops(spark: SparkSession, landing: str) -> DataFrame | None:
+    """(entry, arrived, load_key) of what lies in the landing folder, or None where there is no folder."""
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(literal_path(landing))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return []
+        return None
     arrived = F.unix_micros("modificationTime")
     content = F.sum(F.xxhash64("path", arrived, "length").cast("decimal(38,0)"))
-    rows = (
-        files.groupBy(entry_of(F.col("path"), landing).alias("entry"))
-        .agg(F.min(arrived).alias("arrived"), F.count("*").alias("files"), content.alias("content"))
-        .orderBy("arrived", "entry")
-        .collect()
+    entries = files.groupBy(entry_of(F.col("path"), landing).alias("entry")).agg(
+        F.min(arrived).alias("arrived"), F.count("*").alias("files"), content.alias("content")
     )
-    return [Drop(row.entry, f"{row.entry}:{row['files']}:{row.content}") for row in rows]
+    key = F.concat_ws(":", "entry", F.col("files").cast("string"), F.col("content").cast("string"))
+    return entries.select("entry", "arrived", key.alias("load_key"))
 
 
-def _load_drop(spark: SparkSession, landing: str, table: str, targets: Targets, drop: Drop, **how: bool) -> None:
-    raw = read_registry(spark, f"{landing.rstrip('/')}/{drop.entry}", **how)
-    load(spark, table, raw, targets, drop.load_key)
+def _in_order(drops: DataFrame) -> list[Drop]:
+    return [Drop(row.entry, row.load_key) for row in drops.orderBy("arrived", "entry").collect()]
+
+
+def list_drops(spark: SparkSession, landing: str) -> list[Drop]:
+    """What lies in the landing folder, in order of arrival.
+
+    A load key is the entry's name and a sum over path, time and length of its files, so it is the same
+    in every attempt and another one when a file has changed. One row per entry is gathered, not the files.
+    """
+    drops = _drops(spark, landing)
+    return [] if drops is None else _in_order(drops)
+
+
+def _load_drop(
+    spark: SparkSession, landing: str, table: str, targets: Targets, drop: Drop, quarantine: bool = False, **how: bool
+) -> None:
+    path = f"{landing.rstrip('/')}/{drop.entry}"
+    aside = {"rejected": rejected_records(spark, path)} if quarantine else {}
+    load(spark, table, read_registry(spark, path, **how), targets, drop.load_key, **aside)
 
 
 def loader(landing: str, table: str, targets: Targets, **how: bool) -> Callable[[DataFrame, int], None]:
@@ -75,22 +86,29 @@ def loader(landing: str, table: str, targets: Targets, **how: bool) -> Callable[
 
     def load_batch(files: DataFrame, batch_id: int) -> None:
         spark = files.sparkSession
-        arrived = {row.entry for row in files.select(entry_of(F.col("path"), landing).alias("entry")).distinct().collect()}
-        for drop in list_drops(spark, landing):
-            if drop.entry in arrived:
-                _load_drop(spark, landing, table, targets, drop, **how)
+        drops = _drops(spark, landing)
+        if drops is None:
+            return
+        arrived = files.select(entry_of(F.col("path"), landing).alias("entry")).distinct()
+        for drop in _in_order(drops.join(arrived, "entry", "left_semi")):
+            _load_drop(spark, landing, table, targets, drop, **how)
 
     return load_batch
 
 
 def load_changed(spark: SparkSession, landing: str, table: str, targets: Targets, **how: bool) -> None:
-    """Load drops whose files changed under a name that was loaded before; a file stream only sees new names."""
+    """Load drops whose files changed under a name that was loaded before; a file stream only sees new names.
+
+    The folder is compared with the commit log by joins; only changed drops are gathered.
+    """
     create_table(spark, table)
-    keys = {row.load_key for row in commit_log(spark, table).select("load_key").distinct().collect()}
-    entries = {key.rsplit(":", 2)[0] for key in keys}
-    for drop in list_drops(spark, landing):
-        if drop.entry in entries and drop.load_key not in keys:
-            _load_drop(spark, landing, table, targets, drop, **how)
+    drops = _drops(spark, landing)
+    if drops is None:
+        return
+    keys = commit_log(spark, table).select("load_key").distinct()
+    entries = keys.select(F.regexp_replace("load_key", ":[^:]*:[^:]*\\z", "").alias("entry")).distinct()
+    for drop in _in_order(drops.join(entries, "entry", "left_semi").join(keys, "load_key", "left_anti")):
+        _load_drop(spark, landing, table, targets, drop, **how)
 
 
 def hidden_entries(spark: SparkSession, landing: str) -> list[str]:
@@ -123,8 +141,8 @@ def load_stream(
     warning names them.
 
     The stream carries names and times only. Content is read by the load of each drop, so a later
-    drop meets the earlier ones in the table, exactly as in separate runs. ``how`` is passed on to
-    ``read_registry``.
+    drop meets the earlier ones in the table, exactly as in separate runs. With ``quarantine`` each drop's
+    faulty records are set aside and counted, see ``load``; the rest of ``how`` is passed on to ``read_registry``.
     """
     if passed_over := hidden_entries(spark, landing):
         warnings.warn(f"not loaded, as their names begin with _ or a dot: {', '.join(passed_over)}", stacklevel=2)

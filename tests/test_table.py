@@ -172,7 +172,7 @@ def test_two_loads_from_one_state(spark, licences, tmp_path):
 @pytest.mark.parametrize("second", ["append", "replace"])
 def test_two_writers_between_check_and_commit(spark, licences, tmp_path, monkeypatch, second):
     """Both have written their rows and commit at once: one of them is in the table, the other knows that it is not."""
-    root, both, real = str(tmp_path / "t"), threading.Barrier(2), table._publish
+    root, both, real = str(tmp_path / "t"), threading.Barrier(2), table.publish
     state = create_table(spark, root)
     raced = []
 
@@ -195,7 +195,7 @@ def test_two_writers_between_check_and_commit(spark, licences, tmp_path, monkeyp
     for attempt in range(3):
         raced.clear()
         with monkeypatch.context() as patched:
-            patched.setattr(table, "_publish", together)
+            patched.setattr(table, "publish", together)
             names = [f"A{attempt}", f"B{attempt}"]
             threads = [threading.Thread(target=f, args=(n,)) for f, n in zip((append, replace if second == "replace" else append), names)]
             for thread in threads:
