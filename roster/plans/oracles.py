@@ -321,7 +321,9 @@ SELECT *, count(*) FILTER (WHERE fault = 'short') OVER () AS rows_short, count(*
   count(*) FILTER (WHERE fault = 'badly_quoted') OVER () AS rows_badly_quoted
 FROM faulty'''
 ORACLES["insert_new_indexed"] = ORACLES["insert_new"]
+ORACLES["insert_new_bucketed"] = ORACLES["insert_new"]
 ORACLES["repair_incremental"] = ORACLES["repair_duplicates"]
+ORACLES["stored_repair_bucketed"] = ORACLES["repair_duplicates"]
 ORACLES["snapshot_incremental"] = ORACLES["snapshot_roundtrip"]
 ORACLES["mark_checked_stream"] = ORACLES["mark_checked"]
 # Of every person the first row, with the status that edits and the send log leave; sent to were all but every fifth candidate.
@@ -335,3 +337,12 @@ changed AS (
 ORACLES["tallies_maintained"] = _with(*_TO_OPEN, _CHANGED) + """ SELECT count(*) AS count_all,
   count(*) FILTER (WHERE checked) AS count_checked, count(*) FILTER (WHERE NOT checked) AS count_unchecked FROM changed"""
 ORACLES["status_page_indexed"] = _with(*_TO_OPEN, _CHANGED, _page("checked", 3).replace("FROM licences", "FROM changed"))
+ORACLES["stream_progress"] = _with(*_TO_NORMALISED) + """,
+numbered AS (SELECT (odate < DATE '1993-01-01')::BIGINT AS batch_id, * FROM raw),
+matched AS (SELECT (odate < DATE '1993-01-01')::BIGINT AS batch_id, * FROM normalised),
+added AS (SELECT min(batch_id) AS batch_id FROM matched GROUP BY full_name, business_email)
+SELECT b.batch_id, 2 - b.batch_id AS drops, true AS has_files,
+  (SELECT count(*) FROM numbered n WHERE n.batch_id = b.batch_id) AS rows_read,
+  (SELECT count(*) FROM matched m WHERE m.batch_id = b.batch_id) AS rows_matched,
+  (SELECT count(*) FROM added a WHERE a.batch_id = b.batch_id) AS rows_added
+FROM (SELECT unnest([0::BIGINT, 1::BIGINT]) AS batch_id) b"""

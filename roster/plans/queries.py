@@ -1,5 +1,6 @@
 """One query per operator, over the benchmark tables. Each takes (spark, sf_dir)."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +27,9 @@ from roster.operators.outreach import apply_edits, mark_checked, outbox, outreac
 from roster.plans import driver_tables as tables
 from roster.plans.load import load, load_report, merged, repair, repair_incremental, stage
 from roster.plans.viewer import stored_page, stored_tallies
-from roster.schema import ORDINAL, REGISTRY_HEADERS
+from roster.schema import LICENCE, ORDINAL, REGISTRY_HEADERS
 from roster.session import freeze, scratch_path
+from roster.sources.buckets import append_buckets, create_buckets, duplicate_ids_in_buckets, insert_new_in_buckets
 from roster.sources.changes import read_licences, record_changes
 from roster.sources.outcomes import read_outcomes, record_outcomes
 from roster.sources.registry import read_registry, rejected_records, write_registry
@@ -46,6 +48,7 @@ from roster.sources.table import (
 )
 from roster.streaming.landing import load_stream
 from roster.streaming.outcomes import mark_stream
+from roster.streaming.progress import load_recorded, read_progress
 
 # Wording of the rendered messages in the outbox queries.
 MESSAGE = {
@@ -245,6 +248,26 @@ def repaired_in_steps(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, root)
 
 
+def repaired_in_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The repair of a table in buckets of the identity hash, written in two portions."""
+    name = f"licences_{uuid.uuid4().hex}"
+    create_buckets(spark, name, scratch_path(spark, "buckets"), buckets=8)
+    rows = freeze(tables.with_edits(tables.licences(spark, sf)), "licences")
+    for part in (0, 1):
+        append_buckets(rows.where(F.col("id") % 2 == part), name)
+    surplus = freeze(duplicate_ids_in_buckets(spark.table(name)), "surplus")
+    return spark.table(name).join(surplus, "id", "left_anti").select(*LICENCE.fieldNames())
+
+
+def inserted_in_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The new rows of a batch against a table in buckets of the identity hash."""
+    name = f"licences_{uuid.uuid4().hex}"
+    create_buckets(spark, name, scratch_path(spark, "buckets"), buckets=8)
+    append_buckets(tables.old_table(spark, sf), name)
+    batch = stage(tables.new_rows(tables.raw_registry(spark, sf)), tables.targets(spark, sf))
+    return insert_new_in_buckets(spark.table(name), freeze(batch, "staged"))
+
+
 def _changed_table(spark: SparkSession, sf: str) -> str:
     """A table of two folders with edits before and after a repair, and outcomes; returns where it is."""
     root = scratch_path(spark, "table")
@@ -370,22 +393,37 @@ def export_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return read_export(spark, path, "id long, full_name string, business_email string")
 
 
-def stream_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Drops picked up from a landing folder by a file stream: two in one run, then one that is dated weeks before."""
+def _stream_drops(spark: SparkSession, sf: str, run) -> str:
+    """Two drops for one run, then one that is dated weeks before for another; returns the work folder that ``run`` is given."""
     work = scratch_path(spark, "stream")
     raw, targets = freeze(tables.raw_registry(spark, sf), "raw"), tables.targets(spark, sf)
     late = F.col("odate") < F.lit(tables.EARLY).cast("timestamp_ntz")
-
-    def run():
-        load_stream(spark, f"{work}/landing", f"{work}/table", f"{work}/checkpoint", targets).awaitTermination()
-
     write_registry(tables.old_rows(raw).where(~late), f"{work}/landing/drop-1")
     write_registry(tables.new_rows(raw), f"{work}/landing/drop-2")
-    run()
+    run(work, targets)
     write_registry(raw.where(late), f"{work}/late")
     tables.move_with_date(spark, f"{work}/late", f"{work}/landing/drop-0", days_ago=30)
-    run()
-    return read_table(spark, f"{work}/table")
+    run(work, targets)
+    return work
+
+
+def stream_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Drops picked up from a landing folder by a file stream."""
+
+    def run(work, targets):
+        load_stream(spark, f"{work}/landing", f"{work}/table", f"{work}/checkpoint", targets).awaitTermination()
+
+    return read_table(spark, f"{_stream_drops(spark, sf, run)}/table")
+
+
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """What a listener recorded of the micro-batches of the same drops."""
+
+    def run(work, targets):
+        load_recorded(spark, f"{work}/landing", f"{work}/table", f"{work}/checkpoint", targets, f"{work}/progress")
+
+    rows = read_progress(spark, f"{_stream_drops(spark, sf, run)}/progress")
+    return rows.select("batch_id", "drops", (F.col("files") >= F.col("drops")).alias("has_files"), "rows_read", "rows_matched", "rows_added")
 
 
 def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -430,6 +468,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_events": first_events,
     "insert_new": insert_new_rows,
     "insert_new_indexed": insert_new_stored,
+    "insert_new_bucketed": inserted_in_buckets,
     "load_result": load_result,
     "load_report": load_report_row,
     "stored_load": stored_load,
@@ -439,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_ids": surplus_ids,
     "stored_repair": stored_repair,
     "repair_incremental": repaired_in_steps,
+    "stored_repair_bucketed": repaired_in_buckets,
     "status_tallies": status_tallies,
     "tallies_maintained": maintained_tallies,
     "status_filter": status_filter,
@@ -460,6 +500,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_count": staged_count,
     "export_candidates": export_candidates,
     "stream_load": stream_load,
+    "stream_progress": stream_progress,
     "snapshot_roundtrip": snapshot_roundtrip,
     "snapshot_incremental": snapshot_in_steps,
 }

@@ -75,14 +75,16 @@ def list_drops(spark: SparkSession, landing: str) -> list[Drop]:
 
 def _load_drop(
     spark: SparkSession, landing: str, table: str, targets: Targets, drop: Drop, quarantine: bool = False, **how: bool
-) -> None:
+) -> dict:
     path = f"{landing.rstrip('/')}/{drop.entry}"
     aside = {"rejected": rejected_records(spark, path)} if quarantine else {}
-    load(spark, table, read_registry(spark, path, **how), targets, drop.load_key, **aside)
+    return load(spark, table, read_registry(spark, path, **how), targets, drop.load_key, **aside)
 
 
-def loader(landing: str, table: str, targets: Targets, **how: bool) -> Callable[[DataFrame, int], None]:
-    """The function that loads the drops of one micro-batch of file names into the table."""
+def loader(
+    landing: str, table: str, targets: Targets, loaded: Callable[[int, Drop, dict], None] | None = None, **how: bool
+) -> Callable[[DataFrame, int], None]:
+    """The function that loads the drops of one micro-batch of file names into the table, and tells ``loaded`` of each."""
 
     def load_batch(files: DataFrame, batch_id: int) -> None:
         spark = files.sparkSession
@@ -91,7 +93,9 @@ def loader(landing: str, table: str, targets: Targets, **how: bool) -> Callable[
             return
         arrived = files.select(entry_of(F.col("path"), landing).alias("entry")).distinct()
         for drop in _in_order(drops.join(arrived, "entry", "left_semi")):
-            _load_drop(spark, landing, table, targets, drop, **how)
+            report = _load_drop(spark, landing, table, targets, drop, **how)
+            if loaded is not None:
+                loaded(batch_id, drop, report)
 
     return load_batch
 
@@ -131,6 +135,8 @@ def load_stream(
     table: str,
     checkpoint: str,
     targets: Targets,
+    name: str | None = None,
+    loaded: Callable[[int, Drop, dict], None] | None = None,
     **how: bool,
 ) -> StreamingQuery:
     """Load every drop not seen before, then stop; missed runs are caught up by the next one.
@@ -142,7 +148,8 @@ def load_stream(
 
     The stream carries names and times only. Content is read by the load of each drop, so a later
     drop meets the earlier ones in the table, exactly as in separate runs. With ``quarantine`` each drop's
-    faulty records are set aside and counted, see ``load``; the rest of ``how`` is passed on to ``read_registry``.
+    faulty records are set aside and counted, see ``load``. ``loaded`` is told the number of the micro-batch, the
+    drop and its load report; ``progress.load_recorded`` writes them down. The rest of ``how`` is passed on to ``read_registry``.
     """
     if passed_over := hidden_entries(spark, landing):
         warnings.warn(f"not loaded, as their names begin with _ or a dot: {', '.join(passed_over)}", stacklevel=2)
@@ -155,9 +162,6 @@ def load_stream(
         .load(literal_path(landing))
         .select("path", "modificationTime")
     )
-    return (
-        names.writeStream.foreachBatch(loader(landing, table, targets, **how))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = names.writeStream.foreachBatch(loader(landing, table, targets, loaded, **how)).option("checkpointLocation", checkpoint)
+    writer = writer if name is None else writer.queryName(name)
+    return writer.trigger(availableNow=True).start()

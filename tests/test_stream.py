@@ -6,8 +6,9 @@ import pytest
 
 from roster.plans.load import load
 from roster.sources.registry import read_registry
-from roster.sources.table import commit_log, read_table
+from roster.sources.table import commit_log, read_rejected, read_table
 from roster.streaming.landing import loader, load_stream
+from roster.streaming.progress import load_recorded, read_progress
 
 HEADER = "Last Name,Email Address,Mailing State,Mailing City,License TYCL Desc,License Number\n"
 
@@ -126,3 +127,33 @@ def test_names_with_pattern_characters_and_hidden_names(spark, targets, tmp_path
     drop(landing / "_r.csv", 3_000_000, ("C", "", 3))
     with pytest.warns(UserWarning, match="_r.csv"):
         assert run(spark, tmp_path, targets) == [(1, "1", "A"), (2, "2", "B")]
+
+
+def test_what_each_micro_batch_did_is_recorded(spark, targets, tmp_path):
+    landing = tmp_path / "landing"
+    paths = [str(tmp_path / name) for name in ("landing", "table", "ckpt")]
+
+    def recorded():
+        load_recorded(spark, *paths, targets, str(tmp_path / "progress"))
+        rows = read_progress(spark, str(tmp_path / "progress")).orderBy("batch_id").collect()
+        assert all(r.seconds > 0 and r.started is not None for r in rows) and len({r["query"] for r in rows}) == 1
+        return [(r.batch_id, r.files, r.drops, r.rows_read, r.rows_added) for r in rows]
+
+    drop(landing / "a.csv", 1_000_000, ("A", "", 1), ("B", "", 2))
+    drop(landing / "day" / "part-0.csv", 2_000_000, ("A", "", 3))
+    drop(landing / "day" / "part-1.csv", 2_000_000, ("C", "", 4))
+    want = [(0, 3, 2, 4, 3)]
+    assert recorded() == want
+    drop(landing / "b.csv", 3_000_000, ("D", "", 5))
+    assert recorded() == [*want, (1, 1, 1, 1, 1)]
+    assert recorded() == [*want, (1, 1, 1, 1, 1)]
+
+
+def test_faulty_records_of_drops_are_set_aside(spark, targets, tmp_path):
+    landing = tmp_path / "landing"
+    drop(landing / "a.csv", 1_000_000, ("A", "", 1))
+    with open(landing / "a.csv", "a") as file:
+        file.write("short\n")
+    load_stream(spark, str(landing), str(tmp_path / "t"), str(tmp_path / "ckpt"), targets, quarantine=True).awaitTermination()
+    assert [(r.fault, r.record) for r in read_rejected(spark, str(tmp_path / "t")).collect()] == [("short", "short")]
+    assert commit_log(spark, str(tmp_path / "t")).agg({"rows_short": "sum"}).first()[0] == 1
