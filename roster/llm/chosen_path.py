@@ -3,14 +3,16 @@
 Two texts are linked when their sets of word shingles have at least ``percent`` per cent in common.
 
 1. Equal sets are one class. A class has ``COORDINATES`` minwise tokens, each the least of its tokens under a hash
-   of its own, and a sketch of two bits of each.
+   of its own, kept by 16 bits, and a sketch of four bits of each.
 2. A tree begins with all classes in one node. A node has two branches, each with a coordinate; there a class
    goes to the child of its minwise token. Classes of similarity s meet in a child with chance s, so
    a pair at the threshold lives on in 2 s > 1 children and is found at any depth with a chance above
    ``1 - (1 - s) ** 2 / s ** 2``; at 80 per cent a tree misses 1 of 16, and ``TREES`` independent ones 6 in 10**8.
 3. A node of up to ``SMALL`` classes is compared exhaustively, by sketches. Pairs that may be similar form a
-   forest, whose edges are confirmed on the full sets. Where one fails, all pairs of the node that
-   are not connected yet are confirmed as well. So what is connected by links is never compared twice.
+   forest, whose edges are confirmed on the full sets. Where one fails, the sets of the node that may have a link
+   beyond their component are brought together, and all such pairs are confirmed until they are connected.
+   Only links leave a node, so rows do not grow with the square of a group; and a pair that meets in several
+   nodes is confirmed in the first of them alone, as every class knows all its nodes.
 4. A large node is branched while that makes it smaller: as long as a child has at most half of its parent.
    A node that stays large holds near copies. All its classes are compared with one of them, on full sets;
    by the triangle inequality of the Jaccard distance a class linked to that one cannot link to others than its
@@ -39,7 +41,8 @@ TREES, COORDINATES, DEEPEST = 6, 128, 6
 SMALL = 512
 _ROOT = 0  # places in a tree are numbered as in a heap: 2 p + 1 and 2 p + 2 are below p
 _LAST = (1 << 63) - 1  # stands for a NULL id
-_SIGMAS = 6
+_SIGMAS = 5.5
+_NIBBLES = np.uint64(0x1111111111111111)
 
 
 def _multipliers() -> np.ndarray:
@@ -47,23 +50,32 @@ def _multipliers() -> np.ndarray:
 
 
 def minwise(tokens: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
-    """The least token under each hash, as 32 bits."""
+    """The least token under each hash, by its last 16 bits."""
     least = np.full(len(multipliers), np.uint32(0xFFFFFFFF))
     halves = (tokens >> np.uint64(32)).astype(np.uint32)
     for start in range(0, len(halves), 512):
         np.minimum(least, (halves[start : start + 512, None] * multipliers).min(axis=0), out=least)
-    return least
+    return least.astype(np.uint16)
 
 
 def sketch(minima: np.ndarray) -> bytes:
-    """The two last bits of each minwise token."""
-    return np.packbits(((minima[:, None] >> np.arange(2, dtype=np.uint32)) & 1).astype(bool)).tobytes()
+    """The four last bits of each minwise token."""
+    four = (minima & 15).astype(np.uint8)
+    return (four[0::2] | four[1::2] << 4).tobytes()
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many coordinates sketches differ; each is a row of 64-bit words."""
+    x = a ^ b
+    x |= x >> np.uint64(1)
+    x |= x >> np.uint64(2)
+    return np.bitwise_count(x & _NIBBLES).sum(axis=-1, dtype=np.int32)
 
 
 def most_differing(percent: int) -> int:
-    """So many bits of sketches at most differ for a pair at the threshold, but for a chance of about 1 in 10**9."""
-    away = 1 - percent / 100
-    return int(COORDINATES * away + _SIGMAS * np.sqrt(COORDINATES * (1.5 * away - away**2)))
+    """In so many coordinates at most differ the sketches of a pair at the threshold, but for a chance of about 1 in 10**7."""
+    away = (1 - percent / 100) * 15 / 16
+    return int(COORDINATES * away + _SIGMAS * np.sqrt(COORDINATES * away * (1 - away)))
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -86,12 +98,12 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
             columns += [
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(digests, pa.binary()),
-                pa.array([None if d is None else minima[d].view(np.int32) for d in digests], pa.list_(pa.int32())),
+                pa.array([None if d is None else minima[d].view(np.int16) for d in digests], pa.list_(pa.int16())),
                 pa.array([None if d is None else sketch(minima[d]) for d in digests], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "mark", "n", "digest", "minima", "bits"])
 
-    schema = "doc_id long, id long, mark long, n long, digest binary, minima array<int>, bits binary"
+    schema = "doc_id long, id long, mark long, n long, digest binary, minima array<short>, bits binary"
     return _marked(docs).mapInArrow(made, schema)
 
 
@@ -124,10 +136,8 @@ def overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return common, len(a) + len(b) - common
 
 
-def _measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """(a, b) with the sizes of intersection and union of the full sets, which are made from the texts again."""
-    pairs = freeze(pairs.select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
+def _sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """(digest, tokens): the full sets of the wanted classes, made from one text of each."""
     heads = classes.join(wanted, "digest", "left_semi").select("digest", "head.id", "head.mark")
 
     def made(batches):
@@ -136,17 +146,35 @@ def _measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int)
             yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "tokens"])
 
     texts = _marked(docs).select("id", "mark", "text").join(heads, ["id", "mark"]).dropDuplicates(["digest"])
-    sets = freeze(texts.select("digest", "text").mapInArrow(made, "digest binary, tokens binary"), "sets")
+    return freeze(texts.select("digest", "text").mapInArrow(made, "digest binary, tokens binary"), "sets")
 
-    def compared(batches):
-        for part in batches:
-            found = [overlap(*(np.frombuffer(t.as_buffer(), np.uint64) for t in two)) for two in zip(part.column("x"), part.column("y"))]
-            sizes = [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), *sizes], ["a", "b", "common", "joint"])
 
-    left = pairs.join(sets.select(F.col("digest").alias("a"), F.col("tokens").alias("x")), "a")
-    both = left.join(sets.select(F.col("digest").alias("b"), F.col("tokens").alias("y")), "b")
-    return freeze(both.select("a", "b", "x", "y").mapInArrow(compared, "a binary, b binary, common long, joint long"), "measured")
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (bin, a, b), with the sizes of intersection and union of the full sets.
+
+    A set is sent once to each bin that has pairs of it, however many; a pair of several bins is measured in one.
+    """
+    chosen = freeze(pairs.groupBy("a", "b").agg(F.min("bin").alias("bin")), "pairs")
+    members = chosen.select("bin", F.col("a").alias("digest")).union(chosen.select("bin", "b")).distinct()
+    rows = members.join(sets, "digest").withColumn("pair", F.lit(False)).unionByName(chosen.withColumn("pair", F.lit(True)), allowMissingColumns=True)
+
+    def measured(batches):
+        current, held = None, {}
+        for part in batches:
+            found = []
+            for b, pair, digest, tokens, x, y in zip(*(part.column(c) for c in ("bin", "pair", "digest", "tokens", "a", "b"))):
+                if b != current:
+                    current, held = b, {}
+                if pair.as_py():
+                    found.append((x.as_py(), y.as_py(), *overlap(held[x.as_py()], held[y.as_py()])))
+                else:
+                    held[digest.as_py()] = np.frombuffer(tokens.as_py(), np.uint64)
+            types = [pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+            columns = zip(*found) if found else [[] for _ in types]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["a", "b", "common", "joint"])
+
+    dealt = rows.repartition("bin").sortWithinPartitions("bin", "pair")
+    return freeze(dealt.mapInArrow(measured, "a binary, b binary, common long, joint long"), "measured")
 
 
 def _linked(percent: int) -> Column:
@@ -154,13 +182,13 @@ def _linked(percent: int) -> Column:
 
 
 def candidates(bits: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of one node that may be similar, by sketches and sizes, and how many bits differ; the nearest first."""
+    """Pairs of one node that may be similar, by sketches and sizes, and in how many coordinates they differ; the nearest first."""
     limit, found = most_differing(percent), []
     for i in range(0, len(bits), 64):
-        differing = np.bitwise_count(bits[i : i + 64, None] ^ bits[None, i:]).sum(axis=2, dtype=np.int32)
-        x, y = np.nonzero(differing <= limit)
+        away = differing(bits[i : i + 64, None], bits[None, i:])
+        x, y = np.nonzero(away <= limit)
         later = y > x
-        found.append(np.stack([x[later] + i, y[later] + i, differing[x[later], y[later]]]))
+        found.append(np.stack([x[later] + i, y[later] + i, away[x[later], y[later]]]))
     a, b, away = np.concatenate(found, axis=1)
     least, most = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
     fits = np.flatnonzero(100 * least >= percent * most)
@@ -168,57 +196,110 @@ def candidates(bits: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.nd
     return a[order], b[order], away[order]
 
 
-class _Groups:
-    """Union of numbered things."""
+def _forest(a: np.ndarray, b: np.ndarray, labels: np.ndarray, holds=lambda x, y: True) -> list[int]:
+    """The first pairs, in the order given, that hold and connect things of different labels."""
+    parent, kept = list(range(int(labels.max()) + 1)), []
+    label = labels.tolist()
 
-    def __init__(self, labels: np.ndarray):
-        self.parent = np.unique(labels, return_inverse=True)[1].tolist()
-        self.left = len(set(self.parent)) - 1
-
-    def find(self, i: int) -> int:
-        parent = self.parent
+    def find(i: int) -> int:
         while parent[i] != i:
             parent[i] = parent[parent[i]]
             i = parent[i]
         return i
 
-
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
-    """The first pairs, in the order given, that connect what all pairs connect."""
-    groups, kept = _Groups(np.arange(n)), []
     for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = groups.find(x), groups.find(y)
-        if x != y:
-            groups.parent[x] = y
+        i, j = find(label[x]), find(label[y])
+        if i != j and holds(x, y):
+            parent[i] = j
             kept.append(k)
-            if len(kept) == n - 1:
+            if len(kept) == len(parent) - 1:
                 break
     return kept
 
 
-def _pairs(bins: DataFrame, percent: int) -> DataFrame:
-    """(bin, a, b) of each bin: a forest of its candidates, or with ``label`` all candidates of different labels."""
-    labelled = "label" in bins.columns
+def _node(rows: dict, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of a node's classes by digest, and its candidates."""
+    order = np.argsort(rows["digest"])
+    bits = np.frombuffer(b"".join(rows["bits"][i] for i in order), np.uint64).reshape(len(order), -1)
+    a, b, _ = candidates(bits, np.array(rows["n"])[order], percent)
+    return order, a, b
+
+
+def _pair_batches(bin: int, pairs: list[tuple[bytes, bytes]]):
+    for start in range(0, len(pairs), 10_000):
+        some = pairs[start : start + 10_000]
+        two = [pa.array([p[i] for p in some], pa.binary()) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([pa.array([bin] * len(some), pa.int64()), *two], ["bin", "a", "b"])
+
+
+def _forests(bins: DataFrame, percent: int) -> DataFrame:
+    """(bin, a, b): for each bin a forest of its candidates, nearest pairs first."""
 
     def paired(batches):
         for rows in _grouped(batches, "bin"):
-            order = np.argsort(rows["digest"])
+            order, a, b = _node(rows, percent)
             digests = [rows["digest"][i] for i in order]
-            bits = np.frombuffer(b"".join(rows["bits"][i] for i in order), np.uint64).reshape(len(order), -1)
-            a, b, _ = candidates(bits, np.array(rows["n"])[order], percent)
-            if labelled:
-                labels = np.unique([rows["label"][i] for i in order], return_inverse=True)[1]
-                chosen = np.flatnonzero(labels[a] != labels[b])
-            else:
-                chosen = _forest(a, b, len(order))
-            for start in range(0, len(chosen), 10_000):
-                some = chosen[start : start + 10_000]
-                two = [pa.array([digests[i] for i in side[some]], pa.binary()) for side in (a, b)]
-                yield pa.RecordBatch.from_arrays([pa.array([rows["bin"][0]] * len(some), pa.int64()), *two], ["bin", "a", "b"])
+            kept = _forest(a, b, np.arange(len(order)))
+            yield from _pair_batches(rows["bin"][0], [(digests[a[k]], digests[b[k]]) for k in kept])
 
     return bins.repartition("bin").sortWithinPartitions("bin").mapInArrow(paired, "bin long, a binary, b binary")
 
 
+def _across(rows: dict, order: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels, and the candidates of different labels that do not meet in an earlier node.
+
+    They are candidates there too. A node that is not looked at has all its candidates connected, so it holds none of these.
+    """
+    labels = np.unique([rows["label"][i] for i in order], return_inverse=True)[1]
+    chosen = np.flatnonzero(labels[a] != labels[b])
+    a, b, own = a[chosen], b[chosen], rows["bin"][0]
+    earlier = [[n for n in rows["nodes"][i] if n < own] for i in order]
+    places = {n: k for k, n in enumerate(sorted({n for nodes in earlier for n in nodes}))}
+    marks = np.zeros((len(order), -(-max(1, len(places)) // 64) * 64), bool)
+    for i, nodes in enumerate(earlier):
+        marks[i, [places[n] for n in nodes]] = True
+    words = np.packbits(marks, axis=1).view(np.uint64)
+    first = np.ones(len(a), bool)
+    for start in range(0, len(a), 4096):
+        part = slice(start, start + 4096)
+        first[part] = ~(words[a[part]] & words[b[part]]).any(axis=1)
+    return labels, a[first], b[first]
+
+
+def _suspects(bins: DataFrame, percent: int) -> DataFrame:
+    """(bin, digest) of the classes that have a candidate of another label to be confirmed in this bin."""
+
+    def found(batches):
+        for rows in _grouped(batches, "bin"):
+            order, a, b = _node(rows, percent)
+            _, a, b = _across(rows, order, a, b)
+            chosen = np.union1d(a, b)
+            digests = pa.array([rows["digest"][order[i]] for i in chosen], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([rows["bin"][0]] * len(chosen), pa.int64()), digests], ["bin", "digest"])
+
+    return bins.repartition("bin").sortWithinPartitions("bin").mapInArrow(found, "bin long, digest binary")
+
+
+def _confirmed(bins: DataFrame, percent: int) -> DataFrame:
+    """(bin, a, b): links between labels of each bin, confirmed on the full sets, enough to connect what is linked."""
+
+    def joined(batches):
+        for rows in _grouped(batches, "bin"):
+            order, a, b = _node(rows, percent)
+            digests = [rows["digest"][i] for i in order]
+            sets = [np.frombuffer(rows["tokens"][i], np.uint64) for i in order]
+            labels, a, b = _across(rows, order, a, b)
+
+            def similar(x: int, y: int) -> bool:
+                common, joint = overlap(sets[x], sets[y])
+                return 100 * common >= percent * joint
+
+            kept = _forest(a, b, labels, similar)
+            yield from _pair_batches(rows["bin"][0], [(digests[a[k]], digests[b[k]]) for k in kept])
+
+    return bins.repartition("bin").sortWithinPartitions("bin").mapInArrow(joined, "bin long, a binary, b binary")
+
+
 def _grouped(batches, key: str):
     """The rows of each value of ``key`` as columns; batches are sorted by it."""
     held, current = None, None
@@ -241,10 +322,13 @@ def _grouped(batches, key: str):
 
 def _left_of_dense(dense: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Compare large nodes with one member each. Returns the rows that may have other links, and the links."""
-    centers = freeze(dense.groupBy("node").agg(F.min("digest").alias("center")), "centers")
+    centers = freeze(dense.groupBy("node").agg(F.min("digest").alias("center"), F.count("*").alias("size")), "centers")
     rows = freeze(dense.select("node", "digest").join(centers, "node"), "dense")
     a, b = F.least("digest", "center").alias("a"), F.greatest("digest", "center").alias("b")
-    measured = _measured(rows.where(F.col("digest") != F.col("center")).select(a, b), docs, classes, words)
+    # A center is sent once for a few hundred others, in as many tasks as there are such portions.
+    portion = F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / SMALL)).alias("portion")
+    others = rows.where(F.col("digest") != F.col("center")).select(F.xxhash64("center", portion).alias("bin"), a, b)
+    measured = _measured(others, _sets(dense.select("digest").distinct(), docs, classes, words))
     away = (1 - F.col("common") / F.col("joint")).alias("away")
     near = measured.select("a", "b", away, _linked(percent).alias("linked"))
     near = freeze(rows.select("node", "digest", "center", a, b).join(near, ["a", "b"]), "from-center")
@@ -278,15 +362,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     bins, links = _bins(classes, docs, words, percent)
     known = classes.select("digest", "n", "bits")
     bins = freeze(bins.join(known, "digest"), "bins")
-    forest = freeze(_pairs(bins, percent), "forest")
-    measured = _measured(forest, docs, classes, words)
+    forest = freeze(_forests(bins, percent), "forest")
+    paired = forest.select(F.col("a").alias("digest")).union(forest.select("b")).distinct()
+    sets = _sets(paired, docs, classes, words)  # of every class that has a candidate
+    measured = _measured(forest, sets)
     links = links.unionByName(measured.where(_linked(percent)).select("a", "b"))
     failed = measured.where(~_linked(percent)).select("a", "b")
-    open_bins = forest.join(failed, ["a", "b"], "left_semi").select("bin").distinct()
-    labels = freeze(_labels(classes, links), "labels")
-    again = bins.join(freeze(open_bins, "open-bins"), "bin").join(labels, "digest")
-    more = _pairs(again, percent).select("a", "b").distinct().join(failed, ["a", "b"], "left_anti")
-    links = links.unionByName(_measured(more, docs, classes, words).where(_linked(percent)).select("a", "b"))
+    open_bins = freeze(forest.join(failed, ["a", "b"], "left_semi").select("bin").distinct(), "open-bins")
+    nodes = bins.groupBy("digest").agg(F.sort_array(F.collect_list("bin")).alias("nodes"))
+    known = nodes.join(_labels(classes, links), "digest")
+    labelled = freeze(bins.join(open_bins, "bin").join(known, "digest"), "labelled")
+    suspects = freeze(_suspects(labelled, percent), "suspects")
+    again = labelled.join(suspects, ["bin", "digest"], "left_semi").join(sets, "digest")
+    links = links.unionByName(freeze(_confirmed(again, percent).select("a", "b"), "confirmed"))
     named = classes.join(_labels(classes, links), "digest")
     heads = freeze(named.groupBy("label").agg(F.min("head").alias("lead")), "heads")
     leads = named.select("digest", "label").join(heads, "label").select("digest", F.col("lead.id").alias("lead"))
