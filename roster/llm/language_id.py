@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roster.llm.batches import hashed_grams, slices
@@ -23,8 +23,7 @@ from roster.llm.quality import dual_descent
 
 BITS = 16
 ORDERS = (1, 2, 3)
-SAMPLE_PER_LANGUAGE = 1000
-MOST_LANGUAGES = 400
+SAMPLE_PER_LANGUAGE, SAMPLE = 1000, 8000
 EXHAUSTIVE_UP_TO = 6
 UNDETERMINED = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -73,32 +72,34 @@ def codewords(languages: int) -> np.ndarray:
     bits, random, best, furthest = int(np.ceil(15 * np.log2(languages))), np.random.default_rng(11), None, -1
     for _ in range(200):
         code = random.choice(np.array([-1, 1], np.int8), (languages, bits))
-        agree = code.astype(int) @ code.T
+        agree = (code.astype(np.float32) @ code.T.astype(np.float32)).astype(int)
         least = (bits - agree[~np.eye(languages, dtype=bool)].max()) // 2
         if least > furthest and (np.abs(code.sum(axis=0)) < languages).all():
             best, furthest = code, least
     return best
 
 
-def fit_languages(docs: DataFrame, may_learn: Column, sample: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
-    """Fit on at most ``sample`` texts of each language, those whose hashed id is smallest.
+def fit_languages(
+    docs: DataFrame, may_learn: Column, sample: int = SAMPLE_PER_LANGUAGE, total: int = SAMPLE
+) -> LanguageModel:
+    """Fit on at most ``sample`` texts of each language, and ``total`` of all, but for one text of each language.
 
-    The ids are chosen first, from two narrow columns; at most ``sample`` sets of n-grams of each of at
-    most ``MOST_LANGUAGES`` languages reach the driver, and more languages are an error.
+    Texts with the smallest hashes of their ids are taken, the same number of each language, so that more languages
+    mean fewer texts of each. They are chosen by narrow columns in one pass for all languages; then only
+    their sets of n-grams reach the driver, and of equal rows one.
     """
     known = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = sorted(row.lang for row in known.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    languages = sorted(row.lang for row in known.select("lang").distinct().collect())
     if len(languages) < 2:
         none = np.zeros((0, 0))
         return LanguageModel(languages, none, none, none, none)
-    chosen = None
-    for language in languages:
-        ids = known.where(F.col("lang") == language).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        chosen = ids if chosen is None else chosen.unionByName(ids)
-    rows = known.select("doc_id", "text", "lang").join(F.broadcast(chosen.distinct()), "doc_id")
-    found = rows.mapInArrow(_featured, "doc_id long, lang string, features binary").collect()
+    most = max(1, min(sample, total // len(languages)))
+    marked = known.where(F.col("doc_id").isNotNull()).select("doc_id", "lang", F.xxhash64("text").alias("mark"))
+    # Equal rows share a rank; Spark applies the limit in each task before the shuffle.
+    rank = F.dense_rank().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "mark"))
+    chosen = marked.withColumn("rank", rank).where(F.col("rank") <= most).select("doc_id", "lang", "mark").distinct()
+    rows = known.select("doc_id", "text", "lang", F.xxhash64("text").alias("mark")).join(F.broadcast(chosen), ["doc_id", "lang", "mark"])
+    found = rows.mapInArrow(_featured, "doc_id long, lang string, mark long, features binary").dropDuplicates(["doc_id", "lang", "mark"]).collect()
     found.sort(key=lambda row: (row.doc_id, row.lang, row.features))
     place = {language: i for i, language in enumerate(languages)}
     return fit(languages, [np.frombuffer(row.features, np.int32) for row in found], np.array([place[row.lang] for row in found]))
@@ -106,13 +107,12 @@ def fit_languages(docs: DataFrame, may_learn: Column, sample: int = SAMPLE_PER_L
 
 def _featured(batches):
     for part in slices(batches, "text"):
-        ids, langs, features = [], [], []
-        for doc_id, text, lang in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "lang"))):
+        ids, langs, marks, features = [], [], [], []
+        for doc_id, text, lang, mark in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "lang", "mark"))):
             if letters := only_letters(text):
-                ids.append(doc_id), langs.append(lang), features.append(text_features(letters).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(features, pa.binary())], ["doc_id", "lang", "features"]
-        )
+                ids.append(doc_id), langs.append(lang), marks.append(mark), features.append(text_features(letters).tobytes())
+        columns = [pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(marks, pa.int64()), pa.array(features, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "mark", "features"])
 
 
 def fit(languages: list[str], features: list[np.ndarray], classes: np.ndarray) -> LanguageModel:

@@ -1,7 +1,7 @@
 """Cross-entropy difference of two word models, whose counts grow with the corpus.
 
-As in ``lm_scoring`` a document's score is its mean loss per token under the model of a target minus that
-under the background model, in bits. Tokens here are words: runs of letters and digits in lower case, in
+A document's score is its mean loss per token under the model of a target minus that under the background
+model, in bits: the lower, the more it is like the target. Tokens are words: runs of letters and digits in lower case, in
 any script; a character of three or four bytes, as in scripts without blanks, and any other sign is a word of
 its own. The models are of order 2, interpolated (Witten-Bell), over one vocabulary: all words of the
 corpus and one for the unseen. Counts of all words and pairs are a Spark table without a bound.
@@ -9,7 +9,9 @@ corpus and one for the unseen. Counts of all words and pairs are a Spark table w
 Rows are written down in blocks of about ``BLOCK_BYTES`` of text. Each block counts its pairs and asks for each
 of its distinct words and pairs once, so a frequent one is one row a block, not one a document.
 
-Defined results: as in ``lm_scoring``; a text of blanks has 0 tokens. Words are compared by 64-bit hashes.
+Defined results: NULL and empty texts and texts of blanks have 0 tokens and NULL losses and score; a document
+named several times as target counts once; rows with equal ids all count; without a target its model is uniform.
+A document of the target is scored by a model that it is part of. Words are compared by 64-bit hashes.
 """
 
 import numpy as np

@@ -87,3 +87,30 @@ def test_few_languages(spark, odd):
     rows = [(1, "abc abc", "p"), (2, "xyz xyz", "q"), (3, "123", "r"), (4, None, "s"), (5, "abc", None)]
     three = fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
     assert three.languages == ["p", "q", "r"] and three.predict("abcabc", 0.1)[0] == "p"
+
+
+def test_a_thousand_languages(spark):
+    """More languages mean fewer texts of each, and no error; each has words of its own."""
+    rows = [(k * 3 + i, f"{w} {w}" * 3, f"l{k:04d}") for k in range(1000) for i, w in enumerate([f"{chr(0x4E00 + k)}{chr(0x5E00 + k)}"] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_languages(docs, F.lit(True), total=1000)
+    assert len(model.languages) == 1000 and model.code.shape == (1000, 150)
+    found = [model.predict(text, 0.1)[0] == lang for _, text, lang in rows[::31]]
+    assert np.mean(found) > 0.9
+
+
+def test_a_third_of_all_rows_with_one_id(spark, corpus):
+    """Repeated rows are learned from once, and one of each reaches the driver."""
+    from roster.llm import language_id
+
+    hot = corpus.where("doc_id = 1").select("doc_id", "text", "lang")
+    copies = hot.crossJoin(spark.range(500)).drop("id")
+    docs = corpus.select("doc_id", "text", "lang").unionByName(copies)
+    seen, real = [], language_id.fit
+    language_id.fit = lambda languages, features, classes: seen.append((languages, features, classes)) or real(languages, features, classes)
+    try:
+        fit_languages(docs, F.lit(True), sample=20), fit_languages(corpus, F.lit(True), sample=20)
+    finally:
+        language_id.fit = real
+    assert [len(s[1]) for s in seen] == [80, 80]
+    assert all((a == b).all() for a, b in zip(seen[0][1], seen[1][1])) and (seen[0][2] == seen[1][2]).all()
