@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from roster.llm.queries import op10_lm_scoring
-from roster.llm.word_scoring import asked_grams, count_words, marked_blocks, score_by_words, words
+from roster.llm.word_scoring import asked_grams, count_words, dealing, marked_blocks, score_by_words, words
 from tests.llm.conftest import ODD, SF
 
 
@@ -88,3 +88,12 @@ def test_the_query(spark, documents):
     rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
     labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
     same(op10_lm_scoring(spark, SF).collect(), expected(rows, {r.doc_id for r in labels if r.quality == 1 and r.toxic == 0}))
+
+
+@pytest.mark.parametrize("piece", [1, 3])
+def test_frequent_words_are_dealt_to_several_buckets(spark, docs, piece):
+    rows = [(i, f"the a{i} the b{i % 7} of the a{i % 5}, the the") for i in range(40)]
+    targets = spark.createDataFrame([(i,) for i in range(0, 40, 3)], "doc_id long")
+    blocks = marked_blocks(docs(*rows), targets, 200)
+    assert max(dealing(blocks, piece).pieces) > 40 // piece
+    same(score_by_words(docs(*rows), targets, 200, piece).collect(), expected(rows, set(range(0, 40, 3))))
