@@ -1,14 +1,16 @@
-"""Document fingerprints: a Merkle tree over sentences, paragraphs and sections, in native functions only.
+"""Document fingerprints: a Merkle tree over leaves, paragraphs and sections, in native functions only.
 
-A paragraph is a line, cut into sentences before the white space behind ``.``, ``!`` or ``?``; nothing is
-dropped by the cuts. A section is a run of paragraphs that ends behind a paragraph whose last hash ends in
-0 or 1, so that sections are found by content and an edit moves no boundary far from it. Every level is
-hashed from the hashes below it, up to the root.
+A paragraph is a line. Its words (with the blanks behind them; a sign of three or four UTF-8 bytes is one of its own, and
+32 bytes or blanks in a row at most) are hashed, and a leaf is a run of words that ends behind one whose hash ends in 0 or 1,
+or behind 32: about 8 words in any script, found by content, so an edit moves no boundary far from it. A section is a run of
+paragraphs that ends behind one whose hash ends in 0 or 1. Nothing is dropped by the cuts. Every level is hashed from the
+hashes below it, up to the root.
 
-A fingerprint is the root, ``:``, and the tree's leaves: sections parted by ``|``, paragraphs by ``/``,
-sentences by ``.``. Roots test equality; ``likeness`` and ``differing_sections`` compare two trees.
+A fingerprint is the root, ``:``, and the tree: sections, each its hash and ``>``, parted by ``|``; in them
+paragraphs, each its hash and ``=``, parted by ``/``; in them leaves parted by ``.``. Roots test equality; ``likeness``,
+``first_edit`` and ``differing_sections`` go down only where hashes differ.
 
-Defined results: NULL is fingerprinted as the empty text, which has one empty sentence. In
+Defined results: NULL is fingerprinted as the empty text, which has one empty leaf. In
 ``with_next`` a NULL id comes last, and rows with equal ids follow each other by the hash of their text.
 """
 
@@ -17,23 +19,29 @@ from pyspark.sql import functions as F
 
 BUCKET_BYTES = 32 << 20
 MOST_BUCKETS = 8192
-_SENTENCE_END = r"(?<=[.!?])(?=\s)"
+_BLANKS = r" \t\x0B\f\r"
+_WORD = rf"[\x{{800}}-\x{{10FFFF}}]|[^{_BLANKS}\x{{800}}-\x{{10FFFF}}]{{1,32}}[{_BLANKS}]{{0,32}}|[{_BLANKS}]{{1,32}}"
+_LEAF = "(?:[0-9a-f]*[2-9a-f]/){0,31}[0-9a-f]+/?"
 _LOWEST = -(1 << 63)
 
 
+def _hashes(items: Column) -> Column:
+    return F.transform(items, lambda item: F.md5(item))
+
+
 def _tree(text: Column) -> Column:
-    """All leaves with full hashes, in their sections and paragraphs."""
-    leaves = F.transform(
-        F.split(text, "\n"),
-        lambda line: F.array_join(F.transform(F.split(line, _SENTENCE_END), lambda sentence: F.md5(sentence)), "."),
-    )
-    return F.regexp_replace(F.array_join(leaves, "/"), "([01])/", "$1|")
+    """All nodes below the root, with full hashes."""
+    words = lambda line: F.when(line == "", F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(_WORD), F.lit(0)))
+    leaves = lambda line: F.regexp_extract_all(F.array_join(_hashes(words(line)), "/"), F.lit(_LEAF), F.lit(0))
+    lines = F.transform(F.split(text, "\n"), lambda line: F.array_join(_hashes(leaves(line)), "."))
+    paragraphs = F.array_join(F.transform(lines, lambda line: F.concat(F.md5(line), F.lit("="), line)), "/")
+    sections = F.split(F.regexp_replace(paragraphs, r"([01]=[0-9a-f.]*)/", "$1|"), r"\|")
+    hashed = lambda section: F.md5(F.regexp_replace(section, "=[0-9a-f.]*", ""))
+    return F.array_join(F.transform(sections, lambda section: F.concat(hashed(section), F.lit(">"), section)), "|")
 
 
 def _root(tree: Column) -> Column:
-    paragraphs = lambda section: F.transform(F.split(section, "/"), lambda paragraph: F.sha2(paragraph, 256))
-    sections = F.transform(F.split(tree, r"\|"), lambda section: F.sha2(F.array_join(paragraphs(section), "/"), 256))
-    return F.sha2(F.array_join(sections, "|"), 256)
+    return F.sha2(F.regexp_replace(tree, r">[^|]*", ""), 256)
 
 
 def with_fingerprints(rows: DataFrame, **columns: str) -> DataFrame:
@@ -46,20 +54,56 @@ def with_fingerprints(rows: DataFrame, **columns: str) -> DataFrame:
     return rows.withColumns(trees).withColumns(prints).drop(*trees)
 
 
-def _leaves(fingerprint: Column) -> Column:
-    return F.array_distinct(F.split(F.substring_index(fingerprint, ":", -1), "[./|]"))
+def _sections(fingerprint: Column) -> Column:
+    return F.split(F.substring_index(fingerprint, ":", -1), r"\|")
+
+
+def _leaves(sections: Column) -> Column:
+    return F.regexp_extract_all(F.array_join(sections, "|"), F.lit("[=.]([0-9a-f]{16})"), F.lit(1))
+
+
+def _numbered(items: Column) -> Column:
+    """Equal items told apart by a number, so that sets of them count each as often as it is there."""
+    joined = F.concat(F.array_join(F.array_sort(items), ","), F.lit(","))
+    runs = F.transform(
+        F.regexp_extract_all(joined, F.lit(r"([^,]+,)\1*"), F.lit(0)),
+        lambda run: F.struct(F.substring_index(run, ",", 1).alias("item"), F.length(run).alias("length")),
+    )
+    copies = lambda run: F.sequence(F.lit(1), (run.length / (F.length(run.item) + 1)).cast("int"))
+    return F.flatten(F.transform(runs, lambda run: F.transform(copies(run), lambda i: F.concat(run.item, F.lit("*"), i.cast("string")))))
 
 
 def likeness(first: Column, second: Column) -> Column:
-    """Twice the sentences in both over the sentences in each, repeated ones once: 0 to 1."""
-    a, b = _leaves(first), _leaves(second)
-    return F.when(first == second, 1.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / (F.size(a) + F.size(b)))
+    """Twice the leaves in both over the leaves in each, each as often as it is there: 0 to 1."""
+    a, b = _sections(first), _sections(second)
+    numbered_a, numbered_b = _numbered(a), _numbered(b)
+    # Leaves of equal sections are in both; only those of the others are compared.
+    rest_a, rest_b = _leaves(F.array_except(numbered_a, numbered_b)), _leaves(F.array_except(numbered_b, numbered_a))
+    in_a, in_b = F.size(_leaves(a)), F.size(_leaves(b))
+    common = in_a - F.size(rest_a) + F.size(F.array_intersect(_numbered(rest_a), _numbered(rest_b)))
+    return F.when(first == second, 1.0).otherwise(2.0 * common / (in_a + in_b))
+
+
+def _first_difference(a: Column, b: Column) -> Column:
+    return (F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False) - 1).cast("int")
+
+
+def first_edit(first: Column, second: Column) -> Column:
+    """``section/paragraph/leaf``, numbers from 0 in their parent, of the first leaf that differs; NULL where texts are equal."""
+    a, b = _sections(first), _sections(second)
+    path = []
+    for mark, parts in ((">", "/"), ("=", r"\."), ("", "")):
+        at = _first_difference(a, b)
+        path.append(at.cast("string"))
+        if mark:
+            a, b = (F.split(F.substring_index(F.coalesce(F.get(x, at), F.lit("")), mark, -1), parts) for x in (a, b))
+    return F.when(first != second, F.concat_ws("/", *path))
 
 
 def differing_sections(first: Column, second: Column) -> Column:
     """Numbers, from 0, of the sections of the first fingerprint that are not in the second."""
-    theirs = F.split(F.substring_index(second, ":", -1), r"\|")
-    ours = F.transform(F.split(F.substring_index(first, ":", -1), r"\|"), lambda s, i: F.struct(i.alias("i"), s.alias("s")))
+    theirs = F.transform(_sections(second), lambda s: F.substring_index(s, ">", 1))
+    ours = F.transform(_sections(first), lambda s, i: F.struct(i.alias("i"), F.substring_index(s, ">", 1).alias("s")))
     return F.transform(F.filter(ours, lambda x: ~F.array_contains(theirs, x.s)), lambda x: x.i)
 
 

@@ -66,24 +66,47 @@ FROM documents LEFT JOIN sizes USING (doc_id)
 LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reached GROUP BY a) USING (doc_id)"""
 
 
+_BLANKS = r" \t\x0B\f\r"
+_WORD = rf"[\x{{800}}-\x{{10FFFF}}]|[^{_BLANKS}\x{{800}}-\x{{10FFFF}}]{{1,32}}[{_BLANKS}]{{0,32}}|[{_BLANKS}]{{1,32}}"
+
+
 def _tree(text: str) -> str:
-    """Hashes of sentences by paragraph; a sentence ends before the white space behind its stop."""
-    sentences = f"regexp_replace(line, '([.!?])([ \\t\\n\\x0B\\f\\r])', '\\1' || chr(57344) || '\\2', 'g')"
-    leaves = f"array_to_string(list_transform(string_split({sentences}, chr(57344)), lambda s: md5(s)), '.')"
-    paragraphs = f"array_to_string(list_transform(string_split({text}, chr(10)), lambda line: {leaves}), '/')"
-    return f"regexp_replace({paragraphs}, '([01])/', '\\1|', 'g')"
+    """Sections, paragraphs and leaves: runs of words that end behind a hash that ends in 0 or 1, or behind 32 words."""
+    words = f"CASE WHEN line = '' THEN [''] ELSE regexp_extract_all(line, '{_WORD}') END"
+    hashes = f"array_to_string(list_transform({words}, lambda w: md5(w)), '/')"
+    runs = f"regexp_extract_all({hashes}, '(?:[0-9a-f]*[2-9a-f]/){{0,31}}[0-9a-f]+/?')"
+    leaves = f"array_to_string(list_transform({runs}, lambda leaf: md5(leaf)), '.')"
+    lines = f"list_transform(string_split({text}, chr(10)), lambda line: {leaves})"
+    paragraphs = f"array_to_string(list_transform({lines}, lambda p: md5(p) || '=' || p), '/')"
+    sections = f"string_split(regexp_replace({paragraphs}, '([01]=[0-9a-f.]*)/', '\\1|', 'g'), '|')"
+    hashed = f"list_transform({sections}, lambda s: md5(regexp_replace(s, '=[0-9a-f.]*', '', 'g')) || '>' || s)"
+    return f"array_to_string({hashed}, '|')"
 
 
 def _print(tree: str) -> str:
-    section = "array_to_string(list_transform(string_split(section, '/'), lambda p: sha256(p)), '/')"
-    root = f"sha256(array_to_string(list_transform(string_split({tree}, '|'), lambda section: sha256({section})), '|'))"
+    root = f"sha256(regexp_replace({tree}, '>[^|]*', '', 'g'))"
     return f"{root} || ':' || regexp_replace({tree}, '([0-9a-f]{{16}})[0-9a-f]{{16}}', '\\1', 'g')"
 
 
 def _likeness(a: str, b: str) -> str:
-    leaves = [f"list_distinct(string_split_regex(split_part({x}, ':', 2), '[./|]'))" for x in (a, b)]
-    common = f"len(list_intersect({leaves[0]}, {leaves[1]}))"
-    return f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * {common} / (len({leaves[0]}) + len({leaves[1]})) END"
+    x, y = (f"regexp_extract_all(split_part({p}, ':', 2), '[=.]([0-9a-f]{{16}})', 1)" for p in (a, b))
+    times = f"list_transform(list_distinct({x}), lambda leaf: least(len(list_filter({x}, lambda l: l = leaf)), len(list_filter({y}, lambda l: l = leaf))))"
+    return f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * list_sum({times}) / (len({x}) + len({y})) END"
+
+
+def _first_difference(a: str, b: str) -> str:
+    return f"list_position(list_transform(list_zip({a}, {b}), lambda x: struct_extract(x, 1) IS NOT DISTINCT FROM struct_extract(x, 2)), false) - 1"
+
+
+def _first_edit(a: str, b: str) -> str:
+    x, y = (f"string_split(split_part({p}, ':', 2), '|')" for p in (a, b))
+    path = []
+    for mark, parts in ((">", "/"), ("=", "."), ("", "")):
+        at = _first_difference(x, y)
+        path.append(f"({at})")
+        if mark:
+            x, y = (f"string_split(split_part(coalesce({z}[{at} + 1], '{mark}'), '{mark}', 2), '{parts}')" for z in (x, y))
+    return f"CASE WHEN {a} <> {b} THEN {' || chr(47) || '.join(path)} END"
 
 
 _FINGERPRINTS = f"""
@@ -105,7 +128,8 @@ prints AS (
 )
 SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
   {_likeness("fingerprint", "edited_fingerprint")} AS near_edited,
-  {_likeness("fingerprint", "next_fingerprint")} AS near_next
+  {_likeness("fingerprint", "next_fingerprint")} AS near_next,
+  {_first_edit("fingerprint", "edited_fingerprint")} AS first_edit
 FROM prints"""
 
 # CRC-32 of ASCII texts, from its table.

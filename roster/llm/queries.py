@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from roster.llm import chosen_path
 from roster.llm.conversations import damaged, repair_conversations
 from roster.llm.decontamination import find_leaks
-from roster.llm.fingerprints import likeness, with_fingerprints, with_next
+from roster.llm.fingerprints import first_edit, likeness, with_fingerprints, with_next
 from roster.llm.jaccard_join import similar_documents
 from roster.llm.language_id import fit_languages, identify
 from roster.llm.oracles import ORACLES as ORACLES
@@ -106,6 +106,7 @@ def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        first_edit(F.col("fingerprint"), F.col("edited_fingerprint")).alias("first_edit"),
     )
 
 

@@ -2,35 +2,69 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from roster.llm.fingerprints import differing_sections, likeness, with_fingerprints, with_next
+from roster.llm.fingerprints import differing_sections, first_edit, likeness, with_fingerprints, with_next
 from roster.llm.queries import op9_fingerprints
 from tests.llm.conftest import ODD
 
 SF = "/root/testdata/sf0.001"
 
 
-def by_hand(text):
-    def md5(s):
-        return hashlib.md5(s.encode()).hexdigest()
+def md5(s):
+    return hashlib.md5(s.encode()).hexdigest()
+
+
+def leaves_by_hand(line):
+    blank, wide = " \t\x0b\f\r", "ࠀ"
+    words, k = [], 0
+    while k < len(line):
+        end = k + 1
+        if line[k] in blank:
+            while end < min(len(line), k + 32) and line[end] in blank:
+                end += 1
+        elif line[k] < wide:
+            while end < min(len(line), k + 32) and line[end] not in blank and line[end] < wide:
+                end += 1
+            stop = end + 32
+            while end < min(len(line), stop) and line[end] in blank:
+                end += 1
+        words.append(md5(line[k:end]))
+        k = end
+    words = words or [md5("")]
+    leaves, current = [], ""
+    for i, word in enumerate(words):
+        current += word + ("/" if i + 1 < len(words) else "")
+        if word[-1] in "01" or current.count("/") == 32 or i + 1 == len(words):
+            leaves.append(md5(current))
+            current = ""
+    return leaves
 
-    def sha(s):
-        return hashlib.sha256(s.encode()).hexdigest()
 
+def by_hand(text):
     sections, current = [], []
     for line in text.split("\n"):
-        current.append([md5(s) for s in re.split(r"(?<=[.!?])(?=[ \t\n\x0b\f\r])", line)])
-        if current[-1][-1][-1] in "01":
+        leaves = leaves_by_hand(line)
+        current.append((md5(".".join(leaves)), leaves))
+        if current[-1][0][-1] in "01":
             sections.append(current)
             current = []
     if current:
         sections.append(current)
-    nodes = [sha("/".join(sha(".".join(paragraph)) for paragraph in section)) for section in sections]
-    short = "|".join("/".join(".".join(leaf[:16] for leaf in p) for p in s) for s in sections)
-    return sha("|".join(nodes)) + ":" + short
+    nodes = [md5("/".join(p for p, _ in section)) for section in sections]
+    short = "|".join(
+        node[:16] + ">" + "/".join(p[:16] + "=" + ".".join(leaf[:16] for leaf in leaves) for p, leaves in section)
+        for node, section in zip(nodes, sections)
+    )
+    return hashlib.sha256("|".join(nodes).encode()).hexdigest() + ":" + short
+
+
+def near_by_hand(a, b):
+    x, y = (Counter(leaf for line in t.split("\n") for leaf in leaves_by_hand(line)) for t in (a, b))
+    return 2 * sum((x & y).values()) / (sum(x.values()) + sum(y.values()))
 
 
 def test_trees_of_a_table(documents):
@@ -51,6 +85,7 @@ def test_equal_texts_only(docs):
 
 def test_likeness_and_the_place_of_an_edit(spark, docs):
     lines = [f"Paragraph {i} says something. And something else {i}." for i in range(60)]
+    lines[30:34] = ["The same line, " * 40] * 4
     edited = list(lines)
     edited[20] = "This one is new."
     rows = with_fingerprints(docs((0, "\n".join(lines))).withColumn("other", F.lit("\n".join(edited))), a="text", b="other")
@@ -58,15 +93,32 @@ def test_likeness_and_the_place_of_an_edit(spark, docs):
         likeness(F.col("a"), F.col("b")).alias("near"),
         likeness(F.col("a"), F.col("a")).alias("same"),
         differing_sections(F.col("a"), F.col("b")).alias("where"),
+        first_edit(F.col("a"), F.col("b")).alias("first"),
+        first_edit(F.col("a"), F.col("a")).alias("nowhere"),
         F.split(F.substring_index("a", ":", -1), r"\|").alias("sections"),
     ).first()
-    assert r.same == 1.0 and r.near == pytest.approx(2 * 118 / (120 + 119))
+    assert r.same == 1.0 and r.near == pytest.approx(near_by_hand("\n".join(lines), "\n".join(edited))) and r.near > 0.9
     # The edit lies in one section, unless it moved that section's end.
     assert len(r.where) == 1 or (len(r.where) == 2 and r.where[1] == r.where[0] + 1)
     before = sum(section.count("/") + 1 for section in r.sections[: r.where[0]])
+    section, paragraph, leaf = map(int, r.first.split("/"))
+    assert (section, before + paragraph, leaf) == (r.where[0], 20, 0) and r.nowhere is None
     assert before <= 20 < before + sum(r.sections[i].count("/") + 1 for i in r.where)
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["word%d " * 400 % tuple(range(400)), "ha " * 2000, "字%d" * 300 % tuple(range(300)), "ab" * 3000, "без знаков препинания %d " * 80 % tuple(range(80))],
+)
+def test_texts_without_stops_keep_their_likeness(docs, text):
+    text = text.strip()
+    other = text[: len(text) // 2] + "something else " * (len(text) // 30)
+    rows = with_fingerprints(docs((0, text)).withColumn("other", F.lit(other)), a="text", b="other")
+    r = rows.select("a", "b", likeness(F.col("a"), F.col("b")).alias("near")).first()
+    assert (r.a, r.b) == (by_hand(text), by_hand(other))
+    assert r.near == pytest.approx(near_by_hand(text, other)) and r.near > 0.1
+
+
 def expected_next(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0]), reverse=True)
     return sorted((str(i), t or "", order[(k + 1) % len(order)][1] or "") for k, (i, t) in enumerate(order))
@@ -103,7 +155,9 @@ def test_the_query(spark, documents):
         r = rows[i]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert (r.fingerprint, r.edited_fingerprint) == (by_hand(text), by_hand(edited))
-        assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
+        assert r.near_next == pytest.approx(near_by_hand(text, texts[ids[(place + 1) % len(ids)]]))
+        assert r.near_edited == pytest.approx(near_by_hand(text, edited))
+        assert r.near_edited > 0 or len(text) < 500
     assert sum(r.near_edited for r in rows.values()) > 5 * sum(r.near_next for r in rows.values())
 
 

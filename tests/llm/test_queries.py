@@ -21,7 +21,7 @@ COLUMNS = {
     "op4_jaccard_join": "doc_id long, n_shingles long, component_id long",
     "op7_sharding": "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int",
     "op8_quality_classifier": "doc_id long, held_out boolean, score double, predicted int",
-    "op9_fingerprints": "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
+    "op9_fingerprints": "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, first_edit string",
     "op11_token_alignment": "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string",
     "op12_conversation_repair": "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string",
     "op13_minhash_dedup": "doc_id long, n_shingles long, component_id long, kept boolean",
