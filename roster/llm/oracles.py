@@ -1,5 +1,7 @@
 """SQL for DuckDB that gives the rows of the queries that SQL can express."""
 
+from roster.llm.fingerprints import LEAF, MIDDLE, WIDE
+
 # Removed bytes: every window of 100 bytes, as hexadecimal text, with its earlier places.
 _REPEATS = """
 WITH docs AS (
@@ -66,15 +68,9 @@ FROM documents LEFT JOIN sizes USING (doc_id)
 LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reached GROUP BY a) USING (doc_id)"""
 
 
-_BLANKS = r" \t\x0B\f\r"
-_WORD = rf"[\x{{800}}-\x{{10FFFF}}]|[^{_BLANKS}\x{{800}}-\x{{10FFFF}}]{{1,32}}[{_BLANKS}]{{0,32}}|[{_BLANKS}]{{1,32}}"
-
-
 def _tree(text: str) -> str:
-    """Sections, paragraphs and leaves: runs of words that end behind a hash that ends in 0 or 1, or behind 32 words."""
-    words = f"CASE WHEN line = '' THEN [''] ELSE regexp_extract_all(line, '{_WORD}') END"
-    hashes = f"array_to_string(list_transform({words}, lambda w: md5(w)), '/')"
-    runs = f"regexp_extract_all({hashes}, '(?:[0-9a-f]*[2-9a-f]/){{0,31}}[0-9a-f]+/?')"
+    """Sections, paragraphs and leaves, which are cut by the operator's expression."""
+    runs = f"CASE WHEN line = '' THEN [''] ELSE regexp_extract_all(line, '{LEAF.replace(MIDDLE, '').replace(WIDE, '')}') END"
     leaves = f"array_to_string(list_transform({runs}, lambda leaf: md5(leaf)), '.')"
     lines = f"list_transform(string_split({text}, chr(10)), lambda line: {leaves})"
     paragraphs = f"array_to_string(list_transform({lines}, lambda p: md5(p) || '=' || p), '/')"
