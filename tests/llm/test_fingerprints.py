@@ -18,22 +18,30 @@ def md5(s):
     return hashlib.md5(s.encode()).hexdigest()
 
 
-def ends_leaf(text):
-    last = ord(text[-1])
-    if last >= 0x800:
-        return last < 0x10000 and (last >> 5) % 8 == 2
-    before = ord(text[-2]) if len(text) > 1 and text[-1] in " \t\x0b\f\r" else 0
-    return 0x21 <= before < 0x100 and before % 7 == 4 or 0x100 <= before < 0x800 and (before >> 2) % 7 == 4
-
-
 def leaves_by_hand(line):
+    blank, wide = " \t\x0b\f\r", "ࠀ"
+    words, k = [], 0
+    while k < len(line):
+        end = k + 1
+        if line[k] in blank:
+            while end < min(len(line), k + 32) and line[end] in blank:
+                end += 1
+        elif line[k] < wide:
+            while end < min(len(line), k + 32) and line[end] not in blank and line[end] < wide:
+                end += 1
+            stop = end + 32
+            while end < min(len(line), stop) and line[end] in blank:
+                end += 1
+        words.append(md5(line[k:end]))
+        k = end
+    words = words or [md5("")]
     leaves, current = [], ""
-    for c in line:
-        current += c
-        if ends_leaf(current) or len(current) == 192:
+    for i, word in enumerate(words):
+        current += word + ("/" if i + 1 < len(words) else "")
+        if word[-1] in "01" or current.count("/") == 32 or i + 1 == len(words):
             leaves.append(md5(current))
             current = ""
-    return [*leaves, md5(current)] if current or not leaves else leaves
+    return leaves
 
 
 def by_hand(text):
