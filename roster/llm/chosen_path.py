@@ -1,45 +1,45 @@
-"""Near duplicates by chosen paths: a set similarity join that branches on minwise tokens.
+"""Near duplicates by chosen paths: a set similarity join that meets on minwise tokens.
 
 Two texts are linked when their sets of word shingles have at least ``percent`` per cent in common.
 
 1. Equal sets are one class. A class has ``COORDINATES`` minwise tokens, each the least of its tokens under a hash
    of its own, kept by 16 bits, and a sketch of four bits of each.
-2. A tree begins with all classes in one node. A node has two branches, each with a coordinate; there a class
-   goes to the child of its minwise token. Classes of similarity s meet in a child with chance s, so
-   a pair at the threshold lives on in 2 s > 1 children and is found at any depth with a chance above
-   ``1 - (1 - s) ** 2 / s ** 2``; at 80 per cent a tree misses 1 of 16, and ``TREES`` independent ones 6 in 10**8.
-3. A node of up to ``SMALL`` classes is compared exhaustively, by sketches. Pairs that may be similar form a
-   forest, whose edges are confirmed on the full sets. Where one fails, the sets of the node that may have a link
-   beyond their component are brought together, and all such pairs are confirmed until they are connected.
-   Only links leave a node, so rows do not grow with the square of a group; and a pair that meets in several
-   nodes is confirmed in the first of them alone, as every class knows all its nodes.
-4. A large node is branched while that makes it smaller: as long as a child has at most half of its parent.
-   A node that stays large holds near copies. All its classes are compared with one of them, on full sets;
-   by the triangle inequality of the Jaccard distance a class linked to that one cannot link to others than its
-   mates if these are far enough, and leaves. What is left is dealt into blocks, compared two at a time.
-
-No link is counted that is not confirmed on full sets, and a pair that no tree brings together is the only loss.
+2. A tree has the coordinates in an order of its own and ``PATHS`` paths from its root, which share no coordinate. A path
+   ends, after the number of coordinates that ``length_of_paths`` says, in a node: the classes that agree in all of
+   these. So a class is in ``TREES * PATHS`` nodes whatever the size of the table, and all but the nodes of near
+   copies hold it alone. A pair at the threshold that meets in no node has a chance below ``MISS``.
+3. Every class of a node is paired with the node's least class, equal pairs of several nodes are one, and those that may be
+   similar by sketches and sizes are confirmed on the full sets. This connects nearly all that is linked, and there are
+   no more pairs than rows in nodes.
+4. A node is looked at again if its classes are not all connected then. A class outside of the node's largest component is
+   compared with all of the node, and the members of that component are not compared with each other; the classes that
+   are similar by sketches to one of another component are brought together with their sets, until they are connected.
+   Only links leave a node, and a pair that meets in several nodes is confirmed in the first of them alone, as
+   every class knows all its nodes. What one task compares is bounded: large nodes are dealt into blocks.
+
+No link is counted that is not confirmed on full sets, and a pair that no path brings together is the only loss.
 
 Defined results: NULL and wordless texts have an empty set and are linked with nothing; rows with equal ids
 are told apart by their text; a NULL id is the component of its rows only if no other id is in it. ``kept`` says
 that a row has the id of its component. Extra columns are not carried.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roster.llm.batches import slices, text_bytes
+from roster.llm.batches import mixed, slices, text_bytes
 from roster.llm.graph import components
 from roster.llm.words import shingle_sets
 from roster.session import freeze
 
 WORDS, PERCENT = 5, 80
-TREES, COORDINATES, DEEPEST = 6, 128, 6
+TREES, PATHS, COORDINATES, MISS = 6, 11, 128, 1e-6
 SMALL = 512
-_ROOT = 0  # places in a tree are numbered as in a heap: 2 p + 1 and 2 p + 2 are below p
 _LAST = (1 << 63) - 1  # stands for a NULL id
 _SIGMAS = 5.5
 _NIBBLES = np.uint64(0x1111111111111111)
@@ -64,6 +64,38 @@ def sketch(minima: np.ndarray) -> bytes:
     return (four[0::2] | four[1::2] << 4).tobytes()
 
 
+def chance_of_miss(similarity: float, length: int) -> float:
+    """The chance that a pair agrees on no path of so many coordinates, over the number of coordinates it agrees in."""
+
+    def apart(agreeing: int) -> float:
+        return (1 - math.comb(agreeing, length) / math.comb(COORDINATES, length)) ** (TREES * PATHS)
+
+    def share(agreeing: int) -> float:
+        return math.comb(COORDINATES, agreeing) * similarity**agreeing * (1 - similarity) ** (COORDINATES - agreeing)
+
+    return sum(share(agreeing) * apart(agreeing) for agreeing in range(COORDINATES + 1))
+
+
+def length_of_paths(percent: int) -> int:
+    """As many coordinates as a pair at the threshold bears; the longer a path, the fewer others meet there."""
+    fits = [n for n in range(1, COORDINATES // PATHS + 1) if chance_of_miss(percent / 100, n) < MISS]
+    return max(fits, default=1)
+
+
+def _paths(length: int) -> np.ndarray:
+    """The coordinates of each path, one row for each."""
+    trees = [np.random.default_rng([17, tree]).permutation(COORDINATES)[: PATHS * length] for tree in range(TREES)]
+    return np.concatenate(trees).reshape(-1, length)
+
+
+def nodes_of(minima: np.ndarray, paths: np.ndarray) -> np.ndarray:
+    """The nodes of each class, in which its paths end; ``minima`` has one row for each class."""
+    nodes = np.broadcast_to(np.arange(1, len(paths) + 1, dtype=np.uint64), (len(minima), len(paths)))
+    for coordinates in paths.T:
+        nodes = mixed(nodes + minima[:, coordinates].astype(np.uint64))
+    return nodes.view(np.int64)
+
+
 def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """In how many coordinates sketches differ; each is a row of 64-bit words."""
     x = a ^ b
@@ -84,9 +116,9 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.select(ids.alias("doc_id"), F.coalesce(ids, F.lit(_LAST)).alias("id"), F.xxhash64("text").alias("mark"), "text")
 
 
-def sketched(docs: DataFrame, words: int) -> DataFrame:
-    """For each row the size of its set, a digest of it, its minwise tokens and its sketch; no digest for an empty set."""
-    multipliers = _multipliers()
+def sketched(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """For each row the size of its set, a digest of it, its nodes and its sketch; no digest for an empty set."""
+    multipliers, paths = _multipliers(), _paths(length_of_paths(percent))
 
     def made(batches):
         for part in slices(batches, "text"):
@@ -94,39 +126,20 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
             digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             known = {d: s for d, s in zip(digests, sets) if d is not None}
             minima = {d: minwise(s, multipliers) for d, s in known.items()}
+            nodes = {d: nodes_of(m[None], paths)[0] for d, m in minima.items()}
             columns = [part.column(c) for c in ("doc_id", "id", "mark")]
             columns += [
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(digests, pa.binary()),
-                pa.array([None if d is None else minima[d].view(np.int16) for d in digests], pa.list_(pa.int16())),
+                pa.array([None if d is None else nodes[d] for d in digests], pa.list_(pa.int64())),
                 pa.array([None if d is None else sketch(minima[d]) for d in digests], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "mark", "n", "digest", "minima", "bits"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "mark", "n", "digest", "nodes", "bits"])
 
-    schema = "doc_id long, id long, mark long, n long, digest binary, minima array<short>, bits binary"
+    schema = "doc_id long, id long, mark long, n long, digest binary, nodes array<long>, bits binary"
     return _marked(docs).mapInArrow(made, schema)
 
 
-def _child(tree: Column, place: Column, node: Column) -> Column:
-    """The node below ``node`` at ``place``: each tree has its own order of all coordinates, so that none returns on a path."""
-    first, step = F.pmod(F.hash(tree), F.lit(COORDINATES)), 2 * F.pmod(F.hash(tree + 1), F.lit(COORDINATES // 2)) + 1
-    coordinate = F.pmod(first + place * step, F.lit(COORDINATES))
-    token = F.get("minima", coordinate)
-    return F.struct(tree.alias("tree"), place.alias("place"), F.xxhash64(node, tree, place, token).alias("node"))
-
-
-def _first_paths(classes: DataFrame) -> DataFrame:
-    children = [_child(F.lit(t), F.lit(2 * _ROOT + b), F.lit(0)) for t in range(TREES) for b in (1, 2)]
-    return classes.select("digest", F.explode(F.array(*children)).alias("at")).select("digest", "at.*")
-
-
-def _branched(large: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of large nodes in the children of these; ``above`` is the size of the node."""
-    rows = large.join(classes.select("digest", "minima"), "digest")
-    children = [_child(F.col("tree"), 2 * F.col("place") + b, F.col("node")) for b in (1, 2)]
-    return rows.select("digest", F.col("size").alias("above"), F.explode(F.array(*children)).alias("at")).select("digest", "above", "at.*")
-
-
 def overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """Sizes of intersection and union of two ascending sets."""
     if len(a) > len(b):
@@ -196,7 +209,7 @@ def candidates(bits: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.nd
     return a[order], b[order], away[order]
 
 
-def _forest(a: np.ndarray, b: np.ndarray, labels: np.ndarray, holds=lambda x, y: True) -> list[int]:
+def _forest(a: np.ndarray, b: np.ndarray, labels: np.ndarray, holds) -> list[int]:
     """The first pairs, in the order given, that hold and connect things of different labels."""
     parent, kept = list(range(int(labels.max()) + 1)), []
     label = labels.tolist()
@@ -217,14 +230,6 @@ def _forest(a: np.ndarray, b: np.ndarray, labels: np.ndarray, holds=lambda x, y:
     return kept
 
 
-def _node(rows: dict, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order of a node's classes by digest, and its candidates."""
-    order = np.argsort(rows["digest"])
-    bits = np.frombuffer(b"".join(rows["bits"][i] for i in order), np.uint64).reshape(len(order), -1)
-    a, b, _ = candidates(bits, np.array(rows["n"])[order], percent)
-    return order, a, b
-
-
 def _pair_batches(bin: int, pairs: list[tuple[bytes, bytes]]):
     for start in range(0, len(pairs), 10_000):
         some = pairs[start : start + 10_000]
@@ -232,50 +237,55 @@ def _pair_batches(bin: int, pairs: list[tuple[bytes, bytes]]):
         yield pa.RecordBatch.from_arrays([pa.array([bin] * len(some), pa.int64()), *two], ["bin", "a", "b"])
 
 
-def _forests(bins: DataFrame, percent: int) -> DataFrame:
-    """(bin, a, b): for each bin a forest of its candidates, nearest pairs first."""
+def _may_be_similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b), as digests, of the pairs of classes (x, y) that sketches and sizes allow to be linked; a is x."""
+    limit = most_differing(percent)
 
-    def paired(batches):
-        for rows in _grouped(batches, "bin"):
-            order, a, b = _node(rows, percent)
-            digests = [rows["digest"][i] for i in order]
-            kept = _forest(a, b, np.arange(len(order)))
-            yield from _pair_batches(rows["bin"][0], [(digests[a[k]], digests[b[k]]) for k in kept])
+    def allowed(batches):
+        for part in batches:
+            two = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint64).reshape(part.num_rows, COORDINATES // 16) for c in ("bits_x", "bits_y")]
+            yield part.select(["a", "b"]).filter(pa.array(differing(*two) <= limit, pa.bool_()))
 
-    return bins.repartition("bin").sortWithinPartitions("bin").mapInArrow(paired, "bin long, a binary, b binary")
+    for end in ("x", "y"):
+        known = classes.select(_class().alias(end), *(F.col(c).alias(f"{c}_{end}") for c in ("digest", "n", "bits")))
+        pairs = pairs.join(known, end)
+    fits = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
+    ends = pairs.where(fits).select(F.col("digest_x").alias("a"), F.col("digest_y").alias("b"), "bits_x", "bits_y")
+    return ends.mapInArrow(allowed, "a binary, b binary")
 
 
-def _across(rows: dict, order: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Labels, and the candidates of different labels that do not meet in an earlier node.
+def _across(rows: dict, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The candidates of one bin of which one is asked about, and has another label, and the labels of all rows.
 
-    They are candidates there too. A node that is not looked at has all its candidates connected, so it holds none of these.
+    Only those whose first common node is this one; two classes that are both asked about are paired once.
     """
-    labels = np.unique([rows["label"][i] for i in order], return_inverse=True)[1]
-    chosen = np.flatnonzero(labels[a] != labels[b])
-    a, b, own = a[chosen], b[chosen], rows["bin"][0]
-    earlier = [[n for n in rows["nodes"][i] if n < own] for i in order]
-    places = {n: k for k, n in enumerate(sorted({n for nodes in earlier for n in nodes}))}
-    marks = np.zeros((len(order), -(-max(1, len(places)) // 64) * 64), bool)
-    for i, nodes in enumerate(earlier):
-        marks[i, [places[n] for n in nodes]] = True
-    words = np.packbits(marks, axis=1).view(np.uint64)
-    first = np.ones(len(a), bool)
-    for start in range(0, len(a), 4096):
+    places: dict[bytes, int] = {}
+    labels = np.array([places.setdefault(label, len(places)) for label in rows["label"]])
+    bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(labels), -1)
+    a, b, _ = candidates(bits, np.array(rows["n"]), percent)
+    asked, digests, nodes = np.array(rows["asked"]), np.array(rows["digest"], object), np.array(rows["nodes"])
+    chosen = (labels[a] != labels[b]) & (asked[a] != asked[b])
+    a, b = a[chosen], b[chosen]
+    x, y = np.where(asked[a], a, b), np.where(asked[a], b, a)
+    minor = labels != np.array([places.get(label, -1) for label in rows["main"]])
+    once = ~minor[y] | (digests[x] < digests[y]).astype(bool)
+    x, y = x[once], y[once]
+    first = np.ones(len(x), bool)
+    for start in range(0, len(x), 4096):
         part = slice(start, start + 4096)
-        first[part] = ~(words[a[part]] & words[b[part]]).any(axis=1)
-    return labels, a[first], b[first]
+        common = np.argmax(nodes[x[part]] == nodes[y[part]], axis=1)
+        first[part] = nodes[x[part], common] == rows["node"][0]
+    return x[first], y[first], labels
 
 
 def _suspects(bins: DataFrame, percent: int) -> DataFrame:
-    """(bin, digest) of the classes that have a candidate of another label to be confirmed in this bin."""
+    """(bin, digest) of the classes that have a pair to be confirmed in this bin."""
 
     def found(batches):
         for rows in _grouped(batches, "bin"):
-            order, a, b = _node(rows, percent)
-            _, a, b = _across(rows, order, a, b)
-            chosen = np.union1d(a, b)
-            digests = pa.array([rows["digest"][order[i]] for i in chosen], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([rows["bin"][0]] * len(chosen), pa.int64()), digests], ["bin", "digest"])
+            a, b, _ = _across(rows, percent)
+            digests = sorted({rows["digest"][i] for i in np.union1d(a, b)})
+            yield pa.RecordBatch.from_arrays([pa.array([rows["bin"][0]] * len(digests), pa.int64()), pa.array(digests, pa.binary())], ["bin", "digest"])
 
     return bins.repartition("bin").sortWithinPartitions("bin").mapInArrow(found, "bin long, digest binary")
 
@@ -285,10 +295,8 @@ def _confirmed(bins: DataFrame, percent: int) -> DataFrame:
 
     def joined(batches):
         for rows in _grouped(batches, "bin"):
-            order, a, b = _node(rows, percent)
-            digests = [rows["digest"][i] for i in order]
-            sets = [np.frombuffer(rows["tokens"][i], np.uint64) for i in order]
-            labels, a, b = _across(rows, order, a, b)
+            a, b, labels = _across(rows, percent)
+            digests, sets = rows["digest"], [np.frombuffer(t, np.uint64) for t in rows["tokens"]]
 
             def similar(x: int, y: int) -> bool:
                 common, joint = overlap(sets[x], sets[y])
@@ -320,34 +328,53 @@ def _grouped(batches, key: str):
         yield held
 
 
-def _left_of_dense(dense: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Compare large nodes with one member each. Returns the rows that may have other links, and the links."""
-    centers = freeze(dense.groupBy("node").agg(F.min("digest").alias("center"), F.count("*").alias("size")), "centers")
-    rows = freeze(dense.select("node", "digest").join(centers, "node"), "dense")
-    a, b = F.least("digest", "center").alias("a"), F.greatest("digest", "center").alias("b")
-    # A center is sent once for a few hundred others, in as many tasks as there are such portions.
-    portion = F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / SMALL)).alias("portion")
-    others = rows.where(F.col("digest") != F.col("center")).select(F.xxhash64("center", portion).alias("bin"), a, b)
-    measured = _measured(others, _sets(dense.select("digest").distinct(), docs, classes, words))
-    away = (1 - F.col("common") / F.col("joint")).alias("away")
-    near = measured.select("a", "b", away, _linked(percent).alias("linked"))
-    near = freeze(rows.select("node", "digest", "center", a, b).join(near, ["a", "b"]), "from-center")
-    rings = freeze(near.where(~F.col("linked")).groupBy("node").agg(F.min("away").alias("ring")), "rings")
-    reach = 1 - percent / 100 + 1e-9
-    known = near.join(rings, "node")
-    rest = known.where(~F.col("linked") | (F.col("away") >= F.col("ring") - reach)).select("node", "digest")
-    return rest, near.where("linked").select("a", "b").distinct()
-
-
-def _blocks(rest: DataFrame) -> DataFrame:
-    """Bins of two blocks each, so that all classes of a node meet."""
-    counts = rest.groupBy("node").agg(F.ceil(F.count("*") / (SMALL / 2)).cast("int").alias("blocks"))
-    dealt = rest.join(freeze(counts, "blocks"), "node")
-    own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = dealt.withColumn("own", own).withColumn("other", other)
-    key = F.when(F.col("blocks") == 1, F.col("node")).otherwise(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")))
-    return paired.select(key.alias("bin"), "digest")
+def _class() -> Column:
+    """A class as a number. Where two had the same one, both would be paired, and confirmed on their sets."""
+    return F.xxhash64("digest")
+
+
+def _shared_nodes(classes: DataFrame) -> DataFrame:
+    """(node, class, least) for the classes of nodes that have more than one; ``least`` is the node's least class."""
+    placed = classes.select(_class().alias("class"), F.explode("nodes").alias("node"))
+    ends = placed.groupBy("node").agg(F.min("class").alias("least"), F.max("class").alias("most"))
+    shared = freeze(ends.where(F.col("least") < F.col("most")).select("node", "least"), "shared-nodes")
+    return freeze(placed.join(shared, "node"), "nodes")
+
+
+def _dealt(paired: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b), measured on full sets; a set is sent once for up to ``SMALL`` pairs that have it as ``a``."""
+    counts = freeze(paired.groupBy("a").agg(F.ceil(F.count("*") / SMALL).alias("portions")), "portions")
+    portion = F.pmod(F.xxhash64("b"), F.col("portions"))
+    return _measured(paired.join(counts, "a").select(F.xxhash64("a", portion).alias("bin"), "a", "b"), sets)
+
+
+def _open_bins(placed: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bin, node, digest, label, main, asked): what is still to be compared of nodes that are not connected.
+
+    A class outside of a node's main component is asked about in bins with all blocks of the node, any other row
+    is in its block's bins only. So rows grow with the square of what a node has outside of its main component alone.
+    """
+    labelled = placed.select("node", "class").join(labels.withColumn("class", _class()), "class").select("node", "digest", "label")
+    labelled = freeze(labelled, "labelled")
+    parts = labelled.groupBy("node", "label").agg(F.count("*").alias("size"))
+    main = F.max(F.struct("size", "label"))
+    nodes = parts.groupBy("node").agg(F.sum("size").alias("size"), main.getField("label").alias("main"), main.getField("size").alias("most"))
+    # The two classes of a node have been compared already.
+    nodes = nodes.where((F.col("size") > F.col("most")) & (F.col("size") > 2))
+    half = max(1, SMALL // 2)
+    blocks, chunks = F.ceil(F.col("size") / half).cast("int"), F.ceil((F.col("size") - F.col("most")) / half).cast("int")
+    rows = labelled.join(freeze(nodes.select("node", "main", blocks.alias("blocks"), chunks.alias("chunks")), "open-nodes"), "node")
+
+    def own(number: str) -> Column:
+        return F.pmod(F.xxhash64("digest", F.lit(number)), F.col(number)).cast("int")
+
+    def every(number: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
+
+    asked = rows.where(F.col("label") != F.col("main")).withColumn("chunk", own("chunks")).withColumn("block", every("blocks"))
+    others = rows.withColumn("block", own("blocks")).withColumn("chunk", every("chunks"))
+    both = asked.withColumn("asked", F.lit(True)).unionByName(others.withColumn("asked", F.lit(False)))
+    return both.select(F.xxhash64("node", "block", "chunk").alias("bin"), "node", "digest", "label", "main", "asked")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -355,27 +382,25 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     ``component_id`` is the smallest id that links reach; ``mark`` is a hash of the text.
     """
-    rows = freeze(sketched(docs, words), "sketched")
+    rows = freeze(sketched(docs, words, percent), "sketched")
     held = rows.where(F.col("digest").isNotNull()).groupBy("digest")
-    first = [F.first(c).alias(c) for c in ("n", "minima", "bits")]
+    first = [F.first(c).alias(c) for c in ("n", "nodes", "bits")]
     classes = freeze(held.agg(F.min(F.struct("id", "mark")).alias("head"), *first), "classes")
-    bins, links = _bins(classes, docs, words, percent)
-    known = classes.select("digest", "n", "bits")
-    bins = freeze(bins.join(known, "digest"), "bins")
-    forest = freeze(_forests(bins, percent), "forest")
-    paired = forest.select(F.col("a").alias("digest")).union(forest.select("b")).distinct()
-    sets = _sets(paired, docs, classes, words)  # of every class that has a candidate
-    measured = _measured(forest, sets)
-    links = links.unionByName(measured.where(_linked(percent)).select("a", "b"))
-    failed = measured.where(~_linked(percent)).select("a", "b")
-    open_bins = freeze(forest.join(failed, ["a", "b"], "left_semi").select("bin").distinct(), "open-bins")
-    nodes = bins.groupBy("digest").agg(F.sort_array(F.collect_list("bin")).alias("nodes"))
-    known = nodes.join(_labels(classes, links), "digest")
-    labelled = freeze(bins.join(open_bins, "bin").join(known, "digest"), "labelled")
-    suspects = freeze(_suspects(labelled, percent), "suspects")
-    again = labelled.join(suspects, ["bin", "digest"], "left_semi").join(sets, "digest")
-    links = links.unionByName(freeze(_confirmed(again, percent).select("a", "b"), "confirmed"))
-    named = classes.join(_labels(classes, links), "digest")
+    placed = _shared_nodes(classes)
+    stars = placed.where(F.col("class") != F.col("least")).select(F.col("least").alias("x"), F.col("class").alias("y")).distinct()
+    paired = freeze(_may_be_similar(stars, classes, percent), "paired")
+    sets = _sets(paired.select(F.col("a").alias("digest")).union(paired.select("b")).distinct(), docs, classes, words)
+    links = _dealt(paired, sets, percent).where(_linked(percent)).select("a", "b")
+    bins = _open_bins(placed, _labels(classes, links))
+    bins = freeze(bins.join(classes.select("digest", "n", "nodes", "bits"), "digest"), "open")
+    suspects = freeze(_suspects(bins, percent), "suspects")
+    if not suspects.isEmpty():
+        more = freeze(suspects.select("digest").distinct().join(sets, "digest", "left_anti"), "more")
+        if not more.isEmpty():
+            sets = sets.unionByName(_sets(more, docs, classes, words))
+        again = bins.join(suspects, ["bin", "digest"], "left_semi").join(sets, "digest")
+        links = links.unionByName(freeze(_confirmed(again, percent).select("a", "b"), "confirmed"))
+    named = classes.select("digest", "head").join(_labels(classes, links), "digest")
     heads = freeze(named.groupBy("label").agg(F.min("head").alias("lead")), "heads")
     leads = named.select("digest", "label").join(heads, "label").select("digest", F.col("lead.id").alias("lead"))
     done = rows.select("doc_id", "id", "mark", "n", "digest").join(leads, "digest", "left")
@@ -393,27 +418,3 @@ def _labels(classes: DataFrame, links: DataFrame) -> DataFrame:
     """(digest, label); linked classes have one label."""
     roots = components(links).select(F.col("node").alias("digest"), "root")
     return classes.select("digest").join(roots, "digest", "left").select("digest", F.coalesce("root", "digest").alias("label"))
-
-
-def _bins(classes: DataFrame, docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(bin, digest) of all that is to be compared exhaustively, and links found on the way there."""
-    total = classes.count()
-    paths = _first_paths(classes).withColumn("above", F.lit(total).cast("long"))
-    bins, links = None, docs.sparkSession.createDataFrame([], "a binary, b binary")
-    for depth in range(1, DEEPEST + 1):
-        paths = freeze(paths, "paths")
-        sizes = freeze(paths.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > 1), "sizes")
-        sized = freeze(paths.join(sizes, "node"), "nodes")
-        small = sized.where(F.col("size") <= SMALL).select(F.col("node").alias("bin"), "digest")
-        bins = small if bins is None else bins.unionByName(small)
-        large = sized.where(F.col("size") > SMALL)
-        stays = (2 * F.col("size") > F.col("above")) if depth < DEEPEST else F.lit(True)
-        dense = large.where(stays).select("node", "digest")
-        if not dense.isEmpty():
-            rest, found = _left_of_dense(dense, docs, classes, words, percent)
-            bins, links = bins.unionByName(_blocks(freeze(rest, "rest"))), links.unionByName(found)
-        large = large.where(~stays)
-        if large.isEmpty():
-            break
-        paths = _branched(large, classes)
-    return bins, links

@@ -8,6 +8,7 @@ import pytest
 
 from roster.llm import chosen_path
 from roster.llm.chosen_path import candidates, differing, minwise, most_differing, near_duplicates, sketch
+from roster.session import freeze
 from tests.llm.conftest import ODD
 from tests.llm.test_jaccard_join import expected, near_copies
 
@@ -90,3 +91,36 @@ def test_candidates_are_all_near_pairs():
     a, b, away = candidates(bits, np.full(70, 9), 80)
     assert {*zip(a.tolist(), b.tolist())} >= {(x, y) for x in [3, *range(40, 50)] for y in [3, *range(40, 50)] if x < y}
     assert (np.diff(away) >= 0).all() and len(candidates(bits, np.arange(70) * 100 + 1, 80)[0]) < len(a)
+
+
+def test_rows_do_not_grow_with_the_square_of_a_family(docs, spark, monkeypatch):
+    """A class is in as many nodes in a large table as in a small one, and a family is dealt with by its links."""
+    seen = {}
+
+    def counted(df, label):
+        path = freeze(df, label)
+        seen[label] = seen.get(label, 0) + path.count()
+        return path
+
+    monkeypatch.setattr(chosen_path, "freeze", counted)
+    made = []
+    for n in (40, 160):
+        seen.clear()
+        assert_brute_force(docs(*loose_family(n, 12)), 2, 80)
+        made.append(dict(seen))
+    for label in ("nodes", "paired", "confirmed"):
+        assert made[1].get(label, 0) <= chosen_path.TREES * chosen_path.PATHS * 160
+    assert made[1]["open"] <= 8 * chosen_path.TREES * chosen_path.PATHS * 160
+
+
+def test_paths_meet_but_for_the_chance_told():
+    pick, multipliers, paths = np.random.default_rng(3), chosen_path._multipliers(), chosen_path._paths(chosen_path.length_of_paths(80))
+    assert paths.shape == (chosen_path.TREES * chosen_path.PATHS, 5)
+    assert chosen_path.chance_of_miss(0.8, 5) < chosen_path.MISS < chosen_path.chance_of_miss(0.8, 6)
+    met = 0
+    for _ in range(300):
+        a = pick.integers(0, 1 << 63, 180, dtype=np.uint64)
+        b = np.concatenate([a[:160], pick.integers(0, 1 << 63, 20, dtype=np.uint64)])  # 160 of 200
+        nodes = chosen_path.nodes_of(np.stack([minwise(np.sort(s), multipliers) for s in (a, b)]), paths)
+        met += bool((nodes[0] == nodes[1]).any())
+    assert met == 300
