@@ -92,7 +92,8 @@ def record_changes(
         touched = freeze(_touched(read_table(spark, root, state), new), "touched")
         ids = touched.select("id")
         earlier = log.where(F.col("kind") != "count").join(ids, "id", "left_semi")
-        delta = _differences(touched, earlier, earlier.unionByName(new))
+        # Written down, as the batch's one file is put together by one task, which then only copies rows.
+        delta = freeze(_differences(touched, earlier, earlier.unionByName(new)), "delta")
         _append(spark, root, heads[0], state, batch, False, new, delta.withColumn("kind", F.lit("count")))
     return True
 
@@ -111,7 +112,7 @@ def maintained_counts(spark: SparkSession, root: str, state: TableState | None =
             earlier = log.where(F.col("version") < state.version)
             touched = freeze(_touched(read_table(spark, root, state), earlier), "touched")
             nothing = log.where(F.lit(False))
-            delta = _differences(touched, nothing, earlier)
+            delta = freeze(_differences(touched, nothing, earlier), "delta")
             _append(spark, root, count, state, f"counts of version {state.version}", True, delta.withColumn("kind", F.lit("count")))
         log = read_changes(spark, root)
     stored = read_counts(spark, *[f"{root}/{counts_of(c.folder)}" for c in state.commits if c.rows])
