@@ -69,7 +69,7 @@ def registry_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     write_registry(freeze(tables.raw_registry(spark, sf), "raw"), path)
     rows = read_registry(spark, path)
     texts = [F.nullif(c, F.lit("")).alias(c) for c in rows.columns if c != ORDINAL]
-    return number_rows(rows.select(*texts, ORDINAL), [ORDINAL], "place").drop(ORDINAL)
+    return number_rows(freeze(rows.select(*texts, ORDINAL), "read"), [ORDINAL], "place").drop(ORDINAL)
 
 
 def registry_multiline(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +78,7 @@ def registry_multiline(spark: SparkSession, sf: str) -> DataFrame:
     write_registry(freeze(tables.with_line_breaks(tables.raw_registry(spark, sf)), "raw"), path)
     rows = read_registry(spark, path)
     texts = [F.nullif(c, F.lit("")).alias(c) for c in rows.columns if c != ORDINAL]
-    return number_rows(rows.select(*texts, ORDINAL), [ORDINAL], "place").drop(ORDINAL)
+    return number_rows(freeze(rows.select(*texts, ORDINAL), "read"), [ORDINAL], "place").drop(ORDINAL)
 
 
 def rejected(spark: SparkSession, sf: str) -> DataFrame:

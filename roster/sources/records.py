@@ -12,6 +12,7 @@ cell opens nothing. A quote that is never closed makes the rest of its file one
 the file's end.
 """
 
+import re
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 from urllib.parse import unquote
@@ -28,6 +29,25 @@ _AT_QUOTE = (_QUOTED, _PLAIN, _CLOSED, _QUOTED, _PLAIN)
 _COMMA, _WHITE = ord(","), bytes(range(33))
 
 
+# Cells with quotes where they belong, which most lines have; then a quoted cell may be left open. No step goes back,
+# so a long line takes no more stack. Others are scanned quote by quote.
+_INSIDE = r'(?:[^"]++|"")*+'
+_CELLS = rf'(?:(?:"{_INSIDE}"|[^",]++)?+(?:,|\Z))*+'
+_FROM_CELL = re.compile(rf'{_CELLS}(?:\Z|("){_INSIDE}\Z)'.encode())
+_FROM_QUOTED = re.compile(rf'{_INSIDE}(?:(\Z)|"(?:,|\Z){_CELLS}(?:\Z|("){_INSIDE}\Z))'.encode())
+_CELLS_JAVA = "^" + _CELLS.replace(r"\Z", r"\z")
+
+
+def ends_inside(line: bytes, inside: bool) -> bool:
+    """Whether a line ends inside a quoted cell that begins inside one or begins a record."""
+    if b'"' not in line:
+        return inside
+    found = (_FROM_QUOTED if inside else _FROM_CELL).match(line)
+    if found is None:
+        return state_after(line, _QUOTED if inside else _CELL) == _QUOTED
+    return found.lastindex is not None
+
+
 def state_after(line: bytes, state: int) -> int:
     """Where a line ends that begins in ``state``."""
     for i, text in enumerate(line.split(b'"')):
@@ -66,7 +86,9 @@ def _scanned(text: Column) -> Column:
 
 def leaves_open(line: Column) -> Column:
     """Whether a line that begins a record ends inside a quoted cell."""
-    return F.when(line.contains('"'), _scanned(line)["state"] == _QUOTED).otherwise(False)
+    clean = ~line.contains('"') | line.rlike(rf"{_CELLS_JAVA}\z")
+    left_open = line.rlike(rf'{_CELLS_JAVA}"{_INSIDE}\z')
+    return F.when(clean, False).when(left_open, True).otherwise(_scanned(line)["state"] == _QUOTED)
 
 
 def faults(record: Column, columns: int) -> Column:
@@ -129,15 +151,14 @@ def _answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     found: list[tuple] = []
     for path, block, lines in _chunks(batches):
-        ends, begins, returns = [_CELL, _QUOTED], [False, False], 0
+        ends, begins, returns = [False, True], [False, False], 0
         for i, (line, _) in enumerate(lines):
             if not i:
                 returns = 0 if b"\r" not in line else 1 if line.find(b"\r") == len(line) - 1 else 2
             for k in (0, 1):
-                begins[k] |= ends[k] != _QUOTED
-                if b'"' in line:
-                    ends[k] = _QUOTED if state_after(line, ends[k]) == _QUOTED else _CELL
-        found.append((path, block, *(e == _QUOTED for e in ends), *begins, returns))
+                begins[k] |= not ends[k]
+                ends[k] = ends_inside(line, ends[k])
+        found.append((path, block, *ends, *begins, returns))
     types = [pa.string(), pa.int64(), *[pa.bool_()] * 4, pa.int32()]
     columns = zip(*found) if found else [[] for _ in types]
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [f.split()[0] for f in _ANSWER.split(", ")])
@@ -153,7 +174,8 @@ def find_splits(spark: SparkSession, paths: list[str]) -> dict[str, dict[int, Sp
     may end there.
     """
     found: dict[str, dict[int, Split]] = {}
-    answers = _lines(spark, paths).mapInArrow(_answers, _ANSWER).orderBy("path", "block").collect()
+    # Put in order here: to sort a frame by ranges, Spark would compute it twice.
+    answers = sorted(_lines(spark, paths).mapInArrow(_answers, _ANSWER).collect(), key=lambda a: (a.path, a.block))
     inside, opened, crlf, path = False, 0, False, None
     for answer in answers:
         if answer.path != path:
@@ -193,8 +215,7 @@ def _cut(splits: dict[str, dict[int, Split]]):
                 if not pending:
                     begun = row
                 pending.append(line)
-                if b'"' in line:
-                    inside = state_after(line, _QUOTED if inside else _CELL) == _QUOTED
+                inside = ends_inside(line, inside)
                 if inside:
                     continue
                 text, pending = _joined(pending, split.crlf), []

@@ -1,12 +1,14 @@
 """Reading registry CSV files."""
 
+import itertools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from roster.schema import REGISTRY_HEADERS
-from roster.sources.records import leaves_open, state_after
+from roster.sources import records
+from roster.sources.records import ends_inside, leaves_open, state_after
 from roster.sources.registry import read_cities, read_registry, rejected_records, write_registry
 
 HEADERS = list(REGISTRY_HEADERS)
@@ -269,3 +271,33 @@ def test_rejected_records(spark, tmp_path):
     assert rejected_records(spark, []).collect() == [] and rejected_records(spark, str(drop / "c.csv")).collect() == []
     places = {r.place for r in found.collect()}
     assert places < {r.ordinal for r in read_registry(spark, str(drop)).collect()}
+
+
+def test_lines_end_as_quote_by_quote(spark):
+    """Short lines of all kinds, in both ways to begin, and as columns; a long one takes no more stack."""
+    lines = ["".join(x) for n in range(7) for x in itertools.product('",a ', repeat=n)] + ['"' + 'a""' * 200_000, '"' + 'a""' * 200_000 + '"', "a,\"b\"\r"]
+    for inside in (False, True):
+        state = 2 if inside else 0
+        assert [ends_inside(x.encode(), inside) for x in lines] == [state_after(x.encode(), state) == 2 for x in lines]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    got = rows.select("i", leaves_open(rows.line).alias("open")).orderBy("i").collect()
+    assert [r.open for r in got] == [state_after(x.encode(), 0) == 2 for x in lines]
+
+
+def test_clean_lines_are_not_scanned_and_splits_are_computed_once(spark, tmp_path, monkeypatch):
+    def scanned(line, state):
+        raise AssertionError(line)
+
+    monkeypatch.setattr(records, "state_after", scanned)
+    assert ends_inside(b'"=""12""",a,"b c"', False) is False and ends_inside(b'a,"b', False) is True
+    assert ends_inside(b'b"" c', True) is True and ends_inside(b'b",c,"d"', True) is False
+    monkeypatch.undo()
+    (tmp_path / "a.csv").write_text('a,b\n"x\ny",1\n')
+    seen, reading = spark.sparkContext.accumulator(0), records._answers
+
+    def counted(batches):
+        seen.add(1)
+        yield from reading(batches)
+
+    monkeypatch.setattr(records, "_answers", counted)
+    assert len(records.find_splits(spark, [str(tmp_path / "a.csv")])) == 1 and seen.value == 1
